@@ -163,3 +163,96 @@ SELECT lower(City) AS city, CAST(date_trunc('month', Date) AS DATE) AS month,
 FROM clean GROUP BY 1, 2 ORDER BY 1, 2""")
 for _lvl in ("region", "department", "zipcode"):
     ORACLE[f"stats_{_lvl}"] = with_ctes(*stats_ctes(_lvl), body=f"SELECT * FROM stats_{_lvl}")
+
+
+def _pad(expr: str, width: int = 2) -> str:
+    return (f"CASE WHEN length(CAST({expr} AS VARCHAR)) < {width} "
+            f"THEN lpad(CAST({expr} AS VARCHAR), {width}, '0') ELSE CAST({expr} AS VARCHAR) END")
+
+
+def _dept_code(expr: str) -> str:
+    p = _pad(expr)
+    return f"CASE WHEN {p} IN ('20', '201') THEN '2A' WHEN {p} = '202' THEN '2B' ELSE {p} END"
+
+
+ZIP_MERGED = """
+zip_merged AS (
+  SELECT s.*, z.* FROM stats_zipcode s LEFT JOIN zipcode_dim z ON s.zipcode_name = z.ZipCode
+  WHERE s.logement_type = 'total'
+)"""
+
+DEPT_THRESHOLD = f"""
+dept_threshold AS (
+  SELECT {_dept_code('department_id')} AS department_id, department_name, avg_price, nb_annonces
+  FROM stats_department WHERE logement_type = 'total' AND nb_annonces >= 400
+),
+dept_joined AS (
+  SELECT t.*, d.ID, d.Region, t.department_name || ' - ' || d.Region AS department_label
+  FROM dept_threshold t
+  LEFT JOIN (SELECT {_pad('ID')} AS ID, Region FROM department_dim) d ON {_pad('t.department_id')} = d.ID
+)"""
+
+ORACLE["filter_search"] = with_ctes(*BASE, body="""
+SELECT * FROM clean
+WHERE lower(City) LIKE '%customer#000001%' AND lower(Logement) = 'appartement'
+  AND Price BETWEEN 20000 AND 80000 AND Date BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'""")
+ORACLE["stats_lookup"] = with_ctes(*stats_ctes("department"), body="""
+SELECT * FROM stats_department WHERE department_name = 'NATION_7' AND logement_type = 'maison'""")
+ORACLE["stats_by_type"] = with_ctes(*stats_ctes("zipcode"), body="""
+SELECT * FROM stats_zipcode WHERE logement_type = 'appartement'""")
+ORACLE["stats_threshold"] = with_ctes(*stats_ctes("department"), DEPT_THRESHOLD,
+                                      body="SELECT * FROM dept_threshold")
+ORACLE["range_filter"] = with_ctes(*stats_ctes("zipcode"), ZIP_MERGED, body="""
+SELECT * FROM zip_merged
+WHERE avg_price BETWEEN 20000 AND 60000 AND avg_m2 BETWEEN 10 AND 40 AND avg_rooms BETWEEN 1 AND 5
+  AND nb_annonces >= 5""")
+ORACLE["in_filter"] = with_ctes(*stats_ctes("zipcode"), ZIP_MERGED, body="""
+SELECT * FROM zip_merged
+WHERE Department IN ('1', '3', '5', '7', '20') AND lat IS NOT NULL AND lon IS NOT NULL""")
+ORACLE["price_window"] = with_ctes(*stats_ctes("department"), body="""
+SELECT * FROM stats_department
+WHERE logement_type = 'total' AND avg_price >= 30000 AND avg_price <= 50000 AND nb_annonces >= 300""")
+ORACLE["bounds"] = with_ctes(*stats_ctes("zipcode"), ZIP_MERGED, body="""
+SELECT CAST(trunc(min(avg_price)) AS BIGINT) AS avg_price_min, CAST(trunc(max(avg_price)) AS BIGINT) AS avg_price_max,
+       CAST(trunc(min(avg_m2)) AS BIGINT) AS avg_m2_min, CAST(trunc(max(avg_m2)) AS BIGINT) AS avg_m2_max,
+       CAST(trunc(min(avg_rooms)) AS BIGINT) AS avg_rooms_min, CAST(trunc(max(avg_rooms)) AS BIGINT) AS avg_rooms_max,
+       min(nb_annonces) AS nb_annonces_min, max(nb_annonces) AS nb_annonces_max
+FROM zip_merged""")
+ORACLE["distinct_values"] = with_ctes(*stats_ctes("zipcode"), ZIP_MERGED, body="""
+SELECT DISTINCT Department FROM zip_merged WHERE Department IS NOT NULL ORDER BY Department""")
+
+
+def _pearson_sql(a: str, b: str) -> str:
+    a2 = f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN CAST({a} AS DOUBLE) END"
+    b2 = f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN CAST({b} AS DOUBLE) END"
+    return (f"CASE WHEN stddev_pop({a2}) * stddev_pop({b2}) = 0 THEN NULL "
+            f"ELSE covar_pop({a2}, {b2}) / (stddev_pop({a2}) * stddev_pop({b2})) END")
+
+
+ORACLE["influence_rank"] = with_ctes(*stats_ctes("zipcode"), f"""
+win AS (SELECT * FROM stats_zipcode WHERE logement_type = 'total' AND avg_price >= 0
+        AND avg_price <= 1000000000 AND nb_annonces >= 2),
+wide AS (SELECT {_pearson_sql('nb_annonces', 'avg_price')} AS nb_annonces,
+                {_pearson_sql('avg_m2', 'avg_price')} AS avg_m2,
+                {_pearson_sql('avg_rooms', 'avg_price')} AS avg_rooms FROM win)""", body=f"""
+SELECT feature, {sround('abs(r)', 6)} AS correlation FROM (
+  SELECT 'nb_annonces' AS feature, nb_annonces AS r FROM wide UNION ALL
+  SELECT 'avg_m2', avg_m2 FROM wide UNION ALL
+  SELECT 'avg_rooms', avg_rooms FROM wide)
+ORDER BY correlation DESC NULLS LAST, feature""")
+
+ORACLE["dept_stats_join"] = with_ctes(*stats_ctes("department"), DEPT_THRESHOLD, body="SELECT * FROM dept_joined")
+ORACLE["geo_inner_join"] = with_ctes(*stats_ctes("department"), DEPT_THRESHOLD, f"""
+dept_features AS (SELECT {_pad('n_nationkey')} AS code, n_name AS nom FROM nation)""", body="""
+SELECT f.code, f.nom, j.department_id, j.department_name, j.avg_price, j.nb_annonces, j.Region, j.department_label
+FROM dept_features f JOIN dept_joined j ON f.code = j.department_id""")
+ORACLE["region_ci_join"] = with_ctes(*stats_ctes("region"), """
+region_features AS (SELECT CAST(r_regionkey AS VARCHAR) AS code, lower(r_name) AS nom FROM region)""", body="""
+SELECT f.code, f.nom, lower(s.region_name) AS region_name, s.avg_price, s.nb_annonces
+FROM region_features f
+JOIN (SELECT * FROM stats_region WHERE logement_type = 'total' AND nb_annonces >= 1000) s
+  ON f.nom = lower(s.region_name)""")
+ORACLE["zip_left_join"] = with_ctes(*stats_ctes("zipcode"), body="""
+SELECT s.zipcode_name, s.avg_price, s.nb_annonces, z.Department, z.GroupCitys
+FROM stats_zipcode s LEFT JOIN zipcode_dim z ON s.zipcode_name = z.ZipCode
+WHERE s.logement_type = 'maison' AND s.nb_annonces >= 3""")

@@ -75,3 +75,107 @@ def q_stats_department(spark, sf_dir):
 @register("stats_zipcode")
 def q_stats_zipcode(spark, sf_dir):
     return stats(spark, sf_dir, "zipcode")
+
+
+# ------------------------------------------------------------------ filters and lookups
+from parcelle.operators import filters as flt  # noqa: E402
+from parcelle.operators import geo as geo_ops  # noqa: E402
+
+SEARCH = flt.SearchFilters(city="Customer#000001", property_type="Appartement",
+                           price_min=20000, price_max=80000,
+                           start_date="1996-01-01", end_date="2000-12-31")
+DEPT_MIN_COUNT = 400
+REGION_MIN_COUNT = 1000
+ZIP_MIN_COUNT = 3
+RANGES = {"avg_price": (20000, 60000), "avg_m2": (10, 40), "avg_rooms": (1, 5)}
+SELECTED_DEPARTMENTS = ["1", "3", "5", "7", "20"]
+
+
+def zip_merged(spark, sf_dir):
+    """Postal-code totals LEFT JOIN the postal-code table (explorer input)."""
+    return geo_ops.zip_left_join(flt.stats_by_type(stats(spark, sf_dir, "zipcode"), "total"),
+                                 testdata.zipcode_dim(spark, sf_dir))
+
+
+@register("filter_search")
+def q_filter_search(spark, sf_dir):
+    return flt.apply_filters(clean(spark, sf_dir), SEARCH)
+
+
+@register("stats_lookup")
+def q_stats_lookup(spark, sf_dir):
+    return flt.stats_lookup(stats(spark, sf_dir, "department"), "department", "NATION_7", "maison")
+
+
+@register("stats_by_type")
+def q_stats_by_type(spark, sf_dir):
+    return flt.stats_by_type(stats(spark, sf_dir, "zipcode"), "appartement")
+
+
+@register("stats_threshold")
+def q_stats_threshold(spark, sf_dir):
+    return flt.stats_threshold(stats(spark, sf_dir, "department"), "department", "total", DEPT_MIN_COUNT)
+
+
+@register("range_filter")
+def q_range_filter(spark, sf_dir):
+    return flt.range_filter(zip_merged(spark, sf_dir), RANGES, min_count=5)
+
+
+@register("in_filter")
+def q_in_filter(spark, sf_dir):
+    return flt.drop_missing_coordinates(flt.in_filter(zip_merged(spark, sf_dir), "Department",
+                                                      SELECTED_DEPARTMENTS))
+
+
+@register("price_window")
+def q_price_window(spark, sf_dir):
+    return flt.price_window(flt.stats_by_type(stats(spark, sf_dir, "department"), "total"),
+                            30000, 50000, 300)
+
+
+@register("bounds")
+def q_bounds(spark, sf_dir):
+    return stats_ops.bounds(zip_merged(spark, sf_dir))
+
+
+@register("distinct_values")
+def q_distinct_values(spark, sf_dir):
+    return stats_ops.distinct_values(zip_merged(spark, sf_dir), "Department")
+
+
+@register("influence_rank")
+def q_influence_rank(spark, sf_dir):
+    level = flt.normalise_level("Code postal")
+    rows = flt.price_window(flt.stats_by_type(stats(spark, sf_dir, level), "total"), 0, 10 ** 9, 2)
+    cols = flt.existing_columns(rows, stats_ops.INFLUENCE_FEATURES + ["avg_price"])
+    return stats_ops.influence(rows.select(*cols))
+
+
+# ------------------------------------------------------------------ joins
+def dept_joined(spark, sf_dir):
+    thr = flt.stats_threshold(stats(spark, sf_dir, "department"), "department", "total", DEPT_MIN_COUNT)
+    return geo_ops.dept_stats_join(thr, testdata.department_dim(spark, sf_dir))
+
+
+@register("dept_stats_join")
+def q_dept_stats_join(spark, sf_dir):
+    return dept_joined(spark, sf_dir)
+
+
+@register("geo_inner_join")
+def q_geo_inner_join(spark, sf_dir):
+    j = geo_ops.geo_inner_join(testdata.department_features(spark, sf_dir), dept_joined(spark, sf_dir))
+    return j.drop("geometry", "ID")
+
+
+@register("region_ci_join")
+def q_region_ci_join(spark, sf_dir):
+    thr = flt.stats_threshold(stats(spark, sf_dir, "region"), "region", "total", REGION_MIN_COUNT)
+    return geo_ops.region_ci_join(testdata.region_features(spark, sf_dir), thr).drop("geometry")
+
+
+@register("zip_left_join")
+def q_zip_left_join(spark, sf_dir):
+    return flt.stats_threshold(stats(spark, sf_dir, "zipcode"), "zipcode", "maison", ZIP_MIN_COUNT,
+                               testdata.zipcode_dim(spark, sf_dir))
