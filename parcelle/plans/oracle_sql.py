@@ -211,7 +211,7 @@ SELECT * FROM zip_merged
 WHERE Department IN ('1', '3', '5', '7', '20') AND lat IS NOT NULL AND lon IS NOT NULL""")
 ORACLE["price_window"] = with_ctes(*stats_ctes("department"), body="""
 SELECT * FROM stats_department
-WHERE logement_type = 'total' AND avg_price >= 30000 AND avg_price <= 50000 AND nb_annonces >= 300""")
+WHERE logement_type = 'total' AND avg_price >= 56000 AND avg_price <= 58000 AND nb_annonces >= 400""")
 ORACLE["bounds"] = with_ctes(*stats_ctes("zipcode"), ZIP_MERGED, body="""
 SELECT CAST(trunc(min(avg_price)) AS BIGINT) AS avg_price_min, CAST(trunc(max(avg_price)) AS BIGINT) AS avg_price_max,
        CAST(trunc(min(avg_m2)) AS BIGINT) AS avg_m2_min, CAST(trunc(max(avg_m2)) AS BIGINT) AS avg_m2_max,
@@ -256,3 +256,73 @@ ORACLE["zip_left_join"] = with_ctes(*stats_ctes("zipcode"), body="""
 SELECT s.zipcode_name, s.avg_price, s.nb_annonces, z.Department, z.GroupCitys
 FROM stats_zipcode s LEFT JOIN zipcode_dim z ON s.zipcode_name = z.ZipCode
 WHERE s.logement_type = 'maison' AND s.nb_annonces >= 3""")
+
+# ---------------------------------------------------------------- keyed state
+_DATA = ("source, department, price, price_per_m2, surface_m2, rooms, bedrooms, address, city, "
+         "postal_code, property_type, description, last_seen_at")
+
+
+def _latest_per_key(src: str, name: str) -> str:
+    return f"""
+{name}_ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY listing_url ORDER BY last_seen_at DESC, _id DESC) AS rn,
+         count(*) OVER (PARTITION BY listing_url) AS n,
+         min(first_seen_at) OVER (PARTITION BY listing_url) AS fs
+  FROM {src}
+),
+{name} AS (SELECT * FROM {name}_ranked WHERE rn = 1)"""
+
+
+STATE = f"""
+init_rows AS (SELECT * FROM listings_raw WHERE source <> 'collector_n'),
+batch_rows AS (SELECT * FROM listings_raw WHERE source = 'collector_n'),
+{_latest_per_key('init_rows', 'init_latest')},
+state0 AS (
+  SELECT _id, listing_url, {_DATA}, fs AS first_seen_at, true AS is_active,
+         CAST(n AS BIGINT) AS update_count, CAST(NULL AS BOOLEAN) AS processed
+  FROM init_latest
+),
+{_latest_per_key('batch_rows', 'batch_latest')},
+state1 AS (
+  SELECT CASE WHEN s._id IS NOT NULL THEN s._id ELSE b._id END AS _id,
+         CASE WHEN s._id IS NOT NULL THEN s.listing_url ELSE b.listing_url END AS listing_url,
+         {", ".join(f"CASE WHEN b.n IS NOT NULL THEN b.{c} ELSE s.{c} END AS {c}" for c in _DATA.split(", "))},
+         CASE WHEN s._id IS NOT NULL THEN s.first_seen_at ELSE b.fs END AS first_seen_at,
+         CASE WHEN b.n IS NOT NULL THEN true ELSE s.is_active END AS is_active,
+         CAST(coalesce(s.update_count, 0) + coalesce(b.n, 0) AS BIGINT) AS update_count,
+         s.processed AS processed
+  FROM state0 s FULL OUTER JOIN batch_latest b ON s.listing_url IS NOT DISTINCT FROM b.listing_url
+)"""
+
+ORACLE["upsert_state"] = with_ctes(LISTINGS_RAW, STATE, body="SELECT * FROM state1")
+ORACLE["upsert_counters"] = with_ctes(LISTINGS_RAW, STATE, body="""
+SELECT CAST(count(*) AS BIGINT) AS scraped,
+       CAST(count(DISTINCT CASE WHEN s.listing_url IS NULL THEN b.listing_url END) AS BIGINT) AS inserted,
+       CAST(count(*) - count(DISTINCT CASE WHEN s.listing_url IS NULL THEN b.listing_url END) AS BIGINT) AS modified
+FROM batch_rows b LEFT JOIN (SELECT DISTINCT listing_url FROM state0) s ON b.listing_url = s.listing_url""")
+ORACLE["deactivate_stale"] = with_ctes(LISTINGS_RAW, body="""
+SELECT _id, listing_url, last_seen_at,
+       CASE WHEN last_seen_at < TIMESTAMP '2001-06-01 00:00:00' - INTERVAL 30 DAY AND is_active THEN false
+            ELSE is_active END AS is_active
+FROM listings_raw""")
+_FIRSTS = """
+firsts AS (SELECT listing_url, min(_id) AS first_id, count(*) AS n FROM listings_raw GROUP BY listing_url)"""
+ORACLE["dedupe_first"] = with_ctes(LISTINGS_RAW, _FIRSTS, body="""
+SELECT r._id, r.listing_url, r.source, r.price, r.last_seen_at
+FROM listings_raw r JOIN firsts f ON r.listing_url IS NOT DISTINCT FROM f.listing_url AND r._id = f.first_id""")
+ORACLE["duplicate_groups"] = with_ctes(LISTINGS_RAW, _FIRSTS, body="""
+SELECT listing_url, first_id AS doc_id, CAST(n AS BIGINT) AS count FROM firsts WHERE n > 1""")
+ORACLE["delete_candidates"] = with_ctes(LISTINGS_RAW, _FIRSTS, body="""
+SELECT r._id, r.listing_url
+FROM listings_raw r JOIN firsts f ON r.listing_url IS NOT DISTINCT FROM f.listing_url AND r._id <> f.first_id""")
+ORACLE["mark_processed"] = with_ctes(*BASE, body="""
+SELECT r._id, CASE WHEN c.Id IS NOT NULL THEN true ELSE r.processed END AS processed
+FROM listings_raw r LEFT JOIN clean c ON r._id = c.Id""")
+ORACLE["unprocessed_batch"] = with_ctes(*BASE, """
+first_run AS (
+  SELECT Id FROM clean_checked c JOIN listings_raw r ON c.Id = r._id
+  WHERE c.reason IS NULL AND r.first_seen_at < TIMESTAMP '1998-01-01 00:00:00'
+)""", body="""
+SELECT _id, price, surface_m2, city, property_type, rooms, scraped_at, postal_code, last_seen_at
+FROM listings_raw
+WHERE NOT coalesce(processed, false) AND _id NOT IN (SELECT Id FROM first_run)""")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parcelle.operators import clean as clean_ops
 from parcelle.operators import stats as stats_ops
@@ -131,7 +132,7 @@ def q_in_filter(spark, sf_dir):
 @register("price_window")
 def q_price_window(spark, sf_dir):
     return flt.price_window(flt.stats_by_type(stats(spark, sf_dir, "department"), "total"),
-                            30000, 50000, 300)
+                            56000, 58000, 400)
 
 
 @register("bounds")
@@ -179,3 +180,64 @@ def q_region_ci_join(spark, sf_dir):
 def q_zip_left_join(spark, sf_dir):
     return flt.stats_threshold(stats(spark, sf_dir, "zipcode"), "zipcode", "maison", ZIP_MIN_COUNT,
                                testdata.zipcode_dim(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ keyed state
+from parcelle.operators import state as st  # noqa: E402
+
+NOW = "2001-06-01 00:00:00"
+LEDGER_BEFORE = "1998-01-01"
+BATCH_SOURCE = "collector_n"
+
+
+def state_inputs(spark, sf_dir):
+    """Initial state from two collectors' rows, and the third collector's rows
+    as the next batch."""
+    r = raw(spark, sf_dir)
+    initial = st.upsert(None, r.filter(F.col("source") != BATCH_SOURCE))
+    batch = r.filter(F.col("source") == BATCH_SOURCE)
+    return initial, batch
+
+
+@register("upsert_state")
+def q_upsert_state(spark, sf_dir):
+    initial, batch = state_inputs(spark, sf_dir)
+    return st.upsert(initial, batch).drop("features")
+
+
+@register("upsert_counters")
+def q_upsert_counters(spark, sf_dir):
+    initial, batch = state_inputs(spark, sf_dir)
+    return st.upsert_counters(initial, batch)
+
+
+@register("deactivate_stale")
+def q_deactivate_stale(spark, sf_dir):
+    return st.deactivate(raw(spark, sf_dir), NOW).select("_id", "listing_url", "last_seen_at", "is_active")
+
+
+@register("dedupe_first")
+def q_dedupe_first(spark, sf_dir):
+    return st.dedupe(raw(spark, sf_dir)).select("_id", "listing_url", "source", "price", "last_seen_at")
+
+
+@register("duplicate_groups")
+def q_duplicate_groups(spark, sf_dir):
+    return st.duplicate_groups(raw(spark, sf_dir))
+
+
+@register("delete_candidates")
+def q_delete_candidates(spark, sf_dir):
+    return st.delete_candidates(raw(spark, sf_dir)).select("_id", "listing_url")
+
+
+@register("mark_processed")
+def q_mark_processed(spark, sf_dir):
+    return st.mark_processed(raw(spark, sf_dir), clean(spark, sf_dir)).select("_id", "processed")
+
+
+@register("unprocessed_batch")
+def q_unprocessed_batch(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    first_run = clean_ops.clean_listings(r.filter(F.col("first_seen_at") < F.lit(LEDGER_BEFORE).cast("timestamp_ntz")))
+    return st.incremental_batch(r, first_run.clean)
