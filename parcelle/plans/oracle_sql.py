@@ -108,6 +108,17 @@ def sround(expr: str, decimals: int = 4) -> str:
             f" / {10 ** decimals}.0")
 
 
+def round_half_even(expr: str, decimals: int = 2) -> str:
+    """Half-even rounding of a double's shortest decimal form, which is what
+    Spark's ``bround`` does (DuckDB's ``round_even`` rounds the scaled double
+    product instead, which can differ near ties)."""
+    d = f"CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,20))"
+    p = 10 ** decimals
+    f = f"floor({d} * {p})"
+    return (f"CAST(CASE WHEN {d} * {p} - {f} = 0.5 THEN ({f} + ({f} % 2)) / {p} "
+            f"ELSE round({d}, {decimals}) END AS DOUBLE)")
+
+
 def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",".join(ctes) + "\n" + body
 
@@ -326,3 +337,128 @@ first_run AS (
 SELECT _id, price, surface_m2, city, property_type, rooms, scraped_at, postal_code, last_seen_at
 FROM listings_raw
 WHERE NOT coalesce(processed, false) AND _id NOT IN (SELECT Id FROM first_run)""")
+
+# ---------------------------------------------------------------- source normalisers
+_NOUN = "split_part(p_name, ' ', 2)"
+SALE_ROWS = f"""
+sale_rows AS (
+  SELECT
+    'M' || CAST(l_orderkey AS VARCHAR) AS id_mutation,
+    strftime(o_orderdate, '%Y-%m-%d') AS date_mutation,
+    CASE WHEN l_linenumber <= 2 THEN '1' ELSE '2' END AS numero_disposition,
+    CASE WHEN o_orderstatus = 'P' THEN 'Echange' ELSE 'Vente' END AS nature_mutation,
+    CASE WHEN l_discount = 0.1 THEN '' ELSE CAST(l_extendedprice AS VARCHAR) END AS valeur_fonciere,
+    CAST(l_suppkey AS VARCHAR) AS adresse_numero,
+    CASE WHEN l_tax = 0 THEN 'B' ELSE '' END AS adresse_suffixe,
+    'RUE ' || upper({_NOUN}) AS adresse_nom_voie,
+    {_PC} AS code_postal, c_name AS nom_commune, {_PAD2_NATION} AS code_departement,
+    l_linestatus = 'F' AS has_lot1, l_quantity AS q,
+    CASE WHEN l_tax >= 0.07 THEN 'bad' WHEN l_tax >= 0.04 THEN 'ok' ELSE '' END AS lot2_kind,
+    CASE WHEN {_NOUN} IN ('widget', 'gizmo', 'rod') THEN 'Maison'
+         WHEN {_NOUN} IN ('ring', 'plate', 'gear') THEN 'Appartement' ELSE 'Dépendance' END AS type_local,
+    l_returnflag <> 'R' AS has_bati,
+    l_linenumber AS ln
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+  JOIN part ON l_partkey = p_partkey
+),
+sale_calc AS (
+  SELECT *,
+    (CASE WHEN has_lot1 THEN q ELSE 0.0 END) + (CASE WHEN lot2_kind = 'ok' THEN q / 2 ELSE 0.0 END) AS carrez,
+    lot2_kind = 'bad' AS lot2_bad,
+    TRY_CAST(valeur_fonciere AS DOUBLE) AS price
+  FROM sale_rows
+  WHERE nature_mutation = 'Vente' AND valeur_fonciere <> '' AND type_local IN ('Maison', 'Appartement')
+),
+sale_surf AS (
+  SELECT *,
+    CASE WHEN carrez <> 0 THEN carrez WHEN has_bati THEN q * 2 ELSE 0.0 END AS surface
+  FROM sale_calc
+)"""
+
+ORACLE["dvf_normalise"] = with_ctes(SALE_ROWS, body=f"""
+SELECT 'dvf_' || id_mutation || '_' || numero_disposition AS listing_url,
+       'open_data' AS source, code_departement AS department, price,
+       {round_half_even('price / surface', 2)} AS price_per_m2, surface AS surface_m2,
+       CASE WHEN ln IN (6, 7) THEN NULL ELSE ln END AS rooms,
+       CAST(NULL AS INTEGER) AS bedrooms,
+       concat_ws(' ', adresse_numero, nullif(adresse_suffixe, ''), adresse_nom_voie) AS address,
+       nom_commune AS city, code_postal AS postal_code,
+       CASE WHEN type_local = 'Maison' THEN 'maison' ELSE 'appartement' END AS property_type,
+       'Mutation du ' || date_mutation || ' - ' || nature_mutation AS description,
+       TIMESTAMP '2024-06-01 12:00:00' AS first_seen_at, TIMESTAMP '2024-06-01 12:00:00' AS last_seen_at
+FROM sale_surf
+WHERE NOT lot2_bad AND surface > 0 AND price > 0 AND ln <> 6""")
+
+_K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
+ORACLE["ads_normalise"] = with_ctes(f"""
+ev AS (
+  SELECT *, {_K} AS k, value * 1000 AS p FROM events WHERE value >= 1 AND value <= 400
+),
+ads AS (
+  SELECT *,
+    CASE WHEN event_type = 'click' THEN (0.0 + p + p * 1.1) / 3.0 ELSE p END AS price,
+    CASE WHEN event_type = 'view' THEN (0.0 + k + (k + 10)) / 2.0 ELSE CAST(k AS DOUBLE) END AS surface
+  FROM ev WHERE event_type <> 'purchase'
+)""", body=f"""
+SELECT 'ad-' || CAST(event_id AS VARCHAR) AS listing_url, 'ads_api' AS source,
+       {_pad('(user_id % 95 + 1)')} AS department,
+       price,
+       CASE WHEN event_type = 'signup' THEN (CASE WHEN surface > 0 THEN floor(price / surface) ELSE 0.0 END)
+            ELSE value * 10 END AS price_per_m2,
+       surface AS surface_m2,
+       CAST(k // 10 AS INTEGER) AS rooms,
+       CAST(CASE WHEN event_type = 'view' THEN trunc((0.0 + k // 20) / 2.0) ELSE k // 25 END AS INTEGER) AS bedrooms,
+       CASE WHEN event_type = 'error' THEN '' ELSE 'District ' || CAST(user_id AS VARCHAR) END AS address,
+       'Ville ' || CAST(user_id AS VARCHAR) AS city,
+       {_pad('user_id', 5)} AS postal_code,
+       CASE event_type WHEN 'view' THEN 'maison' WHEN 'click' THEN 'appartement'
+                       WHEN 'signup' THEN 'château' ELSE 'bungalow' END AS property_type,
+       event_type || ' ' || strftime(ts, '%Y-%m-%d') AS description,
+       TIMESTAMP '2024-06-01 12:00:00' AS first_seen_at, TIMESTAMP '2024-06-01 12:00:00' AS last_seen_at
+FROM ads""")
+
+
+def _list_mean_sql(arr: str) -> str:
+    return (f"coalesce(list_reduce(list_prepend(0.0, list_transform(list_filter({arr}, lambda x: x IS NOT NULL), "
+            f"lambda x: CAST(x AS DOUBLE))), lambda a, b: a + b) / nullif(len({arr}), 0), 0.0)")
+
+
+ORACLE["list_mean"] = f"""
+SELECT vec_id, {sround(_list_mean_sql('embedding'), 6)} AS mean_all,
+       {sround(_list_mean_sql('embedding[1:label]'), 6)} AS mean_head
+FROM embeddings"""
+
+_WS = "[\\s\\x{00a0}]"
+CARDS = f"""
+card_parts AS (
+  SELECT page_id, url, regexp_extract(html, '<html lang="([^"]*)"', 1) AS department,
+         string_split(html, '<p>') AS parts
+  FROM pages
+),
+card_rows AS (
+  SELECT page_id, url, department, i - 1 AS pos, parts[i] AS card_html
+  FROM (SELECT *, unnest(generate_series(2, len(parts))) AS i FROM card_parts)
+),
+cards AS (
+  SELECT page_id, pos, url || '#card-' || CAST(pos AS VARCHAR) AS listing_url,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1) AS source,
+         department,
+         regexp_replace(regexp_replace(card_html, '<[^>]*>', '', 'g'), '^{_WS}+|{_WS}+$', '', 'g') AS description
+  FROM card_rows
+)"""
+
+ORACLE["card_extract"] = with_ctes(CARDS, body="""
+SELECT page_id, pos, listing_url, source, department,
+       CASE WHEN regexp_replace(description, '[^0-9]', '', 'g') <> ''
+            THEN TRY_CAST(regexp_replace(description, '[^0-9]', '', 'g') AS BIGINT) END AS price,
+       CASE WHEN contains(lower(description), 'maison') THEN 'Maison'
+            WHEN contains(lower(description), 'appartement') THEN 'Appartement'
+            WHEN contains(lower(description), 'terrain') THEN 'Terrain'
+            WHEN contains(lower(description), 'studio') THEN 'Studio'
+            WHEN contains(lower(description), 'villa') THEN 'Villa'
+            WHEN contains(lower(description), 'loft') THEN 'Loft' END AS property_type,
+       description
+FROM cards""")
+ORACLE["intake_counts"] = with_ctes(CARDS, body="""
+SELECT source, department, CAST(count(*) AS BIGINT) AS cards, CAST(count(DISTINCT page_id) AS BIGINT) AS pages
+FROM cards GROUP BY source, department""")

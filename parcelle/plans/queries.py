@@ -241,3 +241,47 @@ def q_unprocessed_batch(spark, sf_dir):
     r = raw(spark, sf_dir)
     first_run = clean_ops.clean_listings(r.filter(F.col("first_seen_at") < F.lit(LEDGER_BEFORE).cast("timestamp_ntz")))
     return st.incremental_batch(r, first_run.clean)
+
+
+# ------------------------------------------------------------------ source normalisers
+from parcelle.functions.arrays import list_mean  # noqa: E402
+from parcelle.functions.numbers import stable_round  # noqa: E402
+from parcelle.operators import normalise as nz  # noqa: E402
+from parcelle.sources.tables import read_table  # noqa: E402
+
+RUN_AT = "2024-06-01 12:00:00"
+
+
+@register("dvf_normalise")
+def q_dvf_normalise(spark, sf_dir):
+    return nz.normalise_sales(testdata.sale_rows(spark, sf_dir), RUN_AT).listings.drop("features")
+
+
+@register("ads_normalise")
+def q_ads_normalise(spark, sf_dir):
+    ads = nz.read_ads(testdata.ad_payloads(spark, sf_dir))
+    return nz.normalise_ads(ads, RUN_AT).drop("raw_ad")
+
+
+@register("list_mean")
+def q_list_mean(spark, sf_dir):
+    """Null-tolerant list mean over whole vectors and over a label-long prefix
+    of each vector (empty when the label is 0)."""
+    e = read_table(spark, sf_dir, "embeddings")
+    part = F.slice("embedding", 1, F.col("label"))
+    return e.select("vec_id", stable_round(list_mean("embedding"), 6).alias("mean_all"),
+                    stable_round(list_mean(part), 6).alias("mean_head"))
+
+
+def cards(spark, sf_dir):
+    return nz.normalise_cards(nz.read_cards(read_table(spark, sf_dir, "pages")))
+
+
+@register("card_extract")
+def q_card_extract(spark, sf_dir):
+    return cards(spark, sf_dir)
+
+
+@register("intake_counts")
+def q_intake_counts(spark, sf_dir):
+    return stats_ops.intake_counts(cards(spark, sf_dir))

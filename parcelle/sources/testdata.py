@@ -152,3 +152,101 @@ def region_features(spark: SparkSession, sf_dir: str) -> DataFrame:
                               F.array(F.col("r_regionkey").cast("double"), F.lit(0.0)).alias("coordinates")))
     return r.select(F.col("r_regionkey").cast("string").alias("code"),
                     F.initcap("r_name").alias("nom"), geom.alias("geometry"))
+
+
+# ----------------------------------------------------------------- landed raw formats
+def _s(c) -> F.Column:
+    return F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
+
+
+def sale_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open-data sale rows as the yearly CSV would land them: every column a
+    string, with blanks, malformed numbers, non-sales and repeated
+    (sale, disposition) pairs."""
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+        "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
+                                                         "o_orderdate")
+    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+           .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+           .join(part, F.col("l_partkey") == F.col("p_partkey")))
+    noun = F.get(F.split("p_name", " "), 1)
+    qty = F.col("l_quantity")
+    blank = F.lit("")
+    return j.select(
+        F.concat(F.lit("M"), _s("l_orderkey")).alias("id_mutation"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_mutation"),
+        F.when(F.col("l_linenumber") <= 2, F.lit("1")).otherwise(F.lit("2")).alias("numero_disposition"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("Echange")).otherwise(F.lit("Vente")).alias("nature_mutation"),
+        F.when(F.col("l_discount") == 0.1, blank).otherwise(_s("l_extendedprice")).alias("valeur_fonciere"),
+        _s("l_suppkey").alias("adresse_numero"),
+        F.when(F.col("l_tax") == 0, F.lit("B")).otherwise(blank).alias("adresse_suffixe"),
+        F.concat(F.lit("RUE "), F.upper(noun)).alias("adresse_nom_voie"),
+        postal_code_of(F.col("c_custkey")).alias("code_postal"),
+        F.col("c_name").alias("nom_commune"),
+        pad_code("c_nationkey", 2).alias("code_departement"),
+        F.when(F.col("l_linestatus") == "F", _s(qty)).otherwise(blank).alias("lot1_surface_carrez"),
+        (F.when(F.col("l_tax") >= 0.07, F.replace(_s(qty / 2), F.lit("."), F.lit(",")))
+          .when(F.col("l_tax") >= 0.04, _s(qty / 2)).otherwise(blank)).alias("lot2_surface_carrez"),
+        blank.alias("lot3_surface_carrez"),
+        blank.alias("lot4_surface_carrez"),
+        blank.alias("lot5_surface_carrez"),
+        (F.when(noun.isin("widget", "gizmo", "rod"), F.lit("Maison"))
+          .when(noun.isin("ring", "plate", "gear"), F.lit("Appartement"))
+          .otherwise(F.lit("Dépendance"))).alias("type_local"),
+        F.when(F.col("l_returnflag") == "R", blank).otherwise(_s(qty * 2)).alias("surface_reelle_bati"),
+        (F.when(F.col("l_linenumber") == 7, blank).when(F.col("l_linenumber") == 6, F.lit("6.0"))
+          .otherwise(_s("l_linenumber"))).alias("nombre_pieces_principales"),
+    )
+
+
+def _json_num(c) -> F.Column:
+    return F.coalesce(_s(c), F.lit("null"))
+
+
+def ad_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON ads page per event (``page_id``, ``department``, ``payload``).
+
+    Scalar or list numbers, explicit-null versus missing price per m2, missing
+    district, a ``programme`` type, unknown types, pages without ``total`` and
+    non-object payloads all occur, decided by the event's fields.
+    """
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    k = F.get_json_object("props", "$.k").cast("int")
+    et = F.col("event_type")
+    price = F.col("value") * 1000
+    price_json = F.when(et == "click", F.concat(F.lit("["), _json_num(price), F.lit(",null,"),
+                                                _json_num(price * 1.1), F.lit("]"))).otherwise(_json_num(price))
+    beds_json = F.when(et == "view", F.concat(F.lit("["), _json_num(F.floor(k / 20)), F.lit(",null]"))) \
+                 .otherwise(_json_num(F.floor(k / 25)))
+    ppm2 = (F.when(et == "signup", F.lit('"pricePerSquareMeter":null,'))
+             .when(et == "purchase", F.lit(""))
+             .otherwise(F.concat(F.lit('"pricePerSquareMeter":'), _json_num(F.col("value") * 10), F.lit(","))))
+    district = F.when(et == "error", F.lit("")).otherwise(
+        F.concat(F.lit('"district":{"name":"District '), _s("user_id"), F.lit('"},')))
+    ptype = (F.when(et == "view", F.lit("house")).when(et == "click", F.lit("flat"))
+              .when(et == "purchase", F.lit("programme")).when(et == "signup", F.lit("castle"))
+              .otherwise(F.lit("bungalow")))
+    surface = F.when(et == "view", F.concat(F.lit("["), _json_num(k), F.lit(","), _json_num(k + 10), F.lit("]"))) \
+               .otherwise(_json_num(k))
+    ad = F.concat(
+        F.lit('{"id":"ad-'), _s("event_id"), F.lit('","price":'), price_json,
+        F.lit(',"roomsQuantity":'), _json_num(F.floor(k / 10)),
+        F.lit(',"surfaceArea":'), surface,
+        F.lit(',"bedroomsQuantity":'), beds_json, F.lit(","),
+        ppm2, district,
+        F.lit('"city":"Ville '), _s("user_id"),
+        F.lit('","postalCode":"'), pad_code("user_id", 5),
+        F.lit('","description":"'), et, F.lit(" "), F.date_format("ts", "yyyy-MM-dd"),
+        F.lit('","propertyType":"'), ptype, F.lit('"}'))
+    page = F.concat(F.lit('{"total":'), _s(F.col("user_id") + 100), F.lit(',"from":0,"perPage":24,"realEstateAds":['),
+                    ad, F.lit("]}"))
+    payload = (F.when(F.col("value") < 1, F.lit('{"error":"blocked"}'))
+                .when(F.col("value") > 400, F.lit("[]"))
+                .otherwise(page))
+    return ev.select(F.col("event_id").alias("page_id"),
+                     pad_code(F.col("user_id") % 95 + 1, 2).alias("department"),
+                     payload.alias("payload"))
