@@ -76,3 +76,24 @@ def label_join(a, b, sep: str = " - ") -> Column:
 def thousands(c) -> Column:
     """Value truncated toward zero, printed with comma thousands separators."""
     return F.format_number(col_of(c).cast("bigint"), 0)
+
+
+# Popup labels of the postal-code map.
+POPUP_FIELDS = [
+    ("Code postal", "zipcode_name"),
+    ("Département", "Department"),
+    ("Villes", "GroupCitys"),
+]
+MISSING_COLUMN = "–"
+
+
+def popup_text(df, missing: str = MISSING_COLUMN):
+    """HTML popup per row. A missing *column* shows a dash; a null value in a
+    present column prints ``None`` as the source's string formatting does."""
+    parts = []
+    for label, c in POPUP_FIELDS:
+        value = (F.coalesce(F.col(c).cast("string"), F.lit("None")) if c in df.columns else F.lit(missing))
+        parts += [F.lit(f"<b>{label} :</b> "), value, F.lit("<br>")]
+    parts += [F.lit("<b>Prix moyen :</b> "), thousands(F.col("avg_price")), F.lit(" €<br>"),
+              F.lit("<b>Annonces :</b> "), F.col("nb_annonces").cast("bigint").cast("string")]
+    return F.concat(*parts)

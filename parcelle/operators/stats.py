@@ -185,3 +185,66 @@ def intake_counts(cards: DataFrame, source_col: str = "source", department_col:
     """Cards and distinct pages per (source, department)."""
     return cards.groupBy(source_col, department_col).agg(
         F.count(F.lit(1)).alias("cards"), F.count_distinct(page_col).alias("pages"))
+
+
+# --------------------------------------------------------------------------- M1-M5
+def zone_stats(clean: DataFrame, level: str, zipcodes: DataFrame | None = None,
+               departments: DataFrame | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Statistics per geography (and extra keys ``by``), all types together.
+
+    Same plan as ``geo_stats``: partial sums per postal code first, then the
+    small partial result meets the dimensions."""
+    keys = LEVEL_KEYS[level]
+    partial = _partial_sums(clean, ["ZipCode", *by])
+    located = attach_geography(partial, zipcodes, departments, level)
+    return located.groupBy(*keys, *by).agg(*_merge_sums())
+
+
+def with_surface_band(df: DataFrame, bands: Sequence[float] = (20, 35), col: str = "M2") -> DataFrame:
+    """Band label from ascending upper bounds: ``<20``, ``20-35``, ``>=35``."""
+    expr = None
+    lower = None
+    for b in bands:
+        label = f"<{b:g}" if lower is None else f"{lower:g}-{b:g}"
+        cond = F.col(col) < F.lit(b)
+        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
+        lower = b
+    return df.withColumn("surface_band", expr.otherwise(F.lit(f">={lower:g}")))
+
+
+def surface_price(clean: DataFrame, bands: Sequence[float] = (20, 35)) -> DataFrame:
+    """Average surface against average price per commune and surface band."""
+    banded = with_surface_band(clean, bands)
+    return banded.groupBy(F.col("City").alias("commune"), "surface_band").agg(
+        F.try_divide(exact_sum("M2").cast("double"), F.count("M2").cast("double")).alias("avg_m2"),
+        F.try_divide(exact_sum("Price").cast("double"), F.count("Price").cast("double")).alias("avg_price"),
+        F.count(F.lit(1)).alias("nb_annonces"))
+
+
+# Drill-down level names by grouping id of (region, department, commune).
+DRILL_LEVELS = {0: "commune", 1: "department", 3: "region", 7: "national"}
+
+
+def drilldown(clean: DataFrame, zipcodes: DataFrame, departments: DataFrame) -> DataFrame:
+    """National / region / department / commune rows of one ROLLUP, computed
+    from per-(postal code, commune) partial sums."""
+    partial = _partial_sums(clean, ["ZipCode", "City"])
+    located = attach_geography(partial, zipcodes, departments, "department")
+    rolled = located.rollup("region_name", "department_name", "City").agg(
+        *_merge_sums(), F.grouping_id().alias("_gid"))
+    level = None
+    for gid, name in DRILL_LEVELS.items():
+        cond = F.col("_gid") == gid
+        level = F.when(cond, F.lit(name)) if level is None else level.when(cond, F.lit(name))
+    return rolled.select("region_name", "department_name", F.col("City").alias("commune"),
+                         level.alias("level"), "avg_price", "nb_annonces")
+
+
+def word_frequencies(docs: DataFrame, text_col: str = "text", top: int | None = 100) -> DataFrame:
+    """Lower-cased letter runs counted over whole texts; the ``top`` most
+    frequent (ties by word) feed a word cloud. Counting is a partial
+    aggregate, so frequent words are combined map-side."""
+    words = docs.select(F.explode(F.split(F.lower(F.col(text_col)), r"[^\p{L}]+")).alias("word"))
+    counts = words.filter(F.length("word") > 0).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    ordered = counts.orderBy(F.desc("n"), "word")
+    return ordered.limit(top) if top else ordered

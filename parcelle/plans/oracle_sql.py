@@ -462,3 +462,156 @@ FROM cards""")
 ORACLE["intake_counts"] = with_ctes(CARDS, body="""
 SELECT source, department, CAST(count(*) AS BIGINT) AS cards, CAST(count(DISTINCT page_id) AS BIGINT) AS pages
 FROM cards GROUP BY source, department""")
+
+# ---------------------------------------------------------------- scalar helpers
+_FIRST_TOK = "regexp_split_to_array(regexp_replace({f}, '^[\\s\\x{{00a0}}]+|[\\s\\x{{00a0}}]+$', '', 'g'), '[\\s\\x{{00a0}}]+')[1]"
+
+
+def _tok(f: str) -> str:
+    return _FIRST_TOK.format(f=f)
+
+
+_FEATS = "list_filter(facts, lambda x: x IS DISTINCT FROM '·')"
+
+def _fact_int(word: str) -> str:
+    hit = (f"list_filter({_FEATS}, lambda f: contains(f, '{word}') AND "
+           f"coalesce(regexp_full_match({_tok('f')}, '[0-9]+'), false))[1]")
+    return f"TRY_CAST({_tok(hit)} AS INTEGER)"
+
+
+def _fact_surface() -> str:
+    t = f"replace({_tok('f')}, ',', '.')"
+    hit = (f"list_filter({_FEATS}, lambda f: contains(f, 'm²') AND NOT contains(lower(f), 'terrain') AND "
+           f"coalesce(regexp_full_match(replace({t}, '.', ''), '[0-9]+'), false))[1]")
+    return f"TRY_CAST(replace({_tok(hit)}, ',', '.') AS DOUBLE)"
+
+
+_CARD_TYPE = """CASE WHEN contains(lower(type_text), 'maison') THEN 'Maison'
+            WHEN contains(lower(type_text), 'appartement') THEN 'Appartement'
+            WHEN contains(lower(type_text), 'terrain') THEN 'Terrain'
+            WHEN contains(lower(type_text), 'studio') THEN 'Studio'
+            WHEN contains(lower(type_text), 'villa') THEN 'Villa'
+            WHEN contains(lower(type_text), 'loft') THEN 'Loft' END"""
+
+ORACLE["keyfacts"] = with_ctes(LISTINGS_RAW, """
+card_src AS (
+  SELECT _id,
+    CASE WHEN source = 'collector_r' THEN chr(160) ELSE ' ' END AS sep,
+    CAST(rooms AS VARCHAR) AS r, CAST(bedrooms AS VARCHAR) AS b,
+    replace(CAST(surface_m2 AS VARCHAR), '.', ',') AS s, CAST(rooms * 100 AS VARCHAR) AS l,
+    source, price, city, postal_code, is_active, description, property_type
+  FROM listings_raw
+),
+card_boxes AS (
+  SELECT _id,
+    CASE WHEN source = 'collector_a'
+      THEN [l || ' m² terrain', '·', s || sep || 'm²', '·', r || sep || 'pièces', '·', b || sep || 'chambres']
+      ELSE [r || sep || 'pièces', '·', b || sep || 'chambres', '·', s || sep || 'm²', '·', l || ' m² terrain'] END AS facts,
+    CAST(floor(price) AS BIGINT) AS price,
+    CASE WHEN is_active THEN city || ' (' || postal_code || ')' ELSE city END AS address,
+    description, property_type AS type_text
+  FROM card_src
+),
+card_vals AS (
+  SELECT *, """ + _fact_int("pièce") + " AS rooms0, " + _fact_int("chambre") + " AS beds0, " + _fact_surface()
+    + f""" AS surf0, len({_FEATS}) AS n_facts FROM card_boxes
+)""", body=f"""
+SELECT _id, n_facts, price,
+       CASE WHEN rooms0 <> 0 THEN rooms0 END AS rooms,
+       CASE WHEN beds0 <> 0 THEN beds0 END AS bedrooms,
+       CASE WHEN surf0 <> 0 THEN surf0 END AS surface_m2,
+       CASE WHEN surf0 <> 0 THEN floor(price / surf0) END AS price_per_m2,
+       regexp_replace(split_part(address, '(', 1), '^{_WS}+|{_WS}+$', '', 'g') AS city,
+       CASE WHEN contains(address, '(') THEN
+         regexp_replace(replace(split_part(address, '(', 2), ')', ''), '^{_WS}+|{_WS}+$', '', 'g') END AS postal_code,
+       regexp_replace(' ' || description || ' ', '^{_WS}+|{_WS}+$', '', 'g') AS description,
+       {_CARD_TYPE} AS property_type
+FROM card_vals""")
+
+
+def _clean_num(t: str) -> str:
+    kept = f"replace(regexp_replace({t}, '[^0-9.,]', '', 'g'), ',', '.')"
+    return f"CASE WHEN length({t}) > 0 THEN TRY_CAST({kept} AS DOUBLE) END"
+
+
+def _clean_price(t: str) -> str:
+    s = f"replace(replace(replace(replace({t}, '€', ''), '/m²', ''), ' ', ''), chr(160), '')"
+    s = f"replace(regexp_replace({s}, '^{_WS}+|{_WS}+$', '', 'g'), ',', '.')"
+    return f"CASE WHEN length({s}) > 0 THEN TRY_CAST({s} AS DOUBLE) END"
+
+
+ORACLE["number_clean"] = f"""
+WITH t AS (
+  SELECT l_orderkey, l_linenumber,
+    'EUR ' || CAST(l_extendedprice AS VARCHAR) || ' TTC' AS t_currency,
+    replace(CAST(l_extendedprice AS VARCHAR), '.', ',') || ' €' AS t_comma,
+    CAST(l_quantity AS VARCHAR) || ' m²' AS t_unit,
+    CAST(l_orderkey AS VARCHAR) || '.' || CAST(l_linenumber AS VARCHAR) || '.' || CAST(l_suppkey AS VARCHAR) AS t_dotted,
+    CASE WHEN l_discount = 0 THEN '' ELSE CAST(l_tax AS VARCHAR) END AS t_blank,
+    replace(format('{{:,}}', CAST(floor(l_extendedprice) AS BIGINT)), ',', chr(160)) || ' €/m²' AS t_nbsp
+  FROM lineitem
+)
+SELECT l_orderkey, l_linenumber,
+  {_clean_num('t_currency')} AS n_currency,
+  {_clean_price('t_comma')} AS n_comma,
+  {_clean_num('t_comma')} AS n_comma_generic,
+  {_clean_num('t_unit')} AS n_unit,
+  {_clean_num('t_dotted')} AS n_dotted,
+  {_clean_num('t_blank')} AS n_blank,
+  {_clean_price('t_nbsp')} AS n_nbsp,
+  CASE WHEN regexp_replace(t_comma, '[^0-9]', '', 'g') <> ''
+       THEN TRY_CAST(regexp_replace(t_comma, '[^0-9]', '', 'g') AS BIGINT) END AS n_digits
+FROM t"""
+
+ORACLE["run_metrics"] = f"""
+WITH log AS (SELECT event_type AS run_id, {_K} AS items, ts AS fetched_at FROM events),
+agg AS (
+  SELECT run_id, min(fetched_at) AS started_at,
+         date_diff('microsecond', min(fetched_at), max(fetched_at)) / 1e6 AS duration_seconds,
+         CAST(sum(items) AS BIGINT) AS total_properties,
+         CAST(count(*) FILTER (WHERE items > 0) AS BIGINT) AS total_pages
+  FROM log GROUP BY run_id
+)
+SELECT *, total_properties / greatest(1, total_pages) AS properties_per_page,
+       duration_seconds / greatest(1, total_properties) AS time_per_property
+FROM agg"""
+
+ORACLE["popup_text"] = with_ctes(*stats_ctes("zipcode"), body="""
+SELECT s.zipcode_name,
+  '<b>Code postal :</b> ' || s.zipcode_name || '<br>' ||
+  '<b>Département :</b> ' || coalesce(z.Department, 'None') || '<br>' ||
+  '<b>Villes :</b> ' || coalesce(z.GroupCitys, 'None') || '<br>' ||
+  '<b>Prix moyen :</b> ' || format('{:,}', CAST(trunc(s.avg_price) AS BIGINT)) || ' €<br>' ||
+  '<b>Annonces :</b> ' || CAST(s.nb_annonces AS VARCHAR) AS popup
+FROM stats_zipcode s LEFT JOIN zipcode_dim z ON s.zipcode_name = z.ZipCode
+WHERE s.logement_type = 'maison' AND s.nb_annonces >= 3""")
+
+# ---------------------------------------------------------------- documented analyses
+ORACLE["price_zone_year"] = with_ctes(*GEO, _LOCATED, body=f"""
+SELECT region_name, year(Date) AS year,
+       {sround("AVG(CASE WHEN M2 = 0 THEN NULL ELSE Price / M2 END)")} AS avg_price_m2,
+       CAST(count(*) AS BIGINT) AS nb_annonces
+FROM located WHERE Price BETWEEN 20000 AND 90000
+GROUP BY region_name, year(Date)""")
+ORACLE["density"] = with_ctes(*GEO, _LOCATED, body="""
+SELECT department_id, department_name, CAST(count(*) AS BIGINT) AS nb_annonces
+FROM located WHERE Logement = 'maison' AND Price BETWEEN 30000 AND 70000
+GROUP BY department_id, department_name""")
+ORACLE["surface_price"] = with_ctes(*BASE, body="""
+SELECT City AS commune,
+       CASE WHEN M2 < 20 THEN '<20' WHEN M2 < 35 THEN '20-35' ELSE '>=35' END AS surface_band,
+       CAST(SUM(CAST(M2 AS DECIMAL(18,2))) AS DOUBLE) / COUNT(M2) AS avg_m2,
+       CAST(SUM(CAST(Price AS DECIMAL(18,2))) AS DOUBLE) / COUNT(Price) AS avg_price,
+       CAST(count(*) AS BIGINT) AS nb_annonces
+FROM clean GROUP BY 1, 2""")
+ORACLE["drilldown"] = with_ctes(*GEO, _LOCATED, body="""
+SELECT region_name, department_name, City AS commune,
+       CASE GROUPING(region_name, department_name, City)
+         WHEN 0 THEN 'commune' WHEN 1 THEN 'department' WHEN 3 THEN 'region' WHEN 7 THEN 'national' END AS level,
+       CAST(SUM(CAST(Price AS DECIMAL(18,2))) AS DOUBLE) / COUNT(Price) AS avg_price,
+       CAST(count(*) AS BIGINT) AS nb_annonces
+FROM located GROUP BY ROLLUP (region_name, department_name, City)""")
+ORACLE["word_freq"] = """
+WITH w AS (SELECT unnest(regexp_split_to_array(lower(text), '[^\\pL]+')) AS word FROM documents)
+SELECT word, CAST(count(*) AS BIGINT) AS n FROM w WHERE length(word) > 0
+GROUP BY word ORDER BY n DESC, word LIMIT 100"""

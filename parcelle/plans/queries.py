@@ -285,3 +285,82 @@ def q_card_extract(spark, sf_dir):
 @register("intake_counts")
 def q_intake_counts(spark, sf_dir):
     return stats_ops.intake_counts(cards(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ scalar helpers
+from parcelle.functions import numbers as num  # noqa: E402
+from parcelle.functions.text import popup_text  # noqa: E402
+
+
+@register("keyfacts")
+def q_keyfacts(spark, sf_dir):
+    out = nz.normalise_keyfacts(testdata.card_facts(raw(spark, sf_dir)))
+    return out.select("_id", "n_facts", "price", "rooms", "bedrooms", "surface_m2", "price_per_m2",
+                      "city", "postal_code", "description", "property_type")
+
+
+@register("number_clean")
+def q_number_clean(spark, sf_dir):
+    t = testdata.number_texts(spark, sf_dir)
+    return t.select(
+        "l_orderkey", "l_linenumber",
+        num.clean_number("t_currency").alias("n_currency"),
+        num.clean_price_text("t_comma").alias("n_comma"),
+        num.clean_number("t_comma").alias("n_comma_generic"),
+        num.clean_number("t_unit").alias("n_unit"),
+        num.clean_number("t_dotted").alias("n_dotted"),
+        num.clean_number("t_blank").alias("n_blank"),
+        num.clean_price_text("t_nbsp").alias("n_nbsp"),
+        num.digits_to_long("t_comma").alias("n_digits"),
+    )
+
+
+@register("run_metrics")
+def q_run_metrics(spark, sf_dir):
+    return stats_ops.run_metrics(testdata.run_log(spark, sf_dir))
+
+
+@register("popup_text")
+def q_popup_text(spark, sf_dir):
+    z = q_zip_left_join(spark, sf_dir)
+    return z.select("zipcode_name", popup_text(z).alias("popup"))
+
+
+# ------------------------------------------------------------------ documented analyses (M1-M5)
+PRICE_BAND = (20000, 90000)
+DENSITY_BAND = (30000, 70000)
+
+
+def dims(spark, sf_dir):
+    return testdata.zipcode_dim(spark, sf_dir), testdata.department_dim(spark, sf_dir)
+
+
+@register("price_zone_year")
+def q_price_zone_year(spark, sf_dir):
+    c = clean(spark, sf_dir).filter(F.col("Price").between(*PRICE_BAND)).withColumn("year", F.year("Date"))
+    z, d = dims(spark, sf_dir)
+    s = stats_ops.zone_stats(c, "region", z, d, by=["year"])
+    return s.select("region_name", "year", "avg_price_m2", "nb_annonces")
+
+
+@register("density")
+def q_density(spark, sf_dir):
+    c = clean(spark, sf_dir).filter((F.col("Logement") == "maison") & F.col("Price").between(*DENSITY_BAND))
+    z, d = dims(spark, sf_dir)
+    return stats_ops.zone_stats(c, "department", z, d).select("department_id", "department_name", "nb_annonces")
+
+
+@register("surface_price")
+def q_surface_price(spark, sf_dir):
+    return stats_ops.surface_price(clean(spark, sf_dir))
+
+
+@register("drilldown")
+def q_drilldown(spark, sf_dir):
+    z, d = dims(spark, sf_dir)
+    return stats_ops.drilldown(clean(spark, sf_dir), z, d)
+
+
+@register("word_freq")
+def q_word_freq(spark, sf_dir):
+    return stats_ops.word_frequencies(read_table(spark, sf_dir, "documents"), top=100)

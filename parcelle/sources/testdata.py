@@ -250,3 +250,53 @@ def ad_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.col("event_id").alias("page_id"),
                      pad_code(F.col("user_id") % 95 + 1, 2).alias("department"),
                      payload.alias("payload"))
+
+
+def card_facts(raw: DataFrame) -> DataFrame:
+    """Result-card boxes built from raw listings: key-fact list (separators,
+    no-break spaces, a land-surface fact, sometimes first), price text with
+    thousands separators, address with or without ``(postal code)``,
+    description fragments and type text."""
+    nb = "\u00a0"
+    sep = F.when(F.col("source") == "collector_r", F.lit(nb)).otherwise(F.lit(" "))
+    f_rooms = F.concat(_s("rooms"), sep, F.lit("pièces"))
+    f_beds = F.concat(_s("bedrooms"), sep, F.lit("chambres"))
+    f_surf = F.concat(F.replace(_s("surface_m2"), F.lit("."), F.lit(",")), sep, F.lit("m²"))
+    f_land = F.concat(_s(F.col("rooms") * 100), F.lit(" m² terrain"))
+    dot = F.lit("·")
+    facts = F.when(F.col("source") == "collector_a", F.array(f_land, dot, f_surf, dot, f_rooms, dot, f_beds)) \
+             .otherwise(F.array(f_rooms, dot, f_beds, dot, f_surf, dot, f_land))
+    price_text = F.concat(F.format_number(F.floor("price").cast("bigint"), 0), F.lit(" €"))
+    address = F.when(F.col("is_active"), F.concat(F.col("city"), F.lit(" ("), F.col("postal_code"), F.lit(")"))) \
+               .otherwise(F.col("city"))
+    parts = F.array(F.lit(" "), F.col("description"), F.lit(" "))
+    return raw.select("_id", facts.alias("facts"), price_text.alias("price_text"), address.alias("address"),
+                      parts.alias("text_parts"), F.col("property_type").alias("type_text"))
+
+
+def number_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number strings as collectors meet them, built from line items: prices
+    with currency text, comma decimals, units, no-break thousands separators,
+    dotted ids (malformed) and blanks."""
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_suppkey")
+    price = _s("l_extendedprice")
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        F.concat(F.lit("EUR "), price, F.lit(" TTC")).alias("t_currency"),
+        F.concat(F.replace(price, F.lit("."), F.lit(",")), F.lit(" €")).alias("t_comma"),
+        F.concat(_s("l_quantity"), F.lit(" m²")).alias("t_unit"),
+        F.concat_ws(".", _s("l_orderkey"), _s("l_linenumber"), _s("l_suppkey")).alias("t_dotted"),
+        F.when(F.col("l_discount") == 0, F.lit("")).otherwise(_s("l_tax")).alias("t_blank"),
+        F.concat(F.replace(F.format_number(F.floor("l_extendedprice").cast("bigint"), 0), F.lit(","), F.lit("\u00a0")),
+                 F.lit(" €/m²")).alias("t_nbsp"),
+    )
+
+
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collector run log: one row per fetched page (run = event type, items =
+    the event's ``k`` property, fetch time = event time)."""
+    ev = read_table(spark, sf_dir, "events").select("event_type", "ts", "props")
+    return ev.select(F.col("event_type").alias("run_id"),
+                     F.get_json_object("props", "$.k").cast("int").alias("items"),
+                     F.col("ts").alias("fetched_at"))
