@@ -22,10 +22,23 @@ def py_strip(c) -> Column:
     return F.regexp_replace(col_of(c), rf"^{PY_WS}+|{PY_WS}+$", "")
 
 
+# Characters Python's str.split() treats as separators in listing text
+# (ASCII whitespace and the no-break space), mapped to a plain space.
+_PY_SPACES = "\t\n\r\x0b\x0c\u00a0"
+
+
+def strip_cell(c) -> Column:
+    """Trim Python whitespace (incl. no-break space) from a cell that is about
+    to be parsed as a number; interior whitespace is mapped to spaces, which
+    a number never contains anyway. Regex-free, so cheap in a scan filter."""
+    return F.trim(F.translate(col_of(c), _PY_SPACES, " " * len(_PY_SPACES)))
+
+
 def first_token(c) -> Column:
-    """First whitespace-separated word (null for blank text)."""
-    parts = F.split(py_strip(c), rf"{PY_WS}+")
-    tok = F.get(parts, 0)
+    """First whitespace-separated word (null for blank text). Plain string
+    functions (translate, trim, substring_index), no regex."""
+    s = F.trim(F.translate(col_of(c), _PY_SPACES, " " * len(_PY_SPACES)))
+    tok = F.substring_index(s, " ", 1)
     return F.when(F.length(tok) > 0, tok)
 
 

@@ -75,27 +75,30 @@ def with_checks(projected: DataFrame,
                 keyword_map: Mapping[str, Sequence[str]] = HOUSING_KEYWORDS,
                 min_price: float = MIN_PRICE_EXCLUSIVE,
                 min_surface: float = MIN_SURFACE) -> DataFrame:
-    """Add cleaned columns and ``reason`` (null when the row is kept)."""
-    zip_clean = remove_whitespace(F.col("ZipCode"))
-    zip_ok = (F.col("ZipCode").isNotNull() & (F.length(zip_clean) == 5)
-              & zip_clean.rlike(r"^[0-9]{5}$"))
+    """Add cleaned columns and ``reason`` (null when the row is kept).
+
+    The cleaned postal code, lower-cased name and housing type are computed in
+    one projection and the checks read those columns: the checks sit in CASE
+    branches, where repeated expressions would otherwise be re-evaluated."""
+    staged = projected.select(
+        "Id", "Price", "M2", "City", "Rooms", "Date",
+        F.col("ZipCode").isNotNull().alias("_has_zip"),
+        remove_whitespace(F.col("ZipCode")).alias("ZipCode"),
+        F.lower(F.col("Name")).alias("Name"),
+    ).withColumn("Logement", classify(F.col("Name"), keyword_map))
+    zc = F.col("ZipCode")
+    zip_ok = F.col("_has_zip") & (F.length(zc) == 5) & zc.rlike(r"^[0-9]{5}$")
     price, m2 = F.col("Price"), F.col("M2")
     price_ok = price.isNotNull() & ~F.isnan(price) & (price > min_price)
     m2_ok = m2.isNotNull() & ~F.isnan(m2) & (m2 >= min_surface)
-    name = F.lower(F.col("Name"))
-    logement = classify(name, keyword_map)
     reason = (F.when(~zip_ok, F.lit("postal_code"))
                .when(~price_ok, F.lit("price"))
                .when(~m2_ok, F.lit("surface"))
-               .when(logement == UNCLASSIFIED, F.lit("type")))
-    return projected.select(
-        "Id",
-        name.alias("Name"),
-        "Price", "M2", "City",
-        logement.alias("Logement"),
-        studio_rooms(name, F.col("Rooms")).alias("Rooms"),
-        "Date",
-        zip_clean.alias("ZipCode"),
+               .when(F.col("Logement") == UNCLASSIFIED, F.lit("type")))
+    return staged.select(
+        "Id", "Name", "Price", "M2", "City", "Logement",
+        studio_rooms(F.col("Name"), F.col("Rooms")).alias("Rooms"),
+        "Date", "ZipCode",
         reason.alias("reason"),
     )
 

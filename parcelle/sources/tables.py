@@ -7,14 +7,40 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
+# Fixed-size lookup tables: never worth spreading.
+TINY_TABLES = ("region", "nation")
 
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan; column pruning and filter pushdown are left to Catalyst."""
+_SPLITS: dict[tuple[str, str], int] = {}
+
+
+def spread_if_narrow(spark: SparkSession, df: DataFrame, key: str | None = None) -> DataFrame:
+    """Round-robin the rows over the cluster when a scan yields fewer input
+    partitions than there are cores (a single large row group or an
+    unsplittable file is read by one task). A real table with many splits is
+    left untouched, so no shuffle is added at scale. The split count of a
+    path is looked up once per application."""
+    target = spark.sparkContext.defaultParallelism
+    cache_key = (spark.sparkContext.applicationId, key) if key else None
+    if cache_key is not None and cache_key in _SPLITS:
+        splits = _SPLITS[cache_key]
+    else:
+        splits = df.rdd.getNumPartitions()
+        if cache_key is not None:
+            _SPLITS[cache_key] = splits
+    return df.repartition(target) if splits < target else df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Parquet scan; column pruning and filter pushdown are left to Catalyst
+    (they pass through the optional round-robin spread)."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(table_path(sf_dir, name))
+    df = spark.read.parquet(table_path(sf_dir, name))
+    if spread and name not in TINY_TABLES:
+        df = spread_if_narrow(spark, df, table_path(sf_dir, name))
+    return df
