@@ -41,12 +41,23 @@ def _key_match(left: DataFrame, right: DataFrame, key: str) -> Column:
     return left[key].eqNullSafe(right[key])
 
 
-def aggregate_batch(batch: DataFrame, key: str = KEY,
-                    order: Sequence[str] = ("last_seen_at", ID)) -> DataFrame:
+def _latest_order(batch: DataFrame, order: Sequence[str] | None) -> list[str]:
+    """Sort key deciding the latest sighting: last-seen time, then the id, then
+    every scalar data field, so equal timestamps still give one answer."""
+    if order is not None:
+        return list(order)
+    ties = [c for c in DATA_FIELDS if c in batch.columns and c not in ("features", "last_seen_at")]
+    return [c for c in ["last_seen_at", ID] if c in batch.columns] + ties
+
+
+def aggregate_batch(batch: DataFrame, key: str = KEY, order: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the latest sighting's fields (by ``order``), the number
-    of sightings and the earliest first-seen time."""
+    of sightings and the earliest first-seen time. A batch without ids (a
+    normalised source) gets the key as id."""
+    if ID not in batch.columns:
+        batch = batch.withColumn(ID, F.col(key).cast("string"))
     fields = [c for c in [ID, *DATA_FIELDS] if c in batch.columns]
-    latest = F.max_by(F.struct(*fields), F.struct(*order))
+    latest = F.max_by(F.struct(*fields), F.struct(*_latest_order(batch, order)))
     agg = batch.groupBy(key).agg(latest.alias("_latest"), F.count(F.lit(1)).alias("_n"),
                                  F.min("first_seen_at").alias("_first_seen"))
     return agg.select(key, "_latest.*", "_n", "_first_seen")

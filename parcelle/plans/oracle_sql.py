@@ -375,7 +375,8 @@ sale_surf AS (
   FROM sale_calc
 )"""
 
-ORACLE["dvf_normalise"] = with_ctes(SALE_ROWS, body=f"""
+DVF_LISTINGS = f"""
+dvf_listings AS (
 SELECT 'dvf_' || id_mutation || '_' || numero_disposition AS listing_url,
        'open_data' AS source, code_departement AS department, price,
        {round_half_even('price / surface', 2)} AS price_per_m2, surface AS surface_m2,
@@ -387,10 +388,12 @@ SELECT 'dvf_' || id_mutation || '_' || numero_disposition AS listing_url,
        'Mutation du ' || date_mutation || ' - ' || nature_mutation AS description,
        TIMESTAMP '2024-06-01 12:00:00' AS first_seen_at, TIMESTAMP '2024-06-01 12:00:00' AS last_seen_at
 FROM sale_surf
-WHERE NOT lot2_bad AND surface > 0 AND price > 0 AND ln <> 6""")
+WHERE NOT lot2_bad AND surface > 0 AND price > 0 AND ln <> 6
+)"""
+ORACLE["dvf_normalise"] = with_ctes(SALE_ROWS, DVF_LISTINGS, body="SELECT * FROM dvf_listings")
 
 _K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
-ORACLE["ads_normalise"] = with_ctes(f"""
+ADS_LISTINGS = f"""
 ev AS (
   SELECT *, {_K} AS k, value * 1000 AS p FROM events WHERE value >= 1 AND value <= 400
 ),
@@ -399,7 +402,8 @@ ads AS (
     CASE WHEN event_type = 'click' THEN (0.0 + p + p * 1.1) / 3.0 ELSE p END AS price,
     CASE WHEN event_type = 'view' THEN (0.0 + k + (k + 10)) / 2.0 ELSE CAST(k AS DOUBLE) END AS surface
   FROM ev WHERE event_type <> 'purchase'
-)""", body=f"""
+),
+ads_listings AS (
 SELECT 'ad-' || CAST(event_id AS VARCHAR) AS listing_url, 'ads_api' AS source,
        {_pad('(user_id % 95 + 1)')} AS department,
        price,
@@ -415,7 +419,9 @@ SELECT 'ad-' || CAST(event_id AS VARCHAR) AS listing_url, 'ads_api' AS source,
                        WHEN 'signup' THEN 'château' ELSE 'bungalow' END AS property_type,
        event_type || ' ' || strftime(ts, '%Y-%m-%d') AS description,
        TIMESTAMP '2024-06-01 12:00:00' AS first_seen_at, TIMESTAMP '2024-06-01 12:00:00' AS last_seen_at
-FROM ads""")
+FROM ads
+)"""
+ORACLE["ads_normalise"] = with_ctes(ADS_LISTINGS, body="SELECT * FROM ads_listings")
 
 
 def _list_mean_sql(arr: str) -> str:
@@ -615,3 +621,17 @@ ORACLE["word_freq"] = """
 WITH w AS (SELECT unnest(regexp_split_to_array(lower(text), '[^\\pL]+')) AS word FROM documents)
 SELECT word, CAST(count(*) AS BIGINT) AS n FROM w WHERE length(word) > 0
 GROUP BY word ORDER BY n DESC, word LIMIT 100"""
+
+_MERGE_COLS = ("listing_url, source, department, price, price_per_m2, surface_m2, rooms, bedrooms, address, "
+               "city, postal_code, property_type, description, first_seen_at, last_seen_at")
+_TIE = ", ".join(f"{c} DESC NULLS LAST" for c in
+                 ["last_seen_at", "listing_url", "source", "department", "price", "price_per_m2", "surface_m2",
+                  "rooms", "bedrooms", "address", "city", "postal_code", "property_type", "description"])
+ORACLE["merged_state"] = with_ctes(SALE_ROWS, DVF_LISTINGS, ADS_LISTINGS, f"""
+merged AS (SELECT {_MERGE_COLS} FROM dvf_listings UNION ALL SELECT {_MERGE_COLS} FROM ads_listings),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY listing_url ORDER BY {_TIE}) AS rn,
+         count(*) OVER (PARTITION BY listing_url) AS n
+  FROM merged
+)""", body="""
+SELECT listing_url, source, price, surface_m2, rooms, CAST(n AS BIGINT) AS update_count FROM ranked WHERE rn = 1""")

@@ -364,3 +364,13 @@ def q_drilldown(spark, sf_dir):
 @register("word_freq")
 def q_word_freq(spark, sf_dir):
     return stats_ops.word_frequencies(read_table(spark, sf_dir, "documents"), top=100)
+
+
+@register("merged_state")
+def q_merged_state(spark, sf_dir):
+    """Two normalised sources merged under one schema, then loaded as keyed
+    state (repeated sale keys collapse, sightings are counted)."""
+    sales = nz.normalise_sales(testdata.sale_rows(spark, sf_dir), RUN_AT).listings
+    ads = nz.normalise_ads(nz.read_ads(testdata.ad_payloads(spark, sf_dir)), RUN_AT).drop("raw_ad")
+    state = st.upsert(None, nz.merge_sources(sales, ads))
+    return state.select("listing_url", "source", "price", "surface_m2", "rooms", "update_count")
