@@ -35,12 +35,21 @@ def spread_if_narrow(spark: SparkSession, df: DataFrame, key: str | None = None)
     return df.repartition(target) if splits < target else df
 
 
+_SCANS: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """Parquet scan; column pruning and filter pushdown are left to Catalyst
-    (they pass through the optional round-robin spread)."""
+    (they pass through the optional round-robin spread). The scan plan of a
+    read-only table is built once per application (a DataFrame is a plan, not
+    data: nothing is cached), which saves listing and footer reads."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    df = spark.read.parquet(table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    key = (spark.sparkContext.applicationId, path)
+    df = _SCANS.get(key)
+    if df is None:
+        df = _SCANS[key] = spark.read.parquet(path)
     if spread and name not in TINY_TABLES:
-        df = spread_if_narrow(spark, df, table_path(sf_dir, name))
+        df = spread_if_narrow(spark, df, path)
     return df
