@@ -12,9 +12,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelle.functions import numbers as num
+from parcelle.functions.arrays import list_mean
+from parcelle.functions.numbers import stable_round
+from parcelle.functions.text import popup_text
 from parcelle.operators import clean as clean_ops
+from parcelle.operators import filters as flt
+from parcelle.operators import geo as geo_ops
+from parcelle.operators import normalise as nz
+from parcelle.operators import state as st
 from parcelle.operators import stats as stats_ops
 from parcelle.sources import testdata
+from parcelle.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -79,8 +88,6 @@ def q_stats_zipcode(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ filters and lookups
-from parcelle.operators import filters as flt  # noqa: E402
-from parcelle.operators import geo as geo_ops  # noqa: E402
 
 SEARCH = flt.SearchFilters(city="Customer#000001", property_type="Appartement",
                            price_min=20000, price_max=80000,
@@ -183,7 +190,6 @@ def q_zip_left_join(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ keyed state
-from parcelle.operators import state as st  # noqa: E402
 
 NOW = "2001-06-01 00:00:00"
 LEDGER_BEFORE = "1998-01-01"
@@ -244,10 +250,6 @@ def q_unprocessed_batch(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ source normalisers
-from parcelle.functions.arrays import list_mean  # noqa: E402
-from parcelle.functions.numbers import stable_round  # noqa: E402
-from parcelle.operators import normalise as nz  # noqa: E402
-from parcelle.sources.tables import read_table  # noqa: E402
 
 RUN_AT = "2024-06-01 12:00:00"
 
@@ -288,8 +290,6 @@ def q_intake_counts(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ scalar helpers
-from parcelle.functions import numbers as num  # noqa: E402
-from parcelle.functions.text import popup_text  # noqa: E402
 
 
 @register("keyfacts")
