@@ -442,7 +442,7 @@ card_parts AS (
   FROM pages
 ),
 card_rows AS (
-  SELECT page_id, url, department, i - 1 AS pos, parts[i] AS card_html
+  SELECT page_id, url, department, CAST(i - 1 AS INTEGER) AS pos, parts[i] AS card_html
   FROM (SELECT *, unnest(generate_series(2, len(parts))) AS i FROM card_parts)
 ),
 cards AS (
@@ -520,7 +520,7 @@ card_boxes AS (
 ),
 card_vals AS (
   SELECT *, """ + _fact_int("pièce") + " AS rooms0, " + _fact_int("chambre") + " AS beds0, " + _fact_surface()
-    + f""" AS surf0, len({_FEATS}) AS n_facts FROM card_boxes
+    + f""" AS surf0, CAST(len({_FEATS}) AS INTEGER) AS n_facts FROM card_boxes
 )""", body=f"""
 SELECT _id, n_facts, price,
        CASE WHEN rooms0 <> 0 THEN rooms0 END AS rooms,
@@ -594,7 +594,7 @@ WHERE s.logement_type = 'maison' AND s.nb_annonces >= 3""")
 
 # ---------------------------------------------------------------- documented analyses
 ORACLE["price_zone_year"] = with_ctes(*GEO, _LOCATED, body=f"""
-SELECT region_name, year(Date) AS year,
+SELECT region_name, CAST(year(Date) AS INTEGER) AS year,
        {sround("AVG(CASE WHEN M2 = 0 THEN NULL ELSE Price / M2 END)")} AS avg_price_m2,
        CAST(count(*) AS BIGINT) AS nb_annonces
 FROM located WHERE Price BETWEEN 20000 AND 90000

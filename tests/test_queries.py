@@ -50,6 +50,13 @@ def test_query_matches_oracle(spark, duck, name):
     assert s_rows == d_rows
 
 
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_types_match_oracle(spark, duck, name):
+    s = {f.name: str(f.type) for f in QUERIES[name](spark, SF_SMALL).toArrow().schema}
+    d = {f.name: str(f.type) for f in duck.sql(ORACLE[name]).to_arrow_table().schema}
+    assert s == d
+
+
 def test_entry_smoke(spark):
     df = contract.entry(spark)
     assert df.count() > 0
