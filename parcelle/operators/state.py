@@ -104,17 +104,18 @@ def upsert(current: DataFrame | None, batch: DataFrame, key: str = KEY) -> DataF
 
 def upsert_counters(current: DataFrame | None, batch: DataFrame, key: str = KEY) -> DataFrame:
     """One row: ``scraped`` batch rows, ``inserted`` new keys, ``modified`` =
-    scraped - inserted (every matched row changes the counter)."""
-    b = batch.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    if current is None:
-        is_new = F.lit(True)
-        j = b
-    else:
-        keys = current.select(key).distinct().withColumn("_cur", F.lit(True))
-        j = b.alias("b").join(keys.alias("s"), F.col(f"b.{key}").eqNullSafe(F.col(f"s.{key}")), "left")
-        is_new = F.col("s._cur").isNull()
-    out = j.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("scraped"),
-                F.count_if(is_new).cast("bigint").alias("inserted"))
+    scraped - inserted (every matched row changes the counter).
+
+    Computed as one aggregation over the union of state keys and batch rows
+    (no distinct, no join): a single partial-aggregated shuffle, and a null
+    key meets the null key as in the upsert."""
+    rows = batch.select(F.col(key), F.lit(0).alias("_in_state"), F.lit(1).alias("_n"))
+    if current is not None:
+        rows = current.select(F.col(key), F.lit(1).alias("_in_state"), F.lit(0).alias("_n")).unionByName(rows)
+    per_key = rows.groupBy(key).agg(F.max("_in_state").alias("_s"), F.sum("_n").alias("_n"))
+    out = per_key.filter(F.col("_n") > 0).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("scraped"),
+        F.count_if(F.col("_s") == 0).cast("bigint").alias("inserted"))
     return out.withColumn("modified", F.col("scraped") - F.col("inserted"))
 
 
