@@ -40,7 +40,9 @@ _SCANS: dict[tuple[str, str], DataFrame] = {}
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """Parquet scan; column pruning and filter pushdown are left to Catalyst
-    (they pass through the optional round-robin spread). The scan plan of a
+    (they pass through the optional round-robin spread). Callers pass
+    ``spread=False`` for tables joined as the build side of a dimension join,
+    where spreading would only add a stage. The scan plan of a
     read-only table is built once per application (a DataFrame is a plan, not
     data: nothing is cached), which saves listing and footer reads."""
     if name not in TABLES:

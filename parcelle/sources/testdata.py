@@ -66,11 +66,11 @@ def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
-    orders = read_table(spark, sf_dir, "orders").select(
+    orders = read_table(spark, sf_dir, "orders", spread=False).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    customer = read_table(spark, sf_dir, "customer").select(
+    customer = read_table(spark, sf_dir, "customer", spread=False).select(
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    part = read_table(spark, sf_dir, "part", spread=False).select("p_partkey", "p_name", "p_brand", "p_size")
 
     j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
            .join(customer, F.col("o_custkey") == F.col("c_custkey"))
@@ -110,7 +110,7 @@ def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zipcode_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``zipcode(ZipCode, Department, GroupCitys, lat, lon)``; department codes
     are left unpadded as a numeric key would arrive."""
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    c = read_table(spark, sf_dir, "customer", spread=False).select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
     return c.select(
         postal_code_of(F.col("c_custkey")).alias("ZipCode"),
         F.col("c_nationkey").cast("string").alias("Department"),
@@ -166,10 +166,10 @@ def sale_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus")
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
+    orders = read_table(spark, sf_dir, "orders", spread=False).select("o_orderkey", "o_custkey", "o_orderstatus",
                                                          "o_orderdate")
-    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    customer = read_table(spark, sf_dir, "customer", spread=False).select("c_custkey", "c_name", "c_nationkey")
+    part = read_table(spark, sf_dir, "part", spread=False).select("p_partkey", "p_name")
     j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
            .join(customer, F.col("o_custkey") == F.col("c_custkey"))
            .join(part, F.col("l_partkey") == F.col("p_partkey")))
