@@ -15,7 +15,16 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-_SPLITS: dict[tuple[str, str], int] = {}
+_SPLITS: dict[tuple, int] = {}
+
+
+def _app_key(spark: SparkSession):
+    """Per-session cache key; None when the session has no local SparkContext
+    (Spark Connect), in which case nothing is cached or spread."""
+    try:
+        return (spark.sparkContext.applicationId, id(spark))
+    except Exception:  # noqa: BLE001 - remote sessions expose no SparkContext
+        return None
 
 
 def spread_if_narrow(spark: SparkSession, df: DataFrame, key: str | None = None) -> DataFrame:
@@ -24,8 +33,11 @@ def spread_if_narrow(spark: SparkSession, df: DataFrame, key: str | None = None)
     unsplittable file is read by one task). A real table with many splits is
     left untouched, so no shuffle is added at scale. The split count of a
     path is looked up once per application."""
+    app = _app_key(spark)
+    if app is None:
+        return df
     target = spark.sparkContext.defaultParallelism
-    cache_key = (spark.sparkContext.applicationId, key) if key else None
+    cache_key = (app, key) if key else None
     if cache_key is not None and cache_key in _SPLITS:
         splits = _SPLITS[cache_key]
     else:
@@ -35,7 +47,7 @@ def spread_if_narrow(spark: SparkSession, df: DataFrame, key: str | None = None)
     return df.repartition(target) if splits < target else df
 
 
-_SCANS: dict[tuple[str, str], DataFrame] = {}
+_SCANS: dict[tuple, DataFrame] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
@@ -48,10 +60,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     path = table_path(sf_dir, name)
-    key = (spark.sparkContext.applicationId, path)
-    df = _SCANS.get(key)
+    app = _app_key(spark)
+    df = _SCANS.get((app, path)) if app is not None else None
     if df is None:
-        df = _SCANS[key] = spark.read.parquet(path)
+        df = spark.read.parquet(path)
+        if app is not None:
+            _SCANS[(app, path)] = df
     if spread and name not in TINY_TABLES:
         df = spread_if_narrow(spark, df, path)
     return df
