@@ -71,49 +71,85 @@ def project_listing(df: DataFrame) -> DataFrame:
     )
 
 
-def with_checks(projected: DataFrame,
-                keyword_map: Mapping[str, Sequence[str]] = HOUSING_KEYWORDS,
-                min_price: float = MIN_PRICE_EXCLUSIVE,
-                min_surface: float = MIN_SURFACE) -> DataFrame:
-    """Add cleaned columns and ``reason`` (null when the row is kept).
-
-    The cleaned postal code, lower-cased name and housing type are computed in
-    one projection and the checks read those columns: the checks sit in CASE
-    branches, where repeated expressions would otherwise be re-evaluated."""
-    staged = projected.select(
+def _stage(projected: DataFrame, keyword_map: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Cleaned postal code, lower-cased name and housing type, computed once
+    in one projection that the checks read."""
+    return projected.select(
         "Id", "Price", "M2", "City", "Rooms", "Date",
         F.col("ZipCode").isNotNull().alias("_has_zip"),
         remove_whitespace(F.col("ZipCode")).alias("ZipCode"),
         F.lower(F.col("Name")).alias("Name"),
     ).withColumn("Logement", classify(F.col("Name"), keyword_map))
+
+
+def _checks(min_price: float, min_surface: float) -> list[tuple[str, Column]]:
+    """Named checks over the staged columns, in the order that names a
+    rejected row's reason. Each check is false (never null) when it fails."""
     zc = F.col("ZipCode")
-    zip_ok = F.col("_has_zip") & (F.length(zc) == 5) & zc.rlike(r"^[0-9]{5}$")
     price, m2 = F.col("Price"), F.col("M2")
-    price_ok = price.isNotNull() & ~F.isnan(price) & (price > min_price)
-    m2_ok = m2.isNotNull() & ~F.isnan(m2) & (m2 >= min_surface)
-    reason = (F.when(~zip_ok, F.lit("postal_code"))
-               .when(~price_ok, F.lit("price"))
-               .when(~m2_ok, F.lit("surface"))
-               .when(F.col("Logement") == UNCLASSIFIED, F.lit("type")))
+    return [
+        ("postal_code", F.col("_has_zip") & (F.length(zc) == 5) & zc.rlike(r"^[0-9]{5}$")),
+        ("price", price.isNotNull() & ~F.isnan(price) & (price > min_price)),
+        ("surface", m2.isNotNull() & ~F.isnan(m2) & (m2 >= min_surface)),
+        ("type", F.col("Logement") != UNCLASSIFIED),
+    ]
+
+
+def _reason(checks: list[tuple[str, Column]]) -> Column:
+    """Name of the first failed check (null when every check passes)."""
+    expr = None
+    for name, ok in checks:
+        expr = F.when(~ok, F.lit(name)) if expr is None else expr.when(~ok, F.lit(name))
+    return expr
+
+
+def _all_pass(checks: list[tuple[str, Column]]) -> Column:
+    """Conjunction of the checks, cheapest first: the price and surface
+    ranges are plain comparisons on source columns, which Catalyst can push to
+    the scan (Parquet row-group filters); the string checks run only on rows
+    that passed them. A CASE over the same checks could not be split like this."""
+    by_name = dict(checks)
+    out = None
+    for name in ("price", "surface", "postal_code", "type"):
+        out = by_name[name] if out is None else out & by_name[name]
+    return out
+
+
+def with_checks(projected: DataFrame,
+                keyword_map: Mapping[str, Sequence[str]] = HOUSING_KEYWORDS,
+                min_price: float = MIN_PRICE_EXCLUSIVE,
+                min_surface: float = MIN_SURFACE) -> DataFrame:
+    """Add cleaned columns and ``reason`` (null when the row is kept).
+
+    For a job that writes both outputs from one persisted frame; the
+    registered queries use ``clean_listings``, whose clean side is a
+    pushable conjunction instead of a test on ``reason``."""
+    staged = _stage(projected, keyword_map)
     return staged.select(
         "Id", "Name", "Price", "M2", "City", "Logement",
         studio_rooms(F.col("Name"), F.col("Rooms")).alias("Rooms"),
         "Date", "ZipCode",
-        reason.alias("reason"),
+        _reason(_checks(min_price, min_surface)).alias("reason"),
     )
 
 
 def clean_listings(raw: DataFrame, limit: int | None = None,
-                   keyword_map: Mapping[str, Sequence[str]] = HOUSING_KEYWORDS) -> Cleaned:
+                   keyword_map: Mapping[str, Sequence[str]] = HOUSING_KEYWORDS,
+                   min_price: float = MIN_PRICE_EXCLUSIVE,
+                   min_surface: float = MIN_SURFACE) -> Cleaned:
     """Unprocessed raw rows to ``(clean, rejected)``.
 
     ``clean`` has ``Id`` plus the 8 output columns; ``rejected`` has ``Id`` and
-    the first failed check. A job writing both should persist the checked
-    frame (or write it once) so the source is scanned a single time.
+    the first failed check. A job writing both should use ``with_checks`` and
+    persist it (or write it once) so the source is scanned a single time.
     """
-    checked = with_checks(project_listing(unprocessed(raw, limit)), keyword_map)
-    clean = checked.filter(F.col("reason").isNull()).select("Id", *CLEAN_COLUMNS)
-    rejected = checked.filter(F.col("reason").isNotNull()).select("Id", "reason")
+    staged = _stage(project_listing(unprocessed(raw, limit)), keyword_map)
+    checks = _checks(min_price, min_surface)
+    passed = _all_pass(checks)
+    clean = staged.filter(passed).select(
+        "Id", "Name", "Price", "M2", "City", "Logement",
+        studio_rooms(F.col("Name"), F.col("Rooms")).alias("Rooms"), "Date", "ZipCode")
+    rejected = staged.filter(~passed).select("Id", _reason(checks).alias("reason"))
     return Cleaned(clean, rejected)
 
 

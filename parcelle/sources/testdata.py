@@ -62,21 +62,31 @@ def _postal_code(custkey, segment) -> F.Column:
 
 
 def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw listing documents (schema ``parcelle.schema.LISTINGS_RAW``)."""
+    """Raw listing documents (schema ``parcelle.schema.LISTINGS_RAW``).
+
+    Attributes that depend only on a dimension row (property type from the
+    part, postal code / city / department from the customer) are derived on
+    the dimension before the join, so they are computed once per dimension row
+    rather than once per line item."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
     orders = read_table(spark, sf_dir, "orders", spread=False).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     customer = read_table(spark, sf_dir, "customer", spread=False).select(
-        "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    part = read_table(spark, sf_dir, "part", spread=False).select("p_partkey", "p_name", "p_brand", "p_size")
+        "c_custkey",
+        F.col("c_name").alias("city"),
+        pad_code("c_nationkey", 2).alias("department"),
+        _postal_code(F.col("c_custkey"), F.col("c_mktsegment")).alias("postal_code"))
+    part = read_table(spark, sf_dir, "part", spread=False).select(
+        "p_partkey", "p_name", "p_brand",
+        _property_type(F.col("p_name"), F.col("p_size")).alias("property_type"),
+        F.split("p_name", " ").alias("features"))
 
     j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
            .join(customer, F.col("o_custkey") == F.col("c_custkey"))
            .join(part, F.col("l_partkey") == F.col("p_partkey")))
 
-    ship_day = F.date_format("l_shipdate", "yyyy-MM-dd")
     order_day = F.date_format("o_orderdate", "yyyy-MM-dd")
     return j.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
@@ -84,17 +94,17 @@ def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("L"), F.col("l_orderkey").cast("string"), F.lit("_"),
                  F.col("l_linenumber").cast("string")).alias("listing_url"),
         F.concat(F.lit("collector_"), F.lower("l_returnflag")).alias("source"),
-        pad_code("c_nationkey", 2).alias("department"),
+        "department",
         F.col("l_extendedprice").alias("price"),
         F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("price_per_m2"),
         F.col("l_quantity").alias("surface_m2"),
         F.col("l_linenumber").alias("rooms"),
         (F.col("l_linenumber") - 1).alias("bedrooms"),
         F.concat(F.col("l_suppkey").cast("string"), F.lit(" rue "), F.col("p_brand")).alias("address"),
-        F.col("c_name").alias("city"),
-        _postal_code(F.col("c_custkey"), F.col("c_mktsegment")).alias("postal_code"),
-        _property_type(F.col("p_name"), F.col("p_size")).alias("property_type"),
-        F.split("p_name", " ").alias("features"),
+        "city",
+        "postal_code",
+        "property_type",
+        "features",
         F.concat("p_name", F.lit(" - "), "o_orderpriority").alias("description"),
         F.col("o_orderdate").alias("first_seen_at"),
         F.col("l_shipdate").alias("last_seen_at"),

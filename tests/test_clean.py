@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from parcelle.operators.clean import CLEAN_COLUMNS, clean_listings, unprocessed
 
 SCHEMA = ("_id string, price string, surface_m2 string, city string, property_type string, rooms string, "
@@ -88,3 +90,25 @@ def test_clean_and_rejected_partition_the_unprocessed_rows(spark):
     res = clean_listings(raw)
     n_unprocessed = unprocessed(raw).count()
     assert res.clean.count() + res.rejected.count() == n_unprocessed
+
+
+def test_clean_thresholds_reach_the_parquet_scan(spark, tmp_dir):
+    """The kept rows are a conjunction of checks, so the price and surface
+    ranges become Parquet pushed filters (row-group skipping at scale), and the
+    rejected side still names every failed row."""
+    from parcelle.sources import files, testdata
+    from tests.conftest import SF_SMALL
+    path = f"{tmp_dir}/raw"
+    testdata.listings_raw(spark, SF_SMALL).write.parquet(path)
+    raw = files.read_listings(spark, path)
+    res = clean_listings(raw)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = res.clean._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert "GreaterThan(price,10000.0)" in pushed
+    assert "GreaterThanOrEqual(surface_m2,9.0)" in pushed
+    unprocessed_rows = raw.filter(~F.coalesce(F.col("processed"), F.lit(False))).count()
+    assert res.clean.count() + res.rejected.count() == unprocessed_rows
