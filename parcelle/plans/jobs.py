@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +20,8 @@ from parcelle.operators import sinks, state
 from parcelle.operators.clean import CLEAN_COLUMNS, project_listing, unprocessed, with_checks
 from parcelle.sources import files
 
+LEDGER_SCHEMA = "Id string, run_id string"
+
 
 @dataclass(frozen=True)
 class CleaningPaths:
@@ -28,10 +31,12 @@ class CleaningPaths:
     ledger: str         # processed ids, one folder per run
 
 
-def _read_if_exists(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table at ``path``, or an empty one before any run has written it.
+    The schema is given, so a partition column keeps its declared type."""
     try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no run has written the folder yet
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:  # PATH_NOT_FOUND: no run has written the folder yet
         return spark.createDataFrame([], schema)
 
 
@@ -39,14 +44,19 @@ def cleaning_run(spark: SparkSession, paths: CleaningPaths, run_id: str, limit:
                  fmt: str = "parquet") -> dict[str, str]:
     """Clean the next batch of unprocessed listings.
 
-    Rows flagged processed in the collection or recorded in the ledger are
-    skipped; the batch is the first ``limit`` ids in id order (a deterministic
-    batch, so a retry selects the same rows). The checked batch is persisted
-    once and feeds three outputs: clean rows, rejects with reason, and ledger
-    ids (only clean ids, as in the source: rejects are re-read next run)."""
+    Rows flagged processed in the collection or recorded in the ledger by an
+    earlier run are skipped; the batch is the first ``limit`` ids in id order.
+    The ledger entries of ``run_id`` itself are ignored, so a retried run
+    selects the same batch and rewrites the same three outputs: clean rows,
+    rejects with reason, and ledger ids (only clean ids, as in the source:
+    rejects are read again by the next run). The checked batch is persisted
+    once and feeds the three writes; a lost cached block is recomputed from
+    the same deterministic batch."""
     raw = files.read_listings(spark, paths.raw, fmt)
-    ledger = _read_if_exists(spark, paths.ledger, "Id string, run_id string").select("Id")
-    batch = unprocessed(raw.join(ledger.withColumnRenamed("Id", "_id"), "_id", "left_anti"), limit)
+    ledger = (_read_or_empty(spark, paths.ledger, LEDGER_SCHEMA)
+              .filter(F.col("run_id") != F.lit(run_id))
+              .select(F.col("Id").alias("_id")))
+    batch = unprocessed(raw.join(ledger, "_id", "left_anti"), limit)
     checked = with_checks(project_listing(batch)).persist()
     try:
         out = {
@@ -72,7 +82,8 @@ def open_data_run(spark: SparkSession, sale_files: Sequence[str], state_base: st
     Reads the files as one relation, normalises them, upserts into state
     version ``version - 1`` (or loads it initially), deactivates listings not
     seen for ``stale_days``, writes version ``version`` to its own folder and
-    optionally appends the run counters."""
+    optionally writes the run counters to ``run_stats_path/version=N``. Every
+    output is a whole folder of its version, so a retry rewrites it."""
     rows = files.read_sales(spark, list(sale_files), partitions)
     listings = nz.normalise_sales(rows, now).listings
     previous = None
@@ -81,7 +92,7 @@ def open_data_run(spark: SparkSession, sale_files: Sequence[str], state_base: st
     new_state = state.deactivate(state.upsert(previous, listings), now, stale_days)
     out = sinks.write_state_version(new_state, state_base, version, partitions=partitions)
     if run_stats_path:
-        counters = state.upsert_counters(previous, listings).withColumn("version", F.lit(version))
-        sinks.append_table(counters, f"{run_stats_path}/version={version}".rsplit("/", 1)[0]) \
-            if False else counters.write.mode("overwrite").parquet(f"{run_stats_path}/version={version}")
+        # the version is the folder's partition value, not a data column
+        counters = state.upsert_counters(previous, listings)
+        counters.write.mode("overwrite").parquet(sinks.state_path(run_stats_path, version))
     return out
