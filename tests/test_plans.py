@@ -30,3 +30,15 @@ def test_no_driver_collection_in_operators():
         text = path.read_text()
         for call in (".collect()", ".toPandas()", "localCheckpoint"):
             assert call not in text, f"{call} in {path}"
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_single_task_stages_only_merge_partial_aggregates(spark, name):
+    """No query funnels rows into one task: an exchange to a single partition
+    is only allowed directly above a partial aggregate (one row per map task),
+    as for a global min/max or a correlation."""
+    lines = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString().split("\n")
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            child = lines[i + 1]
+            assert "Aggregate" in child and "partial_" in child, f"{name}: {line.strip()} over {child.strip()}"
