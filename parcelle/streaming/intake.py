@@ -10,6 +10,8 @@ rows (the append + flag update pair of the source was not atomic).
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -33,15 +35,23 @@ def clean_batch(batch: DataFrame, batch_id: int, output_path: str) -> None:
         checked.unpersist()
 
 
+def default_checkpoint(spark: SparkSession, source_path: str, output_path: str) -> str:
+    """Stream checkpoint folder for one (source, output) pair under the shared
+    ``spark.checkpoint.dir``."""
+    tag = hashlib.sha1(f"{source_path}\n{output_path}".encode()).hexdigest()[:16]
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/intake-{tag}"
+
+
 def run_intake(spark: SparkSession, source_path: str, output_path: str, checkpoint_path: str | None = None,
                fmt: str = "parquet", schema: StructType = LISTINGS_RAW,
                max_files_per_trigger: int | None = None) -> None:
     """Process every landed file not processed yet, then stop.
 
     ``checkpoint_path`` defaults to a folder under the session's shared
-    ``spark.checkpoint.dir``."""
+    ``spark.checkpoint.dir``, named after the source and output paths, so two
+    intakes never share a file ledger and a rerun of the same one resumes."""
     if checkpoint_path is None:
-        checkpoint_path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/intake"
+        checkpoint_path = default_checkpoint(spark, source_path, output_path)
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

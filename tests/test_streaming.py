@@ -27,3 +27,11 @@ def test_available_now_intake_is_incremental(spark, tmp_dir):
     assert read_intake(spark, out, "rejected").count() == res.rejected.count()
     ids = read_intake(spark, out).select("Id")
     assert ids.distinct().count() == ids.count()
+
+
+def test_default_checkpoint_per_source_and_output(spark, tmp_dir):
+    from parcelle.streaming.intake import default_checkpoint
+    a = default_checkpoint(spark, f"{tmp_dir}/landing_a", f"{tmp_dir}/out")
+    b = default_checkpoint(spark, f"{tmp_dir}/landing_b", f"{tmp_dir}/out")
+    assert a != b and a == default_checkpoint(spark, f"{tmp_dir}/landing_a", f"{tmp_dir}/out")
+    assert a.startswith(spark.sparkContext.getCheckpointDir().rstrip("/"))
