@@ -24,9 +24,11 @@ def clean_number(c, to: str = "double") -> Column:
     Empty or null input gives null; an unparsable remainder (``1.2.3``) gives
     null instead of raising.
     """
+    # an empty remainder is not a number, so try_cast alone gives the null
+    # (a length guard in a CASE would evaluate the regexes twice per row)
     s = col_of(c).cast("string")
     kept = F.regexp_replace(F.regexp_replace(s, r"[^0-9.,]", ""), ",", ".")
-    return F.when(F.length(s) > 0, kept.try_cast(to))
+    return kept.try_cast(to)
 
 
 def clean_price_text(c, to: str = "double") -> Column:
@@ -37,13 +39,12 @@ def clean_price_text(c, to: str = "double") -> Column:
         s = F.replace(s, F.lit(token), F.lit(""))
     s = F.regexp_replace(s, r"^[\s\u00a0]+|[\s\u00a0]+$", "")
     s = F.replace(s, F.lit(","), F.lit("."))
-    return F.when(F.length(s) > 0, s.try_cast(to))
+    return s.try_cast(to)  # empty gives null
 
 
 def digits_to_long(c) -> Column:
     """Keep ASCII digits only and read them as a whole number (null if none)."""
-    digits = F.regexp_replace(col_of(c), r"[^0-9]", "")
-    return F.when(F.length(digits) > 0, digits.try_cast("bigint"))
+    return F.regexp_replace(col_of(c), r"[^0-9]", "").try_cast("bigint")  # no digits gives null
 
 
 def safe_ratio(num, den) -> Column:
