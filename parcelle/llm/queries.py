@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelle.llm import decontamination, histogram_sort, html_mincut, toxicity_kn, vector_packing, warc_io
+from parcelle.llm import bloom_lm, decontamination, histogram_sort, html_mincut, itq_dedup, order_minhash, pii_bootstrap, toxicity_kn, vector_packing, warc_io
 from parcelle.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op3_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histogram_sort.shard(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op4_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_bootstrap.extract(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity_kn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_kn.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -30,12 +34,25 @@ def op6_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_class", "kept")
+
+
+def op8_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score(table(spark, sf_dir, "documents"))
+
+
+def op9_itq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_io.round_trip(table(spark, sf_dir, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op2_html_mincut, op3_histogram_sort, op5_toxicity_kn, op6_vector_packing, op10_warc)
+    f.__name__: f for f in (op1_decontamination, op2_html_mincut, op3_histogram_sort, op4_pii_bootstrap, op5_toxicity_kn, op6_vector_packing, op7_order_minhash,
+                            op8_bloom_lm, op9_itq_dedup, op10_warc)
 }
 
 # DuckDB statements; the other operators are not SQL-expressible and are tested against brute force
