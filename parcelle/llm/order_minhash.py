@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -101,11 +102,12 @@ def sketch(words: np.ndarray, k: int, band_seeds: np.ndarray) -> np.ndarray:
 def distances(pairs: list[tuple[np.ndarray, np.ndarray]], limits: np.ndarray, first_band: int = 8) -> np.ndarray:
     """Edit distances of word sequences where they are within ``limits``, else -1.
 
-    Alignment in a diagonal band, many pairs at once; a pair whose distance does not fit its band is aligned
-    again in a four times wider one until the band covers its limit.
+    Alignment in a diagonal band, many pairs of like length at once. The first band follows the words that one
+    text has and the other lacks; a pair whose distance does not fit is aligned again in a band twice as wide,
+    until the band covers its limit.
     """
     result = np.full(len(pairs), -1, np.int64)
-    trimmed = []
+    trimmed: dict[int, list] = {}  # by band
     for i, (a, b) in enumerate(pairs):
         if abs(len(a) - len(b)) > limits[i]:
             continue
@@ -125,24 +127,28 @@ def distances(pairs: list[tuple[np.ndarray, np.ndarray]], limits: np.ndarray, fi
         ua, ca = np.unique(a, return_counts=True)
         ub, cb = np.unique(b, return_counts=True)
         _, ia, ib = np.intersect1d(ua, ub, assume_unique=True, return_indices=True)
-        if max(len(a), len(b)) - int(np.minimum(ca[ia], cb[ib]).sum()) <= limits[i]:
-            trimmed.append((i, a, b) if len(a) <= len(b) else (i, b, a))
-    band = first_band
+        least = max(len(a), len(b)) - int(np.minimum(ca[ia], cb[ib]).sum())
+        if least <= limits[i]:
+            band = first_band
+            while band < 1.5 * least:
+                band *= 2
+            trimmed.setdefault(band, []).append((i, a, b) if len(a) <= len(b) else (i, b, a))
     while trimmed:
-        trimmed.sort(key=lambda x: len(x[1]))
-        again = []
+        band = min(trimmed)
+        todo = sorted(trimmed.pop(band), key=lambda x: len(x[1]))
         at = 0
-        while at < len(trimmed):
-            size = max(1, min(128, 4_000_000 // (len(trimmed[min(at + 127, len(trimmed) - 1)][1]) + 2 * band + 1)))
-            group = trimmed[at:at + size]
+        while at < len(todo):
+            shortest, size = len(todo[at][1]), 1
+            while at + size < len(todo) and size < max(8, 16_384 // (2 * band + 1)) and (n := len(todo[at + size][1])) <= 1.25 * shortest + 16 and size * (n + 2 * band) < 4_000_000:
+                size += 1
+            group = todo[at:at + size]
             at += size
             found = _banded(group, band)
             for (i, a, b), d in zip(group, found.tolist(), strict=True):
                 if d <= band:
                     result[i] = d if d <= limits[i] else -1
                 elif band < limits[i]:
-                    again.append((i, a, b))
-        trimmed, band = again, band * 4
+                    trimmed.setdefault(band * 2, []).append((i, a, b))
     return result
 
 
@@ -152,28 +158,28 @@ def _banded(group, band: int) -> np.ndarray:
     la = np.array([len(a) for _, a, _ in group])
     lb = np.array([len(b) for _, _, b in group])
     n = int(la.max())
-    none = U(0xFFFFFFFFFFFFFFFF)
-    a_pad = np.full((g, n), none - U(1))
-    b_pad = np.full((g, n + width + 1), none)
+    kind = group[0][1].dtype  # words have no top bit, so these two equal none
+    a_pad = np.full((g, n), np.iinfo(kind).max, kind)
+    b_pad = np.full((g, n + width + 1), np.iinfo(kind).max - 1, kind)
     for r, (_, a, b) in enumerate(group):
         a_pad[r, :len(a)] = a
         part = b[:n + width - band]
         b_pad[r, band:band + len(part)] = part
-    far = np.int32(1 << 28)
+    far = np.int32(1 << 28)  # grows by one a row at most
     slope = np.arange(width, dtype=np.int32)
     d = np.where(slope >= band, slope - band, far).astype(np.int32)[None, :].repeat(g, 0)
     out = np.full(g, band + 1, np.int64)
     last = lb - la + band
-    up = np.full((g, width), far, np.int32)
+    step, differ = np.empty_like(d), np.empty(d.shape, bool)
     for i in range(n):
-        step = d + (b_pad[:, i:i + width] != a_pad[:, i, None])
-        up[:, :-1] = d[:, 1:] + 1
-        np.minimum(step, up, out=step)
+        np.not_equal(b_pad[:, i:i + width], a_pad[:, i, None], out=differ)
+        np.add(d, differ, out=step)
+        d += 1
+        np.minimum(step[:, :-1], d[:, 1:], out=step[:, :-1])
         step -= slope
         np.minimum.accumulate(step, axis=1, out=step)
         step += slope
-        np.minimum(step, far, out=step)
-        d = step
+        d, step = step, d
         done = np.flatnonzero(la == i + 1)
         for r in done:
             if 0 <= last[r] < width:
@@ -249,13 +255,18 @@ def _aligned(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     def run(batches):
         for batch in batches:
             a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for i in range(0, len(a), 512):
-                wa, wb = batch.column(2).slice(i, 512).to_pylist(), batch.column(3).slice(i, 512).to_pylist()
-                words = [(np.frombuffer(x, np.uint32).astype(U), np.frombuffer(y, np.uint32).astype(U)) for x, y in zip(wa, wb, strict=True)]
+            i = 0
+            while i < len(a):
+                # as many pairs at once as have 16 MB of words, at least one
+                sizes = np.cumsum(pc.add(pc.binary_length(batch.column(2).slice(i, 4096)), pc.binary_length(batch.column(3).slice(i, 4096))).to_numpy())
+                n = max(1, int(np.searchsorted(sizes, 16 << 20)))
+                wa, wb = batch.column(2).slice(i, n).to_pylist(), batch.column(3).slice(i, n).to_pylist()
+                words = [(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)) for x, y in zip(wa, wb, strict=True)]
                 limits = np.array([int((1 - threshold) * max(len(x), len(y)) + 1e-9) for x, y in words])
                 ok = np.flatnonzero(distances(words, limits) >= 0) + i
                 if len(ok):
                     yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], names=["a", "b"])
+                i += n
 
     return materialise(met.mapInArrow(run, "a long, b long"), "aligned")
 
@@ -280,7 +291,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands:
     def tokens(batches):
         words = Words()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([(words(t.as_py()) >> U(32)).astype(np.uint32).tobytes() for t in batch.column(1)], pa.binary())],
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([(words(t.as_py()) >> U(33)).astype(np.uint32).tobytes() for t in batch.column(1)], pa.binary())],
                                              names=["cid", "words"])
 
     texts = _numbered(docs, text_col, id_col).select("row", "text").join(wanted, "row").select("cid", "text")
