@@ -43,6 +43,23 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def filter_rows(docs: DataFrame, make) -> DataFrame:
+    """The rows of ``docs`` that a test of whole batches keeps, whatever the names of the columns.
+
+    ``make()`` runs in the task and returns a function from a text column's values to a list of booleans.
+    """
+    at, names = docs.columns.index("text"), [f"c{i}" for i in range(len(docs.columns))]
+    plain = docs.toDF(*names)
+
+    def run(batches):
+        import pyarrow as pa
+        test = make()
+        for batch in batches:
+            yield batch.filter(pa.array(test(batch.column(at).to_pylist()), pa.bool_()))
+
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
+
+
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """Connected components of undirected ``links``: rows (node, component), the component named by its
     smallest node; nodes without links are absent.

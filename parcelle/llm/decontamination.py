@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelle.llm.common import filter_rows
+
 _OTHER = re.compile(r"[\W_]+")
 # ASCII without letters and digits, and capitals
 _ASCII = str.maketrans({chr(i): (chr(i).lower() if chr(i).isalnum() else " ") for i in range(128)})
@@ -178,19 +180,16 @@ def clean(docs: DataFrame, benchmark: DataFrame, rate: float = 0.05, block_chars
     Decided row by row in one pass per block of the benchmark (no join): rows with null ids or repeated ids
     are judged by their own text. Null and empty texts stay.
     """
-    spark, schema = docs.sparkSession, docs.schema
-    at = docs.columns.index("text")
+    spark = docs.sparkSession
 
     def keep(sent):
-        def run(batches):
+        def make():
             held = sent.value
             if "matcher" not in held:
                 held["matcher"] = Matcher(held["items"], rate)
-            find = held["matcher"]
-            for batch in batches:
-                yield batch.filter(pa.array([not (t := text.as_py()) or not find(fold(t)) for text in batch.column(at)], pa.bool_()))
-        return run
+            return lambda texts: [not t or not held["matcher"](fold(t)) for t in texts]
+        return make
 
     for items in _blocks(benchmark, block_chars):
-        docs = docs.mapInArrow(keep(spark.sparkContext.broadcast({"items": items})), schema)
+        docs = filter_rows(docs, keep(spark.sparkContext.broadcast({"items": items})))
     return docs

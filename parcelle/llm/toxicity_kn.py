@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelle.llm.common import filter_rows
+
 # fixed values: ASCII punctuation and digits separate words, as white space and control characters do
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789"
 BREAKS = str.maketrans(dict.fromkeys(PUNCTUATION, " ") | dict.fromkeys(map(chr, range(32)), " "))
@@ -99,6 +101,7 @@ class Models:
 
 BITS = 12  # of a packed character: 0 before a word, 1 its end, else 2 + code point modulo 4094
 MIX = np.uint64(0x9E3779B97F4A7C15)
+EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)  # of a slot; packed n-grams have 60 bits
 
 
 def codes() -> np.ndarray:
@@ -119,14 +122,13 @@ def pack(gram: str) -> int:
 def hash_table(values: dict[str, float]) -> tuple:
     """Arrays of an open-addressing table: packed n-gram -> number. Of n-grams that pack alike the last stays."""
     packed = {pack(g): v for g, v in values.items()}
-    packed.pop(0, None)
     keys = np.fromiter(packed, np.uint64, len(packed))
     numbers = np.fromiter(packed.values(), np.float64, len(packed))
     bits = max(10, math.ceil(math.log2(4 * len(keys) + 1)))
-    slots, found, rest, probes = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits), np.arange(len(keys)), 0
+    slots, found, rest, probes = np.full(1 << bits, EMPTY), np.zeros(1 << bits), np.arange(len(keys)), 0
     while len(rest):
         at = ((keys[rest] * MIX >> np.uint64(64 - bits)).astype(np.int64) + probes) & ((1 << bits) - 1)
-        free = np.flatnonzero(slots[at] == 0)
+        free = np.flatnonzero(slots[at] == EMPTY)
         _, first = np.unique(at[free], return_index=True)
         put = free[first]
         slots[at[put]], found[at[put]] = keys[rest[put]], numbers[rest[put]]
@@ -142,7 +144,7 @@ def lookup(table: tuple, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     held = slots[home]
     hit = held == keys
     out = np.where(hit, numbers[home], 0.0)
-    rest = np.flatnonzero(~hit & (held != 0))
+    rest = np.flatnonzero(~hit & (held != EMPTY))
     for i in range(1, probes):
         if not len(rest):
             break
@@ -151,7 +153,7 @@ def lookup(table: tuple, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         same = held == keys[rest]
         out[rest[same]] = numbers[at[same]]
         hit[rest[same]] = True
-        rest = rest[~same & (held != 0)]
+        rest = rest[~same & (held != EMPTY)]
     return out, hit
 
 
@@ -329,11 +331,9 @@ def probability(features: np.ndarray, weights: np.ndarray) -> np.ndarray:
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **fitting) -> DataFrame:
     """The documents that score below ``threshold``, all columns as they come; judged row by row in one pass."""
     sent, weights = fit(docs, labels, **fitting)
-    at = docs.columns.index("text")
 
-    def run(batches):
-        for batch in batches:
-            p = probability(_scorer(sent)([t or "" for t in batch.column(at).to_pylist()]), weights)
-            yield batch.filter(pa.array(p < threshold))
+    def make():
+        score_of = _scorer(sent)
+        return lambda texts: (probability(score_of([t or "" for t in texts]), weights) < threshold).tolist()
 
-    return docs.mapInArrow(run, docs.schema)
+    return filter_rows(docs, make)
