@@ -201,6 +201,16 @@ class Filter:
         return ((h >> U(32)) * U(m) >> U(32)).astype(np.int64)
 
 
+def low_of(q: np.ndarray, least: int, base: float) -> np.ndarray:
+    """The smallest count of a level; 0 for level 0."""
+    return np.where(q > 0, np.ceil(least * base ** (q - 1.0) - 1e-6), 0.0)
+
+
+def high_of(q: np.ndarray, least: int, base: float) -> np.ndarray:
+    """The largest count of a level; 0 for level 0."""
+    return np.where(q > 0, np.ceil(least * base ** q.astype(np.float64) - 1e-6) - 1.0, 0.0)
+
+
 def level_of(n: np.ndarray, least: int, base: float) -> np.ndarray:
     """Level of a count: the largest q with least * base ** (q - 1) <= n; 0 below ``least``."""
     q = np.floor(np.log(np.maximum(n, 1) / least) / math.log(base) + 1e-9).astype(np.int64) + 1
@@ -230,26 +240,22 @@ class Model:
             q[live] = level
         return q
 
-    def _low(self, q: np.ndarray) -> np.ndarray:
-        return np.where(q > 0, self.least * self.base ** (q - 1.0), 0.0)
-
     def word_probability(self, tokens: np.ndarray) -> np.ndarray:
         q = self._level(tokens ^ WORD, owner_of(tokens, self.parts))
-        return (self._low(q) + 1.0) / (self.total + self.distinct + 1.0)
+        return (low_of(q, 1, self.base) + 1.0) / (self.total + self.distinct + 1.0)
 
     def log10(self, before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         """log10 P(token | before) for each place; every distinct word, context and bigram is probed once."""
         words, w = np.unique(tokens, return_inverse=True)
         p1 = self.word_probability(words)[w]
         keys, at, back = np.unique(pair_key(before, tokens), return_index=True, return_inverse=True)
-        pair = self._low(self._level(keys ^ PAIR, owner_of(keys, self.parts)))[back]
+        pair = low_of(self._level(keys ^ PAIR, owner_of(keys, self.parts)), self.least, self.base)[back]
         contexts, c = np.unique(before, return_inverse=True)
-        count_q = self._level(np.where(contexts == START, START, contexts) ^ WORD, owner_of(contexts, self.parts))
-        # at least the true count: the upper edge of its level
-        upper = np.where(count_q > 0, self.least * self.base ** count_q, 0.0)
+        # what divides is never less than the true count
+        upper = high_of(self._level(contexts ^ WORD, owner_of(contexts, self.parts)), 1, self.base)
+        upper[contexts == START] = self.texts
         bucket = mix(contexts) >> U(64 - CONTEXT_BITS) << U(64 - CONTEXT_BITS)
-        mass_q = self._level(bucket ^ MASS, owner_of(bucket, self.parts))
-        mass = np.where(mass_q > 0, self.least * self.base ** mass_q, 0.0)
+        mass = high_of(self._level(bucket ^ MASS, owner_of(bucket, self.parts)), self.least, self.base)
         share = np.where(upper[c] > 0, np.minimum(pair / np.maximum(upper[c], 1.0), 1.0), 0.0)
         left = np.where(upper[c] > 0, np.maximum(0.0, 1.0 - mass[c] / np.maximum(upper[c], 1.0)), 1.0)
         return np.log10((1 - self.floor) * (share + left * p1) + self.floor * p1)
@@ -265,7 +271,7 @@ def fit(training: DataFrame, common: int, base: float, least: int, hashes: int,
         for batch in batches:
             for kind, counts_, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 x = _uncounts(counts_, n)
-                q = level_of(x, least, base)
+                q = level_of(x, 1 if kind == 0 else least, base)
                 by = np.bincount(q)
                 lev = np.flatnonzero(by)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(lev), kind, np.int32)), pa.array(lev), pa.array(by[lev].astype(np.int64)),
@@ -277,7 +283,7 @@ def fit(training: DataFrame, common: int, base: float, least: int, hashes: int,
     distinct = sum(r.entries for r in stats if r.kind == 0)
     entries = sum(r.entries * r.level for r in stats)  # one for each level; context masses come on top, at most as many as words
     entries += sum(r.entries * r.level for r in stats if r.kind == 0)
-    segment_bits = max(64, min(int(entries * bits_per_entry / parts) + 64, max_bytes * 8 // parts)) // 8 * 8
+    segment_bits = min(int(entries * bits_per_entry / parts) + (1 << 13), max_bytes * 8 // parts) // 8 * 8
 
     def build(batches):
         for batch in batches:
@@ -286,21 +292,21 @@ def fit(training: DataFrame, common: int, base: float, least: int, hashes: int,
                 keys, x = unpack(keys), _uncounts(counts_, n)
                 bits = np.zeros(segment_bits, bool)
 
-                def put(entry, value, bits=bits):
-                    q = level_of(value, least, base)
+                def put(entry, value, least_, bits=bits):
+                    q = level_of(value, least_, base)
                     for level in range(1, int(q.max(initial=0)) + 1):
                         e = entry[q >= level]
                         for i in range(hashes):
                             bits[Filter.places(e, level, i, segment_bits)] = True
 
                 if kind == 0:
-                    put(keys ^ WORD, x)
+                    put(keys ^ WORD, x, 1)
                 else:
-                    put(keys ^ PAIR, x)
-                    low = np.where(x >= least, least * base ** (level_of(x, least, base) - 1.0), 0.0)
+                    put(keys ^ PAIR, x, least)
+                    low = low_of(level_of(x, least, base), least, base)
                     bucket = keys >> U(64 - CONTEXT_BITS) << U(64 - CONTEXT_BITS)
                     first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
-                    put(bucket[first] ^ MASS, np.add.reduceat(low, first))
+                    put(bucket[first] ^ MASS, np.add.reduceat(low, first), least)
                 segment = np.packbits(bits, bitorder="little")
                 out[p] = out[p] | segment if p in out else segment
             for p, segment in out.items():
@@ -322,23 +328,29 @@ def fit(training: DataFrame, common: int, base: float, least: int, hashes: int,
     top = counts.where("kind = 0").select("keys", "counts", "n").mapInArrow(frequent, "key long, n long").orderBy(F.desc("n"), "key").limit(common).toArrow()
     keys = top["key"].to_numpy().view(U) if len(top) else np.zeros(0, U)
     order = np.argsort(keys)
-    starts = 0
+    end = counts.where("kind = 0").select("keys", "counts", "n").mapInArrow(lambda batches: _find(batches, END), "n long").agg(F.sum("n")).first()[0]  # a text has one end
     held = {"filter": array.tobytes(), "segment_bits": segment_bits, "parts": parts, "hashes": hashes, "base": base, "least": least, "floor": floor,
-            "total": int(total), "distinct": int(distinct), "starts": starts, "common_keys": keys[order], "common_counts": top["n"].to_numpy()[order] if len(top) else np.zeros(0, np.int64)}
+            "total": int(total), "distinct": int(distinct), "texts": float(end or 0), "common_keys": keys[order], "common_counts": top["n"].to_numpy()[order] if len(top) else np.zeros(0, np.int64)}
     return held, counts
 
 
-PART = "row long, tokens long, known long, logs double, model double, owner int, keys binary, counts binary"
+def _find(batches, key):
+    """The count of one key, from the run that has it."""
+    for batch in batches:
+        for keys, counts, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            at = np.flatnonzero(unpack(keys) == key)
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array(_uncounts(counts, n)[at])], names=["n"])
 
 
-def score(docs: DataFrame, held_out: int = 2, common: int = 200_000, base: float = 2 ** 0.5, least: int = 2, hashes: int = 4, bits_per_entry: float = 8.0,
+def score(docs: DataFrame, held_out: int = 2, common: int = 200_000, base: float = 2 ** 0.5, least: int = 2, hashes: int = 6, bits_per_entry: float = 12.0,
           max_bytes: int = 64 << 20, floor: float = 0.02, flush: int = 2_000_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every document.
 
     Trained on the rows whose crc32(doc_id as text) mod 7 is not ``held_out``; null ids train. Null or empty
     text: one end token. Repeated rows count as often as they come and score alike. Nothing to train on: base
-    score by the empty model. Bigrams and words below ``least`` occurrences are not stored in the filter (they
-    fall to the remaining mass); the counts themselves cover every token. Beyond ``max_bytes`` the filter has fewer
+    score by the empty model. Bigrams below ``least`` occurrences are not stored in the filter (they fall to the
+    remaining mass); the counts themselves cover every token. Beyond ``max_bytes`` the filter has fewer
     bits an entry and more false positives, never more bytes. Empty table: no rows.
     """
     spark = docs.sparkSession
