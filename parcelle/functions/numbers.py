@@ -80,18 +80,27 @@ def zero_if_null(c, to: str = "double") -> Column:
     return F.coalesce(col_of(c).try_cast(to), F.lit(0).cast(to))
 
 
-def exact_sum(c, scale: int = 2) -> Column:
-    """Sum over ``decimal(18, scale)``: exact, so independent of row order.
+def exact_value(c, scale: int = 6) -> Column:
+    """A number as ``decimal(38, scale)``; null where it is not finite or has
+    more than ``38 - scale`` whole digits, so that sums and counts leave out
+    the same rows."""
+    return col_of(c).try_cast(f"decimal(38,{scale})")
 
-    Floating-point sums change with partitioning and task retries; summing the
-    cent-valued inputs as decimals makes the aggregate reproducible.
-    """
-    return F.sum(col_of(c).cast(f"decimal(18,{scale})"))
+
+def exact_sum(c, scale: int = 6) -> Column:
+    """Exact sum of ``exact_value``: floating-point sums change with
+    partitioning and task retries, this one does not. Never raises."""
+    return F.try_sum(exact_value(c, scale))
+
+
+def exact_count(c, scale: int = 6) -> Column:
+    """How many values ``exact_sum`` adds."""
+    return F.count(exact_value(c, scale))
 
 
-def exact_avg(c, scale: int = 2) -> Column:
-    """Mean of non-null values: exact decimal sum divided by the count, as double."""
-    return F.try_divide(exact_sum(c, scale).cast("double"), F.count(col_of(c)).cast("double"))
+def exact_avg(c, scale: int = 6) -> Column:
+    """Mean of the finite values: exact sum divided by their count, as double."""
+    return F.try_divide(exact_sum(c, scale).cast("double"), exact_count(c, scale).cast("double"))
 
 
 def stable_round(c, decimals: int = 4, snap_bits: int = 24) -> Column:
@@ -101,9 +110,10 @@ def stable_round(c, decimals: int = 4, snap_bits: int = 24) -> Column:
     retries, another engine), and ``round`` can then fall on either side of a
     decimal tie. The value is first snapped to a binary grid of
     ``2**-snap_bits`` (which absorbs that noise), then rounded half-up with
-    plain IEEE arithmetic, so every evaluation gives the same double.
+    plain IEEE arithmetic, so every evaluation gives the same double. Values
+    that are too large for the grid (``2**28`` and more, infinities) are kept.
     """
     q = float(2 ** snap_bits)
     p = float(10 ** decimals)
     snapped = F.floor(col_of(c) * q + 0.5) / q
-    return F.floor(snapped * p + 0.5) / p
+    return F.when(F.abs(col_of(c)) < float(2 ** 28), F.floor(snapped * p + 0.5) / p).otherwise(col_of(c))

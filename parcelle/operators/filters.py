@@ -52,7 +52,8 @@ def search_predicates(df: DataFrame, filters: SearchFilters,
     disables it), inclusive price and date ranges."""
     preds: list[Column] = []
     if filters.city:
-        preds.append(F.lower(F.col(cols.city)).like(f"%{filters.city.lower()}%"))
+        pattern = filters.city.lower().replace("\\", "\\\\")  # a backslash stands for itself
+        preds.append(F.lower(F.col(cols.city)).like(f"%{pattern}%"))
     if filters.property_type and filters.property_type != ALL_TYPES:
         preds.append(F.lower(F.col(cols.property_type)) == F.lit(filters.property_type.lower()))
     if filters.price_min and filters.price_max:
@@ -80,6 +81,9 @@ def apply_filters(df: DataFrame, filters: SearchFilters, cols: SearchColumns = S
 
 
 # ---------------------------------------------------------------- statistics tables
+# Labels of the levels on the pages.
+LEVEL_LABELS = {"département": "department", "région": "region", "code postal": "zipcode",
+                "department": "department", "region": "region", "zipcode": "zipcode"}
 LEVEL_NAME_COLUMN = {"department": "department_name", "region": "region_name", "zipcode": "zipcode_name"}
 
 
@@ -94,8 +98,11 @@ def stats_by_type(stats: DataFrame, logement_type: str = "total") -> DataFrame:
 
 
 def normalise_level(level: str) -> str:
-    """Level dispatch: department, region, anything else is the postal code."""
-    return level if level in ("department", "region") else "zipcode"
+    """Level of a name or of a page's label; unknown ones raise."""
+    try:
+        return LEVEL_LABELS[level.strip().lower()]
+    except KeyError:
+        raise ValueError(f"unknown level {level!r}") from None
 
 
 def stats_threshold(stats: DataFrame, level: str, logement_type: str, min_count: int,

@@ -46,9 +46,6 @@ def zip_left_join(zip_stats: DataFrame, zipcodes: DataFrame) -> DataFrame:
     return zip_stats.join(zipcodes, zip_stats["zipcode_name"] == zipcodes["ZipCode"], "left")
 
 
-def drop_geometry_preview(df: DataFrame, n: int = 5, order_by=None) -> DataFrame:
-    """First ``n`` rows without the geometry column (ordered when asked)."""
-    out = df.drop("geometry")
-    if order_by:
-        out = out.orderBy(*order_by)
-    return out.limit(n)
+def drop_geometry_preview(df: DataFrame, n: int = 5, *, order_by) -> DataFrame:
+    """First ``n`` rows in the given order, without the geometry column."""
+    return df.drop("geometry").orderBy(*order_by).limit(n)

@@ -16,14 +16,16 @@ from parcelle.operators.clean import CLEAN_COLUMNS
 
 # Batch sizes used by the source for database writes.
 CLEAN_BATCH_SIZE = 500
-UPSERT_BATCH_SIZE = 1000
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None,
                batchsize: int = CLEAN_BATCH_SIZE, mode: str = "append") -> None:
     """Append the 8 clean columns to a database table, ``batchsize`` rows per
     insert batch, one connection per partition."""
-    (df.select(*[c for c in CLEAN_COLUMNS if c in df.columns]).write
+    missing = [c for c in CLEAN_COLUMNS if c not in df.columns]
+    if missing:
+        raise ValueError(f"missing clean columns: {', '.join(missing)}")
+    (df.select(*CLEAN_COLUMNS).write
        .option("batchsize", batchsize).mode(mode)
        .jdbc(url, table, properties=dict(properties or {})))
 
@@ -60,10 +62,11 @@ def write_state_version(state: DataFrame, base: str, version: int, key: str = "l
     return out
 
 
-def save_bucketed(df: DataFrame, table: str, key: str = "listing_url", buckets: int = 64,
+def save_bucketed(df: DataFrame, table: str, buckets: int, key: str = "listing_url",
                   mode: str = "overwrite") -> None:
     """Save as a table bucketed and sorted by the key: later joins on the key
-    (the next upsert) read it without a shuffle."""
+    (the next upsert) read it without a shuffle. Choose ``buckets`` by the
+    state's size: a bucket is read by one task."""
     df.write.mode(mode).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
 
 

@@ -59,7 +59,7 @@ def aggregate_batch(batch: DataFrame, key: str = KEY, order: Sequence[str] | Non
     fields = [c for c in [ID, *DATA_FIELDS] if c in batch.columns]
     latest = F.max_by(F.struct(*fields), F.struct(*_latest_order(batch, order)))
     agg = batch.groupBy(key).agg(latest.alias("_latest"), F.count(F.lit(1)).alias("_n"),
-                                 F.min("first_seen_at").alias("_first_seen"))
+                                 F.min("first_seen_at" if "first_seen_at" in batch.columns else F.lit(None).cast("timestamp")).alias("_first_seen"))
     return agg.select(key, "_latest.*", "_n", "_first_seen")
 
 
@@ -70,13 +70,16 @@ def upsert(current: DataFrame | None, batch: DataFrame, key: str = KEY) -> DataF
     ``source``, become active, keep ``first_seen_at`` and ``processed``, and add
     the number of batch rows to ``update_count``. New keys also get the
     earliest ``first_seen_at`` of their batch rows and no ``processed`` flag.
-    ``current=None`` is the initial load.
+    A field that the batch lacks keeps the state's values; one that the state
+    lacks is null for keys the batch does not touch. ``current=None`` is the
+    initial load.
     """
     b = aggregate_batch(batch, key)
-    fields = [c for c in DATA_FIELDS if c in b.columns]
+    held = set() if current is None else set(current.columns)
+    fields = [c for c in DATA_FIELDS if c in b.columns or c in held]
     if current is None:
         return b.select(
-            ID, key, *fields,
+            ID, key, *[F.col(c) for c in fields],
             F.col("_first_seen").alias("first_seen_at"),
             F.lit(True).alias("is_active"),
             F.col("_n").cast("bigint").alias("update_count"),
@@ -88,7 +91,10 @@ def upsert(current: DataFrame | None, batch: DataFrame, key: str = KEY) -> DataF
     exists = F.col("s._cur").isNotNull()
 
     def pick(c: str) -> Column:
-        return F.when(hit, F.col(f"b.{c}")).otherwise(F.col(f"s.{c}")).alias(c)
+        if c not in b.columns:
+            return F.col(f"s.{c}").alias(c)
+        old = F.col(f"s.{c}") if c in held else F.lit(None)
+        return F.when(hit, F.col(f"b.{c}")).otherwise(old).alias(c)
 
     return j.select(
         F.when(exists, F.col(f"s.{ID}")).otherwise(F.col(f"b.{ID}")).alias(ID),

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelle.functions.dates import month_start
-from parcelle.functions.numbers import exact_sum, safe_ratio, stable_round
+from parcelle.functions.numbers import exact_avg, exact_count, exact_sum, safe_ratio, stable_round
 
 LEVEL_KEYS: dict[str, list[str]] = {
     "zipcode": ["zipcode_name"],
@@ -28,6 +28,8 @@ LEVEL_KEYS: dict[str, list[str]] = {
 }
 # Fixed value: label of the all-types row of a statistics table.
 TOTAL = "total"
+# Label of listings whose postal code or department is not in the dimensions.
+UNKNOWN = "unknown"
 STAT_COLUMNS = ["avg_price", "avg_price_m2", "avg_m2", "avg_rooms", "nb_annonces"]
 # Features ranked against the average price.
 INFLUENCE_FEATURES = ["nb_annonces", "avg_m2", "avg_rooms"]
@@ -60,10 +62,11 @@ def timeseries(clean: DataFrame, city: str | None = None, start=None, end=None)
 # --------------------------------------------------------------------------- E8
 def _partial_sums(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     ratio = safe_ratio("Price", "M2")
+    ratio = F.when(F.abs(ratio) < float("inf"), ratio)  # finite ratios, as for prices
     return df.groupBy(*keys).agg(
-        exact_sum("Price").alias("_sp"), F.count("Price").alias("_np"),
+        exact_sum("Price").alias("_sp"), exact_count("Price").alias("_np"),
         F.sum(ratio).alias("_sr"), F.count(ratio).alias("_nr"),
-        exact_sum("M2").alias("_sm"), F.count("M2").alias("_nm"),
+        exact_sum("M2").alias("_sm"), exact_count("M2").alias("_nm"),
         F.sum(F.col("Rooms").cast("bigint")).alias("_so"), F.count("Rooms").alias("_no"),
         F.count(F.lit(1)).alias("_n"),
     )
@@ -85,17 +88,25 @@ def attach_geography(df: DataFrame, zipcodes: DataFrame, departments: DataFrame,
                      level: str) -> DataFrame:
     """Add the level's key columns to rows keyed by ``ZipCode``.
 
-    ``zipcodes`` holds one row per postal code and ``departments`` one row per
-    department id; listings whose code is unknown are dropped (inner joins).
+    Listings whose code is unknown stay, under the group ``unknown``. A code
+    that a dimension holds twice would double listings, so it raises.
     """
     if level == "zipcode":
         return df.withColumn("zipcode_name", F.col("ZipCode"))
-    z = zipcodes.select(F.col("ZipCode").alias("_zc"), F.col("Department").alias("department_id"))
-    d = departments.select(F.col("ID").alias("_id_dep"), F.col("Name").alias("department_name"),
-                           F.col("Region").alias("region_name"))
-    out = (df.join(z, df["ZipCode"] == z["_zc"])
-             .join(d, F.col("department_id") == F.col("_id_dep")))
-    return out.drop("_zc", "_id_dep")
+    z = _one_per_code(zipcodes.select(F.col("ZipCode").alias("_zc"), F.col("Department").alias("department_id")), "_zc")
+    d = _one_per_code(departments.select(F.col("ID").alias("_id_dep"), F.col("Name").alias("department_name"),
+                                         F.col("Region").alias("region_name")), "_id_dep")
+    out = (df.join(z, df["ZipCode"] == z["_zc"], "left")
+             .join(d, F.col("department_id") == F.col("_id_dep"), "left"))
+    keys = ("department_id", "department_name", "region_name")
+    return out.drop("_zc", "_id_dep").withColumns({k: F.coalesce(k, F.lit(UNKNOWN)) for k in keys})
+
+
+def _one_per_code(dim: DataFrame, code: str) -> DataFrame:
+    """A dimension with its codes checked to be unique (null codes match nothing)."""
+    twice = F.raise_error(F.concat(F.lit(f"repeated code in {code}: "), F.col(code).cast("string")))
+    return (dim.filter(F.col(code).isNotNull()).groupBy(code)
+            .agg(*[F.when(F.count(F.lit(1)) > 1, twice.cast("string")).otherwise(F.min(c)).alias(c) for c in dim.columns if c != code]))
 
 
 def geo_stats(clean: DataFrame, level: str, zipcodes: DataFrame | None = None,
@@ -216,8 +227,7 @@ def surface_price(clean: DataFrame, bands: Sequence[float] = (20, 35)) -> DataFr
     """Average surface against average price per commune and surface band."""
     banded = with_surface_band(clean, bands)
     return banded.groupBy(F.col("City").alias("commune"), "surface_band").agg(
-        F.try_divide(exact_sum("M2").cast("double"), F.count("M2").cast("double")).alias("avg_m2"),
-        F.try_divide(exact_sum("Price").cast("double"), F.count("Price").cast("double")).alias("avg_price"),
+        exact_avg("M2").alias("avg_m2"), exact_avg("Price").alias("avg_price"),
         F.count(F.lit(1)).alias("nb_annonces"))
 
 
@@ -240,9 +250,9 @@ def drilldown(clean: DataFrame, zipcodes: DataFrame, departments: DataFrame) ->
                          level.alias("level"), "avg_price", "nb_annonces")
 
 
-def word_frequencies(docs: DataFrame, text_col: str = "text", top: int | None = 100) -> DataFrame:
-    """Lower-cased letter runs counted over whole texts; the ``top`` most
-    frequent (ties by word) feed a word cloud. Counting is a partial
+def word_frequencies(docs: DataFrame, text_col: str = "text", top: int | None = None) -> DataFrame:
+    """Lower-cased letter runs counted over whole texts, most frequent
+    first (ties by word); ``top`` keeps the first for a word cloud. Counting is a partial
     aggregate, so frequent words are combined map-side."""
     words = docs.select(F.explode(F.split(F.lower(F.col(text_col)), r"[^\p{L}]+")).alias("word"))
     counts = words.filter(F.length("word") > 0).groupBy("word").agg(F.count(F.lit(1)).alias("n"))

@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,31 +30,31 @@ class CleaningPaths:
     ledger: str         # processed ids, one folder per run
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The table at ``path``, or an empty one before any run has written it.
-    The schema is given, so a partition column keeps its declared type."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:  # PATH_NOT_FOUND: no run has written the folder yet
-        return spark.createDataFrame([], schema)
+def _done(spark: SparkSession, path: str, run_id: str, first_run: bool) -> DataFrame:
+    """Ids that other runs recorded at ``path``. Only a declared first run may
+    find nothing there; a missing folder raises otherwise."""
+    if first_run:
+        return spark.createDataFrame([], "_id string")
+    rows = spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    return rows.filter(F.col("run_id") != F.lit(run_id)).select(F.col("Id").alias("_id"))
 
 
-def cleaning_run(spark: SparkSession, paths: CleaningPaths, run_id: str, limit: int | None = 2000,
-                 fmt: str = "parquet") -> dict[str, str]:
+def cleaning_run(spark: SparkSession, paths: CleaningPaths, run_id: str, limit: int | None = None,
+                 fmt: str = "parquet", first_run: bool = False) -> dict[str, str]:
     """Clean the next batch of unprocessed listings.
 
     Rows flagged processed in the collection or recorded in the ledger by an
-    earlier run are skipped; the batch is the first ``limit`` ids in id order.
+    earlier run are skipped, as are ids an earlier run rejected; with a
+    ``limit`` the batch is the first ids in id order. ``first_run`` says that
+    no run has written the ledger yet.
     The ledger entries of ``run_id`` itself are ignored, so a retried run
     selects the same batch and rewrites the same three outputs: clean rows,
-    rejects with reason, and ledger ids (only clean ids, as in the source:
-    rejects are read again by the next run). The checked batch is persisted
+    rejects with reason, and ledger ids. The checked batch is persisted
     once and feeds the three writes; a lost cached block is recomputed from
     the same deterministic batch."""
     raw = files.read_listings(spark, paths.raw, fmt)
-    ledger = (_read_or_empty(spark, paths.ledger, LEDGER_SCHEMA)
-              .filter(F.col("run_id") != F.lit(run_id))
-              .select(F.col("Id").alias("_id")))
+    ledger = (_done(spark, paths.ledger, run_id, first_run)
+              .unionAll(_done(spark, paths.rejected, run_id, first_run)))
     batch = unprocessed(raw.join(ledger, "_id", "left_anti"), limit)
     checked = with_checks(project_listing(batch)).persist()
     try:

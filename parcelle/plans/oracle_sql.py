@@ -127,17 +127,18 @@ BASE = (LISTINGS_RAW, CLEAN_CHECKED)
 GEO = (LISTINGS_RAW, CLEAN_CHECKED, ZIPCODE_DIM, DEPARTMENT_DIM)
 
 _STAT_AGGS = f"""
-    CAST(SUM(CAST(Price AS DECIMAL(18,2))) AS DOUBLE) / COUNT(Price) AS avg_price,
+    CAST(SUM(CAST(Price AS DECIMAL(38,6))) AS DOUBLE) / COUNT(Price) AS avg_price,
     {sround("AVG(CASE WHEN M2 = 0 THEN NULL ELSE Price / M2 END)")} AS avg_price_m2,
-    CAST(SUM(CAST(M2 AS DECIMAL(18,2))) AS DOUBLE) / COUNT(M2) AS avg_m2,
+    CAST(SUM(CAST(M2 AS DECIMAL(38,6))) AS DOUBLE) / COUNT(M2) AS avg_m2,
     CAST(SUM(CAST(Rooms AS BIGINT)) AS DOUBLE) / COUNT(Rooms) AS avg_rooms,
     CAST(COUNT(*) AS BIGINT) AS nb_annonces"""
 
 
 _LOCATED = """
 located AS (
-  SELECT c.*, z.Department AS department_id, d.Name AS department_name, d.Region AS region_name
-  FROM clean c JOIN zipcode_dim z ON c.ZipCode = z.ZipCode JOIN department_dim d ON z.Department = d.ID
+  SELECT c.*, coalesce(z.Department, 'unknown') AS department_id, coalesce(d.Name, 'unknown') AS department_name,
+         coalesce(d.Region, 'unknown') AS region_name
+  FROM clean c LEFT JOIN zipcode_dim z ON c.ZipCode = z.ZipCode LEFT JOIN department_dim d ON z.Department = d.ID
 )"""
 
 _CLEAN_ZIP = """
@@ -241,8 +242,7 @@ def _pearson_sql(a: str, b: str) -> str:
 
 
 ORACLE["influence_rank"] = with_ctes(*stats_ctes("zipcode"), f"""
-win AS (SELECT * FROM stats_zipcode WHERE logement_type = 'total' AND avg_price >= 0
-        AND avg_price <= 1000000000 AND nb_annonces >= 2),
+win AS (SELECT * FROM stats_zipcode WHERE logement_type = 'total' AND avg_price IS NOT NULL),
 wide AS (SELECT {_pearson_sql('nb_annonces', 'avg_price')} AS nb_annonces,
                 {_pearson_sql('avg_m2', 'avg_price')} AS avg_m2,
                 {_pearson_sql('avg_rooms', 'avg_price')} AS avg_rooms FROM win)""", body=f"""
@@ -431,7 +431,8 @@ def _list_mean_sql(arr: str) -> str:
 
 ORACLE["list_mean"] = f"""
 SELECT vec_id, {sround(_list_mean_sql('embedding'), 6)} AS mean_all,
-       {sround(_list_mean_sql('embedding[1:label]'), 6)} AS mean_head
+       {sround(_list_mean_sql('list_transform(embedding, lambda x: CASE WHEN x >= 0 THEN x END)'), 6)} AS mean_positive,
+       {sround(_list_mean_sql('CASE WHEN label = 0 THEN CAST([] AS FLOAT[]) WHEN label > 1 THEN embedding END'), 6)} AS mean_odd
 FROM embeddings"""
 
 _WS = "[\\s\\x{00a0}]"
@@ -606,21 +607,21 @@ GROUP BY department_id, department_name""")
 ORACLE["surface_price"] = with_ctes(*BASE, body="""
 SELECT City AS commune,
        CASE WHEN M2 < 20 THEN '<20' WHEN M2 < 35 THEN '20-35' ELSE '>=35' END AS surface_band,
-       CAST(SUM(CAST(M2 AS DECIMAL(18,2))) AS DOUBLE) / COUNT(M2) AS avg_m2,
-       CAST(SUM(CAST(Price AS DECIMAL(18,2))) AS DOUBLE) / COUNT(Price) AS avg_price,
+       CAST(SUM(CAST(M2 AS DECIMAL(38,6))) AS DOUBLE) / COUNT(M2) AS avg_m2,
+       CAST(SUM(CAST(Price AS DECIMAL(38,6))) AS DOUBLE) / COUNT(Price) AS avg_price,
        CAST(count(*) AS BIGINT) AS nb_annonces
 FROM clean GROUP BY 1, 2""")
 ORACLE["drilldown"] = with_ctes(*GEO, _LOCATED, body="""
 SELECT region_name, department_name, City AS commune,
        CASE GROUPING(region_name, department_name, City)
          WHEN 0 THEN 'commune' WHEN 1 THEN 'department' WHEN 3 THEN 'region' WHEN 7 THEN 'national' END AS level,
-       CAST(SUM(CAST(Price AS DECIMAL(18,2))) AS DOUBLE) / COUNT(Price) AS avg_price,
+       CAST(SUM(CAST(Price AS DECIMAL(38,6))) AS DOUBLE) / COUNT(Price) AS avg_price,
        CAST(count(*) AS BIGINT) AS nb_annonces
 FROM located GROUP BY ROLLUP (region_name, department_name, City)""")
 ORACLE["word_freq"] = """
 WITH w AS (SELECT unnest(regexp_split_to_array(lower(text), '[^\\pL]+')) AS word FROM documents)
 SELECT word, CAST(count(*) AS BIGINT) AS n FROM w WHERE length(word) > 0
-GROUP BY word ORDER BY n DESC, word LIMIT 100"""
+GROUP BY word ORDER BY n DESC, word"""
 
 _MERGE_COLS = ("listing_url, source, department, price, price_per_m2, surface_m2, rooms, bedrooms, address, "
                "city, postal_code, property_type, description, first_seen_at, last_seen_at")

@@ -155,7 +155,7 @@ def q_distinct_values(spark, sf_dir):
 @register("influence_rank")
 def q_influence_rank(spark, sf_dir):
     level = flt.normalise_level("Code postal")
-    rows = flt.price_window(flt.stats_by_type(stats(spark, sf_dir, level), "total"), 0, 10 ** 9, 2)
+    rows = flt.stats_by_type(stats(spark, sf_dir, level), "total").dropna(subset=["avg_price"])  # the window is the data's own bounds
     cols = flt.existing_columns(rows, stats_ops.INFLUENCE_FEATURES + ["avg_price"])
     return stats_ops.influence(rows.select(*cols))
 
@@ -267,12 +267,15 @@ def q_ads_normalise(spark, sf_dir):
 
 @register("list_mean")
 def q_list_mean(spark, sf_dir):
-    """Null-tolerant list mean over whole vectors and over a label-long prefix
-    of each vector (empty when the label is 0)."""
+    """Null-tolerant list mean over whole vectors, over whole vectors whose
+    negative components are null, and over lists that are empty or null for
+    some labels."""
     e = read_table(spark, sf_dir, "embeddings")
-    part = F.slice("embedding", 1, F.col("label"))
+    part = F.transform("embedding", lambda x: F.when(x >= 0, x))
+    odd = F.when(F.col("label") == 0, F.array().cast("array<float>")).when(F.col("label") > 1, F.col("embedding"))
     return e.select("vec_id", stable_round(list_mean("embedding"), 6).alias("mean_all"),
-                    stable_round(list_mean(part), 6).alias("mean_head"))
+                    stable_round(list_mean(part), 6).alias("mean_positive"),
+                    stable_round(list_mean(odd), 6).alias("mean_odd"))
 
 
 def cards(spark, sf_dir):
@@ -363,7 +366,7 @@ def q_drilldown(spark, sf_dir):
 
 @register("word_freq")
 def q_word_freq(spark, sf_dir):
-    return stats_ops.word_frequencies(read_table(spark, sf_dir, "documents"), top=100)
+    return stats_ops.word_frequencies(read_table(spark, sf_dir, "documents"))
 
 
 @register("merged_state")

@@ -44,7 +44,8 @@ def build_session(master: str | None = None, app_name: str = "parcelle",
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if spark.sparkContext.master.split("[")[0] == "local":
+        ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -52,13 +53,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is only read here.
-    When it is unset (local tests) a fresh scratch folder is created and set.
+    When it is unset, a fresh scratch folder is made on a plain local master
+    only (tests); any other master raises, as executors would not share it.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        if sc.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="parcelle-ckpt-",
                                    dir=os.environ.get("PARCELLE_SCRATCH", "/tmp"))
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+    return current

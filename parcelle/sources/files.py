@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ def read_listings(spark: SparkSession, path: str | Sequence[str], fmt: str = "pa
 
 
 def read_unprocessed(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet",
-                     limit: int | None = 2000) -> DataFrame:
+                     limit: int | None = None) -> DataFrame:
     """Unprocessed listings, an ordered batch of ``limit`` rows, projected to
     the cleaning fields. Filter and projection reach the scan (Parquet
     pushdown); the limit over a total order is a distributed top-k."""
@@ -38,13 +39,19 @@ def read_unprocessed(spark: SparkSession, path: str | Sequence[str], fmt: str =
 # ------------------------------------------------------------------ A2 / H1
 def read_sales(spark: SparkSession, paths: str | Sequence[str], partitions: int | None = None) -> DataFrame:
     """Yearly open-data CSV files (header, comma, UTF-8, all columns strings),
-    read as one relation (union of the years). Gzip files are not splittable:
+    read as one relation (union of the years). Columns are found by the name in
+    each file's header; other columns are ignored, a missing one is empty. Gzip files are not splittable:
     each one is a single scan task, so pass ``partitions`` to spread the rows
     before the per-row work."""
-    df = (spark.read.option("header", True).option("sep", ",").option("encoding", "UTF-8")
-          .option("mode", "PERMISSIVE").schema(SALE_ROWS).csv(list(paths) if not isinstance(paths, str) else paths))
-    # CSV gives null for an empty cell; the source treats it as an empty string
-    df = df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in df.columns])
+    def one(path: str) -> DataFrame:
+        rows = (spark.read.option("header", True).option("sep", ",").option("encoding", "UTF-8")
+                .option("mode", "PERMISSIVE").csv(path))
+        # CSV gives null for an empty cell; the source treats it as an empty string
+        return rows.select(*[(F.coalesce(F.col(f"`{c}`"), F.lit("")) if c in rows.columns else F.lit("")).alias(c)
+                             for c in SALE_ROWS.names])
+
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    df = reduce(DataFrame.unionAll, map(one, paths))
     return df.repartition(partitions) if partitions else df
 
 

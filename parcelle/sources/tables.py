@@ -1,103 +1,21 @@
-"""Readers for the driver's parquet tables (one file per table)."""
+"""Readers for the driver's parquet tables."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
-# Fixed-size lookup tables: never worth spreading.
-TINY_TABLES = ("region", "nation")
 
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-_SPLITS: dict[tuple, int] = {}
-
-
-def _app_key(spark: SparkSession):
-    """Per-session cache key; None when the session has no local SparkContext
-    (Spark Connect), in which case nothing is cached or spread."""
-    try:
-        return (spark.sparkContext.applicationId, id(spark))
-    except Exception:  # noqa: BLE001 - remote sessions expose no SparkContext
-        return None
-
-
-def split_by_row_index(df: DataFrame, n: int) -> DataFrame:
-    """The same rows as ``df`` (a Parquet file scan) in ``n`` parallel scans:
-    scan ``i`` keeps the rows whose position in their file is ``i`` modulo ``n``.
-
-    Together the ``n`` residues hold every row exactly once, and the split is
-    deterministic (a retried task re-reads the same rows). Unlike a round-robin
-    ``repartition``, filters that Catalyst pushes into the scan are evaluated by
-    all ``n`` tasks instead of the one task that reads an unsplittable file."""
-    pos = F.col("_metadata.row_index")
-    return reduce(DataFrame.unionAll, [df.filter(pos % n == i) for i in range(n)])
-
-
-def spread_if_narrow(spark: SparkSession, df: DataFrame, key: str | None = None,
-                     by_row_index: bool = False) -> DataFrame:
-    """Spread a scan over the cores when it yields fewer input partitions
-    than there are cores (a single large row group or an unsplittable file is
-    read by one task). A real table with many splits is left untouched, so
-    nothing is added at scale. The split count of a path is looked up once per
-    application.
-
-    The default is a round-robin ``repartition``: one shuffle, after which the
-    per-row work runs on every core. Catalyst pushes deterministic filters
-    below it into the scan, though, so for inputs whose filters are expensive
-    ``by_row_index=True`` splits the file into parallel scans instead
-    (``split_by_row_index``), at the price of each scan decoding the file."""
-    app = _app_key(spark)
-    if app is None:
-        return df
-    target = spark.sparkContext.defaultParallelism
-    cache_key = (app, key) if key else None
-    if cache_key is not None and cache_key in _SPLITS:
-        splits = _SPLITS[cache_key]
-    else:
-        splits = df.rdd.getNumPartitions()
-        if cache_key is not None:
-            _SPLITS[cache_key] = splits
-    if splits >= target:
-        return df
-    if by_row_index:
-        try:
-            return split_by_row_index(df, target)
-        except AnalysisException:  # not a Parquet file scan: no row positions
-            pass
-    return df.repartition(target)
-
-
-_SCANS: dict[tuple, DataFrame] = {}
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True,
-               split_rows: bool = False) -> DataFrame:
-    """Parquet scan; column pruning and filter pushdown are left to Catalyst.
-    Callers pass ``spread=False`` for tables joined as the build side of a
-    dimension join, where spreading would only add a stage, and
-    ``split_rows=True`` when the rows feed expensive filters (see
-    ``spread_if_narrow``). The scan plan of a read-only table is built once
-    per application (a DataFrame is a plan, not data: nothing is cached),
-    which saves listing and footer reads."""
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet scan. Column pruning, filter pushdown and splitting are left to
+    Spark; nothing is kept between calls, so an appended table is read as it is."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    path = table_path(sf_dir, name)
-    app = _app_key(spark)
-    df = _SCANS.get((app, path)) if app is not None else None
-    if df is None:
-        df = spark.read.parquet(path)
-        if app is not None:
-            _SCANS[(app, path)] = df
-    if spread and name not in TINY_TABLES:
-        df = spread_if_narrow(spark, df, path, by_row_index=split_rows)
-    return df
+    return spark.read.parquet(table_path(sf_dir, name))

@@ -21,25 +21,30 @@ from parcelle.schema import LISTINGS_RAW
 from parcelle.session import ensure_checkpoint_dir
 
 
-def clean_batch(batch: DataFrame, batch_id: int, output_path: str) -> None:
-    """Clean one micro-batch: clean rows to ``clean/batch_id=N``, rejects (id
-    and reason) to ``rejected/batch_id=N``. The checked batch is cached so
+def clean_batch(batch: DataFrame, batch_id: int, output_path: str, intake: str) -> None:
+    """Clean one micro-batch: clean rows to ``clean/intake=NAME/batch_id=N``,
+    rejects (id and reason) to ``rejected/intake=NAME/batch_id=N``, so intakes
+    that share an output folder never overwrite each other. The checked batch is cached so
     the landed files are scanned once for both outputs."""
     checked = with_checks(project_listing(unprocessed(batch))).persist()
     try:
         (checked.filter(F.col("reason").isNull()).select("Id", *CLEAN_COLUMNS)
-         .write.mode("overwrite").parquet(f"{output_path}/clean/batch_id={batch_id}"))
+         .write.mode("overwrite").parquet(f"{output_path}/clean/intake={intake}/batch_id={batch_id}"))
         (checked.filter(F.col("reason").isNotNull()).select("Id", "reason")
-         .write.mode("overwrite").parquet(f"{output_path}/rejected/batch_id={batch_id}"))
+         .write.mode("overwrite").parquet(f"{output_path}/rejected/intake={intake}/batch_id={batch_id}"))
     finally:
         checked.unpersist()
 
 
+def intake_name(source_path: str, output_path: str) -> str:
+    """The name of the intake of a source into an output."""
+    return hashlib.sha1(f"{source_path}\n{output_path}".encode()).hexdigest()[:16]
+
+
 def default_checkpoint(spark: SparkSession, source_path: str, output_path: str) -> str:
-    """Stream checkpoint folder for one (source, output) pair under the shared
-    ``spark.checkpoint.dir``."""
-    tag = hashlib.sha1(f"{source_path}\n{output_path}".encode()).hexdigest()[:16]
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/intake-{tag}"
+    """Stream checkpoint folder of an intake under the configured
+    ``spark.checkpoint.dir``, the same one for every application."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/intake-{intake_name(source_path, output_path)}"
 
 
 def run_intake(spark: SparkSession, source_path: str, output_path: str, checkpoint_path: str | None = None,
@@ -59,7 +64,7 @@ def run_intake(spark: SparkSession, source_path: str, output_path: str, checkpoi
     query = (stream.writeStream
              .trigger(availableNow=True)
              .option("checkpointLocation", checkpoint_path)
-             .foreachBatch(lambda df, bid: clean_batch(df, bid, output_path))
+             .foreachBatch(lambda df, bid: clean_batch(df, bid, output_path, intake_name(source_path, output_path)))
              .start())
     query.awaitTermination()
 

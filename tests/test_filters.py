@@ -107,7 +107,9 @@ def test_stats_lookup_exact_case(spark):
 def test_level_dispatch():
     assert flt.normalise_level("department") == "department"
     assert flt.normalise_level("region") == "region"
-    assert flt.normalise_level("Code postal") == "zipcode"
+    assert [flt.normalise_level(x) for x in ("Code postal", "Département", "Région")] == ["zipcode", "department", "region"]
+    with pytest.raises(ValueError):
+        flt.normalise_level("pays")
 
 
 def test_threshold_pads_and_repairs_department(spark):

@@ -51,6 +51,14 @@ def test_stable_round_ignores_last_bit_noise(spark):
     out = [r.o for r in df.select(numbers.stable_round("v", 4).alias("o")).collect()]
     assert out[0] == out[1] == out[2] == 1358.6033
     assert out[3] == -2.5
+    big = spark.createDataFrame([(1e12 + 0.25,), (float("inf"),)], "v double").select(numbers.stable_round("v", 4).alias("o")).collect()
+    assert [r.o for r in big] == [1e12 + 0.25, float("inf")]
+
+
+def test_exact_avg_of_fractions_large_and_non_finite_values(spark):
+    avg = lambda *v: spark.createDataFrame([(x,) for x in v], "v double").agg(numbers.exact_avg("v").alias("a")).first().a
+    assert avg(33.333, 33.333, 33.333) == 33.333 and avg(1e17, 1e17) == 1e17
+    assert avg(float("inf"), 200000.0) == 200000.0 and avg(float("nan")) is None
 
 
 def test_exact_avg_is_order_independent(spark):

@@ -6,6 +6,8 @@ import csv
 import gzip
 import os
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from parcelle.plans.jobs import CleaningPaths, cleaning_run, open_data_run
@@ -24,21 +26,23 @@ def test_cleaning_run_batches_and_retry(spark, tmp_dir):
     testdata.listings_raw(spark, SF_SMALL).write.parquet(raw_path)
     paths = CleaningPaths(raw_path, f"{tmp_dir}/clean", f"{tmp_dir}/rejected", f"{tmp_dir}/ledger")
 
-    first = cleaning_run(spark, paths, "r1", limit=500)
+    first = cleaning_run(spark, paths, "r1", limit=500, first_run=True)
     clean1, rejected1 = _ids(spark, first["clean"]), _ids(spark, first["rejected"])
     assert len(clean1) + len(rejected1) == 500
     assert _ids(spark, first["ledger"]) == clean1
 
     # a retried run selects the same batch and rewrites the same outputs
-    again = cleaning_run(spark, paths, "r1", limit=500)
+    again = cleaning_run(spark, paths, "r1", limit=500, first_run=True)
     assert _ids(spark, again["clean"]) == clean1
     assert _ids(spark, again["rejected"]) == rejected1
 
-    # the next run skips the ids cleaned by r1 but reads r1's rejects again
+    # the next run skips the ids that r1 cleaned and those it rejected
     second = cleaning_run(spark, paths, "r2", limit=500)
     clean2, rejected2 = _ids(spark, second["clean"]), _ids(spark, second["rejected"])
     assert not clean2 & clean1
-    assert rejected1 <= rejected2
+    assert not rejected1 & (rejected2 | clean2) and len(clean2) + len(rejected2) == 500
+    with pytest.raises(AnalysisException):
+        cleaning_run(spark, CleaningPaths(raw_path, paths.clean, paths.rejected, f"{tmp_dir}/mistyped"), "r3")
     ledger = spark.read.parquet(paths.ledger)
     assert {r.run_id for r in ledger.select(F.col("run_id").cast("string").alias("run_id")).distinct().collect()} \
         == {"r1", "r2"}

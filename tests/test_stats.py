@@ -90,3 +90,14 @@ def test_word_frequencies(spark):
     docs = spark.createDataFrame([("Le chat, le CHIEN; l'été été",), ("chat",)], "text string")
     out = [(r.word, r.n) for r in stats.word_frequencies(docs, top=3).collect()]
     assert out == [("chat", 2), ("le", 2), ("été", 2)]
+
+
+def test_unknown_and_repeated_codes(spark):
+    import pytest
+    rows = spark.createDataFrame([("10000", 1), ("99999", 2)], "ZipCode string, n int")
+    z = spark.createDataFrame([("10000", "10")], "ZipCode string, Department string")
+    d = spark.createDataFrame([("10", "Aube", "Est")], "ID string, Name string, Region string")
+    out = {r.ZipCode: r.region_name for r in stats.attach_geography(rows, z, d, "region").collect()}
+    assert out == {"10000": "Est", "99999": "unknown"}
+    with pytest.raises(Exception, match="repeated code"):
+        stats.attach_geography(rows, z.unionAll(z), d, "region").collect()

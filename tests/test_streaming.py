@@ -34,4 +34,15 @@ def test_default_checkpoint_per_source_and_output(spark, tmp_dir):
     a = default_checkpoint(spark, f"{tmp_dir}/landing_a", f"{tmp_dir}/out")
     b = default_checkpoint(spark, f"{tmp_dir}/landing_b", f"{tmp_dir}/out")
     assert a != b and a == default_checkpoint(spark, f"{tmp_dir}/landing_a", f"{tmp_dir}/out")
-    assert a.startswith(spark.sparkContext.getCheckpointDir().rstrip("/"))
+    from parcelle.session import ensure_checkpoint_dir
+    assert a.startswith(ensure_checkpoint_dir(spark).rstrip("/"))
+
+
+def test_two_sources_into_one_output(spark, tmp_dir):
+    raw = testdata.listings_raw(spark, SF_SMALL)
+    out = f"{tmp_dir}/out"
+    for name, part in (("a", raw.filter(F.col("source") == "collector_a")), ("b", raw.filter(F.col("source") != "collector_a"))):
+        part.write.parquet(f"{tmp_dir}/{name}")
+        run_intake(spark, f"{tmp_dir}/{name}", out, f"{tmp_dir}/ckpt_{name}")
+    from parcelle.operators.clean import clean_listings
+    assert read_intake(spark, out).count() == clean_listings(raw).clean.count()

@@ -1,27 +1,26 @@
-"""Spreading narrow scans: every row exactly once, no shuffle for the row split."""
+"""Table reader: plain scans, no state between calls."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import pytest
 
-from parcelle.sources.tables import split_by_row_index, spread_if_narrow, table_path
+from parcelle.sources.tables import read_table, table_path
 from tests.conftest import SF_SMALL
 
 
-def test_split_by_row_index_keeps_every_row_once(spark):
-    df = spark.read.parquet(table_path(SF_SMALL, "lineitem"))
-    split = split_by_row_index(df, 4)
-    assert split.columns == df.columns
-    assert sorted(split.collect()) == sorted(df.collect())
-    plan = split._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and plan.count("FileScan parquet") == 4
+def test_one_scan_per_table(spark):
+    from parcelle.plans.queries import QUERIES
+    plan = QUERIES["dvf_normalise"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    scans = plan.count("FileScan parquet") + plan.count("Scan parquet")
+    assert scans <= 10 and "RoundRobin" not in plan
 
 
-def test_spread_if_narrow_fallback_and_filters(spark):
-    df = spark.read.parquet(table_path(SF_SMALL, "orders"))
-    spread = spread_if_narrow(spark, df, by_row_index=True)
-    hot = spread.filter(F.col("o_totalprice") > 100000)
-    assert hot.count() == df.filter(F.col("o_totalprice") > 100000).count()
-    # a frame that is not a file scan has no row positions: round-robin instead
-    made = spark.range(100).withColumn("x", F.col("id") * 2)
-    assert spread_if_narrow(spark, made, by_row_index=True).count() == 100
+def test_appended_rows_are_seen(spark, tmp_dir):
+    path = table_path(tmp_dir, "nation")
+    rows = spark.read.parquet(table_path(SF_SMALL, "nation"))
+    rows.write.parquet(path)
+    n = read_table(spark, tmp_dir, "nation").count()
+    rows.write.mode("append").parquet(path)
+    assert read_table(spark, tmp_dir, "nation").count() == 2 * n
+    with pytest.raises(ValueError):
+        read_table(spark, tmp_dir, "other")
