@@ -344,7 +344,7 @@ def _find(batches, key):
 
 
 def score(docs: DataFrame, held_out: int = 2, common: int = 200_000, base: float = 2 ** 0.5, least: int = 2, hashes: int = 6, bits_per_entry: float = 12.0,
-          max_bytes: int = 64 << 20, floor: float = 0.02, flush: int = 2_000_000) -> DataFrame:
+          max_bytes: int = 64 << 20, floor: float = 0.02, flush: int = 1_000_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every document.
 
     Trained on the rows whose crc32(doc_id as text) mod 7 is not ``held_out``; null ids train. Null or empty
