@@ -13,6 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelle.operators.clean import CLEAN_COLUMNS
+from parcelle.schema import RUN_STATS
 
 # Batch sizes used by the source for database writes.
 CLEAN_BATCH_SIZE = 500
@@ -38,9 +39,15 @@ def append_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: s
     w.save(path)
 
 
-def append_run_stats(stats: DataFrame, path: str) -> None:
-    """Append one row per run of collector statistics."""
-    append_table(stats, path)
+def write_run_stats(stats: DataFrame, path: str, run_col: str = "run_id") -> None:
+    """Write the statistics rows of the runs in ``stats``, one folder per run:
+    a retried run replaces its own row and leaves the others."""
+    columns = [f.name for f in RUN_STATS.fields]
+    missing = [c for c in columns if c not in stats.columns]
+    if missing:
+        raise ValueError(f"missing run statistics: {', '.join(missing)}")
+    (stats.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy(run_col).parquet(path))
 
 
 def state_path(base: str, version: int) -> str:

@@ -43,11 +43,12 @@ def _key_match(left: DataFrame, right: DataFrame, key: str) -> Column:
 
 def _latest_order(batch: DataFrame, order: Sequence[str] | None) -> list[str]:
     """Sort key deciding the latest sighting: last-seen time, then the id, then
-    every scalar data field, so equal timestamps still give one answer."""
+    every other data field, the feature list last, so equal timestamps still
+    give one answer."""
     if order is not None:
         return list(order)
     ties = [c for c in DATA_FIELDS if c in batch.columns and c not in ("features", "last_seen_at")]
-    return [c for c in ["last_seen_at", ID] if c in batch.columns] + ties
+    return [c for c in ["last_seen_at", ID, *ties, "features"] if c in batch.columns]
 
 
 def aggregate_batch(batch: DataFrame, key: str = KEY, order: Sequence[str] | None = None) -> DataFrame:
@@ -125,6 +126,17 @@ def upsert_counters(current: DataFrame | None, batch: DataFrame, key: str = KEY)
     return out.withColumn("modified", F.col("scraped") - F.col("inserted"))
 
 
+def run_counters(current: DataFrame, batch: DataFrame, run_col: str = "run_id", key: str = KEY) -> DataFrame:
+    """Per run of the batch: ``new_properties`` (keys that the state lacks) and
+    ``updated_properties`` (the run's other rows). The batch is counted per
+    (run, key) first, so a hot key is combined before the join."""
+    per_key = batch.groupBy(run_col, F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    held = current.select(F.col(key).alias("_held")).distinct().withColumn("_hit", F.lit(True))
+    j = per_key.join(held, F.col("_key").eqNullSafe(F.col("_held")), "left")
+    out = j.groupBy(run_col).agg(F.count_if(F.col("_hit").isNull()).alias("new_properties"), F.sum("_n").alias("_rows"))
+    return out.select(run_col, "new_properties", (F.col("_rows") - F.col("new_properties")).alias("updated_properties"))
+
+
 def mark_processed(raw: DataFrame, clean_ids: DataFrame, id_col: str = ID,
                    clean_id_col: str = "Id") -> DataFrame:
     """Set ``processed = true`` on rows whose id survived cleaning; other rows
@@ -181,6 +193,6 @@ def incremental_batch(raw: DataFrame, ledger: DataFrame, id_col: str = ID,
     return unprocessed(pending, limit)
 
 
-__all__ = ["aggregate_batch", "upsert", "upsert_counters", "mark_processed", "deactivate", "dedupe",
+__all__ = ["aggregate_batch", "upsert", "upsert_counters", "run_counters", "mark_processed", "deactivate", "dedupe",
            "delete_candidates", "duplicate_groups", "key_violations", "incremental_batch",
            "timestamp_lit"]

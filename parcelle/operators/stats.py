@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelle.functions.dates import month_start
+from parcelle.functions.dates import month_start, timestamp_lit
 from parcelle.functions.numbers import exact_avg, exact_count, exact_sum, safe_ratio, stable_round
 
 LEVEL_KEYS: dict[str, list[str]] = {
@@ -191,9 +191,20 @@ def run_metrics(log: DataFrame, run_col: str = "run_id", items_col: str = "items
     )
 
 
+def run_statistics(log: DataFrame, counters: DataFrame, now, reason: str, run_col: str = "run_id") -> DataFrame:
+    """One statistics row per run of the log: its metrics, the new and updated
+    listings that ``counters`` gives for it (0 when absent), the time of
+    recording and the reason it ended."""
+    m = run_metrics(log, run_col).join(counters, run_col, "left")
+    n = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+    return m.select(run_col, timestamp_lit(now).alias("timestamp"), "duration_seconds", "total_properties",
+                    n("new_properties"), n("updated_properties"), "total_pages", "properties_per_page",
+                    "time_per_property", F.lit(reason).alias("reason"))
+
+
 def intake_counts(cards: DataFrame, source_col: str = "source", department_col: str = "department",
                   page_col: str = "page_id") -> DataFrame:
-    """Cards and distinct pages per (source, department)."""
+    """Cards (or ads) and distinct pages per (source, department)."""
     return cards.groupBy(source_col, department_col).agg(
         F.count(F.lit(1)).alias("cards"), F.count_distinct(page_col).alias("pages"))
 

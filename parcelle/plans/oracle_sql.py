@@ -39,6 +39,7 @@ listings_raw AS (
         WHEN 'bolt' THEN 'Terrain' WHEN 'anvil' THEN 'Château'
         ELSE split_part(p_name, ' ', 2) END || ' ' || split_part(p_name, ' ', 1)
     END AS property_type,
+    string_split(p_name, ' ') AS features,
     p_name || ' - ' || o_orderpriority AS description,
     o_orderdate AS first_seen_at,
     l_shipdate AS last_seen_at,
@@ -270,7 +271,7 @@ WHERE s.logement_type = 'maison' AND s.nb_annonces >= 3""")
 
 # ---------------------------------------------------------------- keyed state
 _DATA = ("source, department, price, price_per_m2, surface_m2, rooms, bedrooms, address, city, "
-         "postal_code, property_type, description, last_seen_at")
+         "postal_code, property_type, features, description, last_seen_at")
 
 
 def _latest_per_key(src: str, name: str) -> str:
@@ -305,7 +306,8 @@ state1 AS (
   FROM state0 s FULL OUTER JOIN batch_latest b ON s.listing_url IS NOT DISTINCT FROM b.listing_url
 )"""
 
-ORACLE["upsert_state"] = with_ctes(LISTINGS_RAW, STATE, body="SELECT * FROM state1")
+ORACLE["upsert_state"] = with_ctes(LISTINGS_RAW, STATE, body="""
+SELECT * REPLACE (array_to_string(features, '|') AS features) FROM state1""")
 ORACLE["upsert_counters"] = with_ctes(LISTINGS_RAW, STATE, body="""
 SELECT CAST(count(*) AS BIGINT) AS scraped,
        CAST(count(DISTINCT CASE WHEN s.listing_url IS NULL THEN b.listing_url END) AS BIGINT) AS inserted,
@@ -385,12 +387,17 @@ SELECT 'dvf_' || id_mutation || '_' || numero_disposition AS listing_url,
        concat_ws(' ', adresse_numero, nullif(adresse_suffixe, ''), adresse_nom_voie) AS address,
        nom_commune AS city, code_postal AS postal_code,
        CASE WHEN type_local = 'Maison' THEN 'maison' ELSE 'appartement' END AS property_type,
+       '' AS features,
        'Mutation du ' || date_mutation || ' - ' || nature_mutation AS description,
        TIMESTAMP '2024-06-01 12:00:00' AS first_seen_at, TIMESTAMP '2024-06-01 12:00:00' AS last_seen_at
 FROM sale_surf
 WHERE NOT lot2_bad AND surface > 0 AND price > 0 AND ln <> 6
 )"""
 ORACLE["dvf_normalise"] = with_ctes(SALE_ROWS, DVF_LISTINGS, body="SELECT * FROM dvf_listings")
+ORACLE["dvf_rejected"] = with_ctes(SALE_ROWS, body="""
+SELECT 'dvf_' || id_mutation || '_' || numero_disposition AS listing_url,
+       CASE WHEN lot2_bad THEN 'malformed_surface' ELSE 'malformed_rooms' END AS reason
+FROM sale_surf WHERE lot2_bad OR (surface > 0 AND price > 0 AND ln = 6)""")
 
 _K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 ADS_LISTINGS = f"""
@@ -417,6 +424,9 @@ SELECT 'ad-' || CAST(event_id AS VARCHAR) AS listing_url, 'ads_api' AS source,
        {_pad('user_id', 5)} AS postal_code,
        CASE event_type WHEN 'view' THEN 'maison' WHEN 'click' THEN 'appartement'
                        WHEN 'signup' THEN 'château' ELSE 'bungalow' END AS property_type,
+       'ad-' || CAST(event_id AS VARCHAR) || '|Ville ' || CAST(user_id AS VARCHAR) || '|' ||
+         CASE event_type WHEN 'view' THEN 'house' WHEN 'click' THEN 'flat' WHEN 'signup' THEN 'castle'
+                         ELSE 'bungalow' END AS features,
        event_type || ' ' || strftime(ts, '%Y-%m-%d') AS description,
        TIMESTAMP '2024-06-01 12:00:00' AS first_seen_at, TIMESTAMP '2024-06-01 12:00:00' AS last_seen_at
 FROM ads
@@ -436,40 +446,6 @@ SELECT vec_id, {sround(_list_mean_sql('embedding'), 6)} AS mean_all,
 FROM embeddings"""
 
 _WS = "[\\s\\x{00a0}]"
-CARDS = f"""
-card_parts AS (
-  SELECT page_id, url, regexp_extract(html, '<html lang="([^"]*)"', 1) AS department,
-         string_split(html, '<p>') AS parts
-  FROM pages
-),
-card_rows AS (
-  SELECT page_id, url, department, CAST(i - 1 AS INTEGER) AS pos, parts[i] AS card_html
-  FROM (SELECT *, unnest(generate_series(2, len(parts))) AS i FROM card_parts)
-),
-cards AS (
-  SELECT page_id, pos, url || '#card-' || CAST(pos AS VARCHAR) AS listing_url,
-         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1) AS source,
-         department,
-         regexp_replace(regexp_replace(card_html, '<[^>]*>', '', 'g'), '^{_WS}+|{_WS}+$', '', 'g') AS description
-  FROM card_rows
-)"""
-
-ORACLE["card_extract"] = with_ctes(CARDS, body="""
-SELECT page_id, pos, listing_url, source, department,
-       CASE WHEN regexp_replace(description, '[^0-9]', '', 'g') <> ''
-            THEN TRY_CAST(regexp_replace(description, '[^0-9]', '', 'g') AS BIGINT) END AS price,
-       CASE WHEN contains(lower(description), 'maison') THEN 'Maison'
-            WHEN contains(lower(description), 'appartement') THEN 'Appartement'
-            WHEN contains(lower(description), 'terrain') THEN 'Terrain'
-            WHEN contains(lower(description), 'studio') THEN 'Studio'
-            WHEN contains(lower(description), 'villa') THEN 'Villa'
-            WHEN contains(lower(description), 'loft') THEN 'Loft' END AS property_type,
-       description
-FROM cards""")
-ORACLE["intake_counts"] = with_ctes(CARDS, body="""
-SELECT source, department, CAST(count(*) AS BIGINT) AS cards, CAST(count(DISTINCT page_id) AS BIGINT) AS pages
-FROM cards GROUP BY source, department""")
-
 # ---------------------------------------------------------------- scalar helpers
 _FIRST_TOK = "regexp_split_to_array(regexp_replace({f}, '^[\\s\\x{{00a0}}]+|[\\s\\x{{00a0}}]+$', '', 'g'), '[\\s\\x{{00a0}}]+')[1]"
 
@@ -500,9 +476,9 @@ _CARD_TYPE = """CASE WHEN contains(lower(type_text), 'maison') THEN 'Maison'
             WHEN contains(lower(type_text), 'villa') THEN 'Villa'
             WHEN contains(lower(type_text), 'loft') THEN 'Loft' END"""
 
-ORACLE["keyfacts"] = with_ctes(LISTINGS_RAW, """
+KEYFACTS = """
 card_src AS (
-  SELECT _id,
+  SELECT _id, listing_url, department, rooms AS line,
     CASE WHEN source = 'collector_r' THEN chr(160) ELSE ' ' END AS sep,
     CAST(rooms AS VARCHAR) AS r, CAST(bedrooms AS VARCHAR) AS b,
     replace(CAST(surface_m2 AS VARCHAR), '.', ',') AS s, CAST(rooms * 100 AS VARCHAR) AS l,
@@ -510,7 +486,7 @@ card_src AS (
   FROM listings_raw
 ),
 card_boxes AS (
-  SELECT _id,
+  SELECT _id, listing_url, department, line,
     CASE WHEN source = 'collector_a'
       THEN [l || ' m² terrain', '·', s || sep || 'm²', '·', r || sep || 'pièces', '·', b || sep || 'chambres']
       ELSE [r || sep || 'pièces', '·', b || sep || 'chambres', '·', s || sep || 'm²', '·', l || ' m² terrain'] END AS facts,
@@ -520,10 +496,11 @@ card_boxes AS (
   FROM card_src
 ),
 card_vals AS (
-  SELECT *, """ + _fact_int("pièce") + " AS rooms0, " + _fact_int("chambre") + " AS beds0, " + _fact_surface()
+  SELECT *, """ + _fact_int("pièce") + " AS rooms0, " + _fact_int("chambre") + " AS beds0, " + _fact_surface() \
     + f""" AS surf0, CAST(len({_FEATS}) AS INTEGER) AS n_facts FROM card_boxes
-)""", body=f"""
-SELECT _id, n_facts, price,
+),
+card_fields AS (
+SELECT _id, listing_url, department, line, address, array_to_string({_FEATS}, '|') AS features, n_facts, price, surf0,
        CASE WHEN rooms0 <> 0 THEN rooms0 END AS rooms,
        CASE WHEN beds0 <> 0 THEN beds0 END AS bedrooms,
        CASE WHEN surf0 <> 0 THEN surf0 END AS surface_m2,
@@ -533,7 +510,33 @@ SELECT _id, n_facts, price,
          regexp_replace(replace(split_part(address, '(', 2), ')', ''), '^{_WS}+|{_WS}+$', '', 'g') END AS postal_code,
        regexp_replace(' ' || description || ' ', '^{_WS}+|{_WS}+$', '', 'g') AS description,
        {_CARD_TYPE} AS property_type
-FROM card_vals""")
+FROM card_vals)"""
+ORACLE["keyfacts"] = with_ctes(LISTINGS_RAW, KEYFACTS, body="""
+SELECT _id, n_facts, price, rooms, bedrooms, surface_m2, price_per_m2, city, postal_code, description, property_type
+FROM card_fields""")
+
+# what the result pages show: no price for the sixth line of an order, a zero price for the seventh
+CARD_LISTINGS = """
+card_listings AS (
+SELECT listing_url, 'result_cards' AS source, department,
+       CASE WHEN line NOT IN (6, 7) THEN CAST(nullif(price, 0) AS DOUBLE) END AS price,
+       CASE WHEN line NOT IN (6, 7) AND price <> 0 THEN price_per_m2 END AS price_per_m2,
+       surface_m2, rooms, bedrooms, address, city, postal_code, property_type, features, description,
+       TIMESTAMP '2024-06-01 12:00:00' AS first_seen_at, TIMESTAMP '2024-06-01 12:00:00' AS last_seen_at
+FROM card_fields
+)"""
+ORACLE["card_extract"] = with_ctes(LISTINGS_RAW, KEYFACTS, CARD_LISTINGS, body="SELECT * FROM card_listings")
+ORACLE["intake_counts"] = with_ctes(LISTINGS_RAW, f"""
+found AS (
+  SELECT 'result_cards' AS source, department, split_part(listing_url, '_', 1) AS page FROM listings_raw
+  UNION ALL
+  SELECT 'ads_api', {_pad('(user_id % 95 + 1)')}, CAST(event_id AS VARCHAR) FROM events WHERE value >= 1 AND value <= 400
+)""", body="""
+SELECT source, department, CAST(count(*) AS BIGINT) AS cards, CAST(count(DISTINCT page) AS BIGINT) AS pages
+FROM found GROUP BY source, department""")
+ORACLE["decimals_to_double"] = """
+SELECT l_orderkey, l_linenumber, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS price,
+       CAST(CAST(l_quantity AS DECIMAL(18,2)) AS DOUBLE) AS surface_m2 FROM lineitem"""
 
 
 def _clean_num(t: str) -> str:
@@ -624,10 +627,10 @@ SELECT word, CAST(count(*) AS BIGINT) AS n FROM w WHERE length(word) > 0
 GROUP BY word ORDER BY n DESC, word"""
 
 _MERGE_COLS = ("listing_url, source, department, price, price_per_m2, surface_m2, rooms, bedrooms, address, "
-               "city, postal_code, property_type, description, first_seen_at, last_seen_at")
+               "city, postal_code, property_type, features, description, first_seen_at, last_seen_at")
 _TIE = ", ".join(f"{c} DESC NULLS LAST" for c in
                  ["last_seen_at", "listing_url", "source", "department", "price", "price_per_m2", "surface_m2",
-                  "rooms", "bedrooms", "address", "city", "postal_code", "property_type", "description"])
+                  "rooms", "bedrooms", "address", "city", "postal_code", "property_type", "description", "features"])
 ORACLE["merged_state"] = with_ctes(SALE_ROWS, DVF_LISTINGS, ADS_LISTINGS, f"""
 merged AS (SELECT {_MERGE_COLS} FROM dvf_listings UNION ALL SELECT {_MERGE_COLS} FROM ads_listings),
 ranked AS (
@@ -636,3 +639,71 @@ ranked AS (
   FROM merged
 )""", body="""
 SELECT listing_url, source, price, surface_m2, rooms, CAST(n AS BIGINT) AS update_count FROM ranked WHERE rn = 1""")
+
+ORACLE["three_source_state"] = with_ctes(LISTINGS_RAW, SALE_ROWS, DVF_LISTINGS, ADS_LISTINGS, KEYFACTS, CARD_LISTINGS, f"""
+merged AS (SELECT {_MERGE_COLS} FROM dvf_listings UNION ALL SELECT {_MERGE_COLS} FROM ads_listings
+           UNION ALL SELECT {_MERGE_COLS} FROM card_listings),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY listing_url ORDER BY {_TIE}) AS rn,
+         count(*) OVER (PARTITION BY listing_url) AS n
+  FROM merged
+)""", body=f"""
+SELECT listing_url AS _id, {_MERGE_COLS}, true AS is_active, CAST(n AS BIGINT) AS update_count,
+       CAST(NULL AS BOOLEAN) AS processed
+FROM ranked WHERE rn = 1""")
+
+# ---------------------------------------------------------------- every level, order, small forms
+ORACLE["stats_lookup_region"] = with_ctes(*stats_ctes("region"), body="""
+SELECT * FROM stats_region WHERE region_name = 'ASIA' AND logement_type = 'appartement'""")
+ORACLE["stats_lookup_zipcode"] = with_ctes(*stats_ctes("zipcode"), body="""
+SELECT * FROM stats_zipcode WHERE zipcode_name = '00003' AND logement_type = 'appartement'""")
+for _lvl in ("region", "department"):
+    ORACLE[f"stats_by_type_{_lvl}"] = with_ctes(*stats_ctes(_lvl), body=f"""
+SELECT * FROM stats_{_lvl} WHERE logement_type = 'maison'""")
+ORACLE["stats_threshold_region"] = with_ctes(*stats_ctes("region"), body="""
+SELECT region_name, avg_price, nb_annonces FROM stats_region WHERE logement_type = 'total' AND nb_annonces >= 1000""")
+ORACLE["stats_threshold_zipcode"] = with_ctes(*stats_ctes("zipcode"), body="""
+SELECT s.zipcode_name, s.avg_price, s.nb_annonces, z.Department, z.GroupCitys
+FROM stats_zipcode s LEFT JOIN zipcode_dim z ON s.zipcode_name = z.ZipCode
+WHERE s.logement_type = 'total' AND s.nb_annonces >= 10""")
+ORACLE["timeseries_city"] = with_ctes(*BASE, body=f"""
+SELECT month, price_m2, row_number() OVER (ORDER BY month NULLS FIRST) - 1 AS place FROM (
+  SELECT CAST(date_trunc('month', Date) AS DATE) AS month,
+         {sround("AVG(CASE WHEN M2 = 0 THEN NULL ELSE Price / M2 END)")} AS price_m2
+  FROM clean WHERE lower(City) = 'customer#000000015' GROUP BY 1)""")
+ORACLE["influence_order"] = f"""
+SELECT *, row_number() OVER (ORDER BY correlation DESC NULLS LAST, feature) - 1 AS place FROM ({ORACLE["influence_rank"]})"""
+ORACLE["distinct_order"] = f"""
+SELECT *, row_number() OVER (ORDER BY Department) - 1 AS place FROM ({ORACLE["distinct_values"]})"""
+ORACLE["clean_projection"] = with_ctes(*BASE, body="SELECT Name, Price, M2, City, Logement, Rooms, Date, ZipCode FROM clean")
+ORACLE["key_violations"] = with_ctes(LISTINGS_RAW, body="""
+SELECT listing_url, CAST(count(*) AS BIGINT) AS count FROM listings_raw GROUP BY listing_url HAVING count(*) > 1""")
+ORACLE["batch_limit"] = with_ctes(LISTINGS_RAW, body="""
+SELECT _id, price, city, last_seen_at FROM listings_raw WHERE NOT coalesce(processed, false) ORDER BY _id LIMIT 500""")
+ORACLE["search_capped"] = with_ctes(*BASE, body="""
+SELECT * FROM clean WHERE lower(Logement) = 'maison' ORDER BY Id LIMIT 100""")
+ORACLE["features_preview"] = f"""
+SELECT {_pad('n_nationkey')} AS code, n_name AS nom FROM nation ORDER BY 1 LIMIT 5"""
+ORACLE["query_source"] = with_ctes(*BASE, body="""
+SELECT Id, City, Price FROM clean WHERE lower(Logement) = 'appartement' AND Price >= 60000""")
+ORACLE["dimension_scan"] = "SELECT * FROM nation"
+ORACLE["run_statistics"] = with_ctes(LISTINGS_RAW, """
+held AS (SELECT DISTINCT listing_url FROM listings_raw WHERE first_seen_at < TIMESTAMP '1998-01-01 00:00:00'),
+batch AS (SELECT * FROM listings_raw WHERE first_seen_at >= TIMESTAMP '1998-01-01 00:00:00'),
+log AS (SELECT source AS run_id, split_part(listing_url, '_', 1) AS page, count(*) AS items, min(last_seen_at) AS fetched_at
+        FROM batch GROUP BY 1, 2),
+agg AS (
+  SELECT run_id, date_diff('microsecond', min(fetched_at), max(fetched_at)) / 1e6 AS duration_seconds,
+         CAST(sum(items) AS BIGINT) AS total_properties, CAST(count(*) AS BIGINT) AS total_pages
+  FROM log GROUP BY run_id
+),
+fresh AS (
+  SELECT source AS run_id, CAST(count(DISTINCT listing_url) AS BIGINT) AS new_properties FROM batch
+  WHERE listing_url NOT IN (SELECT listing_url FROM held) GROUP BY source
+)""", body="""
+SELECT a.run_id, TIMESTAMP '2024-06-01 12:00:00' AS "timestamp", duration_seconds, total_properties,
+       coalesce(new_properties, 0) AS new_properties,
+       total_properties - coalesce(new_properties, 0) AS updated_properties, total_pages,
+       total_properties / greatest(1, total_pages) AS properties_per_page,
+       duration_seconds / greatest(1, total_properties) AS time_per_property, 'finished' AS reason
+FROM agg a LEFT JOIN fresh f ON a.run_id = f.run_id""")

@@ -22,7 +22,7 @@ from parcelle.operators import geo as geo_ops
 from parcelle.operators import normalise as nz
 from parcelle.operators import state as st
 from parcelle.operators import stats as stats_ops
-from parcelle.sources import testdata
+from parcelle.sources import files, testdata
 from parcelle.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -208,7 +208,7 @@ def state_inputs(spark, sf_dir):
 @register("upsert_state")
 def q_upsert_state(spark, sf_dir):
     initial, batch = state_inputs(spark, sf_dir)
-    return st.upsert(initial, batch).drop("features")
+    return st.upsert(initial, batch).withColumn("features", F.array_join("features", "|"))
 
 
 @register("upsert_counters")
@@ -256,13 +256,24 @@ RUN_AT = "2024-06-01 12:00:00"
 
 @register("dvf_normalise")
 def q_dvf_normalise(spark, sf_dir):
-    return nz.normalise_sales(testdata.sale_rows(spark, sf_dir), RUN_AT).listings.drop("features")
+    sales = nz.normalise_sales(testdata.sale_rows(spark, sf_dir), RUN_AT).listings
+    return sales.withColumn("features", F.array_join("features", "|"))
+
+
+@register("dvf_rejected")
+def q_dvf_rejected(spark, sf_dir):
+    return nz.normalise_sales(testdata.sale_rows(spark, sf_dir), RUN_AT).rejected
+
+
+def payload_fields(ad):
+    """Three fields read back from an ad kept as JSON text."""
+    return F.concat_ws("|", *[F.get_json_object(ad, f"$.{f}") for f in ("id", "city", "propertyType")])
 
 
 @register("ads_normalise")
 def q_ads_normalise(spark, sf_dir):
     ads = nz.read_ads(testdata.ad_payloads(spark, sf_dir))
-    return nz.normalise_ads(ads, RUN_AT).drop("raw_ad")
+    return nz.normalise_ads(ads, RUN_AT).withColumn("features", payload_fields(F.col("features")[0]))
 
 
 @register("list_mean")
@@ -279,17 +290,27 @@ def q_list_mean(spark, sf_dir):
 
 
 def cards(spark, sf_dir):
-    return nz.normalise_cards(nz.read_cards(read_table(spark, sf_dir, "pages")))
+    return nz.read_cards(testdata.result_pages(raw(spark, sf_dir)))
 
 
 @register("card_extract")
 def q_card_extract(spark, sf_dir):
-    return cards(spark, sf_dir)
+    return nz.normalise_cards(cards(spark, sf_dir), RUN_AT).withColumn("features", F.array_join("features", "|"))
 
 
 @register("intake_counts")
 def q_intake_counts(spark, sf_dir):
-    return stats_ops.intake_counts(cards(spark, sf_dir))
+    ads = nz.read_ads(testdata.ad_payloads(spark, sf_dir)).select(F.lit("ads_api").alias("source"), "department", "page_id")
+    found = cards(spark, sf_dir).select(F.lit("result_cards").alias("source"), "department", "page_id")
+    return stats_ops.intake_counts(found.unionByName(ads))
+
+
+@register("decimals_to_double")
+def q_decimals_to_double(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem")
+    money = "decimal(18,2)"
+    return nz.decimals_to_double(li.select("l_orderkey", "l_linenumber", F.col("l_extendedprice").cast(money).alias("price"),
+                                           F.col("l_quantity").cast(money).alias("surface_m2")))
 
 
 # ------------------------------------------------------------------ scalar helpers
@@ -374,6 +395,107 @@ def q_merged_state(spark, sf_dir):
     """Two normalised sources merged under one schema, then loaded as keyed
     state (repeated sale keys collapse, sightings are counted)."""
     sales = nz.normalise_sales(testdata.sale_rows(spark, sf_dir), RUN_AT).listings
-    ads = nz.normalise_ads(nz.read_ads(testdata.ad_payloads(spark, sf_dir)), RUN_AT).drop("raw_ad")
+    ads = nz.normalise_ads(nz.read_ads(testdata.ad_payloads(spark, sf_dir)), RUN_AT)
     state = st.upsert(None, nz.merge_sources(sales, ads))
     return state.select("listing_url", "source", "price", "surface_m2", "rooms", "update_count")
+
+
+@register("three_source_state")
+def q_three_source_state(spark, sf_dir):
+    """Sales, then ads, then cards upserted one after the other; every column of the state."""
+    state = st.upsert(None, nz.normalise_sales(testdata.sale_rows(spark, sf_dir), RUN_AT).listings)
+    state = st.upsert(state, nz.normalise_ads(nz.read_ads(testdata.ad_payloads(spark, sf_dir)), RUN_AT))
+    state = st.upsert(state, nz.normalise_cards(cards(spark, sf_dir), RUN_AT))
+    kept = F.when(F.col("source") == "ads_api", payload_fields(F.get("features", 0))).otherwise(F.array_join("features", "|"))
+    return state.withColumn("features", kept)
+
+
+# ------------------------------------------------------------------ every level, order, small forms
+def _register_levels() -> None:
+    for level in ("region", "zipcode"):
+        def lookup(spark, sf_dir, level=level):
+            s = stats(spark, sf_dir, level)
+            return flt.stats_lookup(s, level, LOOKUP_NAMES[level], "appartement")
+
+        register(f"stats_lookup_{level}")(lookup)
+    for level in ("region", "department"):
+        register(f"stats_by_type_{level}")(lambda spark, sf_dir, level=level: flt.stats_by_type(stats(spark, sf_dir, level), "maison"))
+    for label, level in (("Région", "region"), ("Code postal", "zipcode")):
+        register(f"stats_threshold_{level}")(lambda spark, sf_dir, label=label, level=level: flt.stats_threshold(
+            stats(spark, sf_dir, level), label, "total", LEVEL_MIN_COUNT[level], testdata.zipcode_dim(spark, sf_dir)))
+
+
+LOOKUP_NAMES = {"region": "ASIA", "zipcode": "00003"}
+LEVEL_MIN_COUNT = {"region": REGION_MIN_COUNT, "zipcode": 10}
+_register_levels()
+
+
+def in_order(df: DataFrame) -> DataFrame:
+    """A small ordered result with each row's place."""
+    return df.coalesce(1).withColumn("place", F.monotonically_increasing_id())
+
+
+@register("timeseries_city")
+def q_timeseries_city(spark, sf_dir):
+    return in_order(stats_ops.timeseries(clean(spark, sf_dir), city="customer#000000015"))
+
+
+@register("influence_order")
+def q_influence_order(spark, sf_dir):
+    return in_order(q_influence_rank(spark, sf_dir))
+
+
+@register("distinct_order")
+def q_distinct_order(spark, sf_dir):
+    return in_order(q_distinct_values(spark, sf_dir))
+
+
+@register("clean_projection")
+def q_clean_projection(spark, sf_dir):
+    return clean_ops.output_projection(clean(spark, sf_dir))
+
+
+@register("key_violations")
+def q_key_violations(spark, sf_dir):
+    return st.key_violations(raw(spark, sf_dir))
+
+
+@register("batch_limit")
+def q_batch_limit(spark, sf_dir):
+    """The ordered batch of the first 500 unprocessed rows (the limit is the feature)."""
+    return clean_ops.unprocessed(raw(spark, sf_dir), limit=500).select("_id", "price", "city", "last_seen_at")
+
+
+@register("search_capped")
+def q_search_capped(spark, sf_dir):
+    """The first 100 hits in a total order (the cap is the feature)."""
+    return flt.apply_filters(clean(spark, sf_dir), flt.SearchFilters(property_type="Maison"), limit=100)
+
+
+@register("features_preview")
+def q_features_preview(spark, sf_dir):
+    return geo_ops.drop_geometry_preview(testdata.department_features(spark, sf_dir), order_by=["code"])
+
+
+@register("query_source")
+def q_query_source(spark, sf_dir):
+    clean(spark, sf_dir).createOrReplaceTempView("listings_clean")
+    return files.read_query(spark, "SELECT Id, City, Price FROM listings_clean WHERE lower(Logement) = lower(:kind) AND Price >= :low",
+                            args={"kind": "Appartement", "low": 60000})
+
+
+@register("dimension_scan")
+def q_dimension_scan(spark, sf_dir):
+    return files.read_dimension(spark, f"{sf_dir}/nation.parquet")
+
+
+@register("run_statistics")
+def q_run_statistics(spark, sf_dir):
+    """Each collector's run after the ledger date, against the state before it."""
+    r = raw(spark, sf_dir)
+    cut = F.lit(LEDGER_BEFORE).cast("timestamp_ntz")
+    before = st.upsert(None, r.filter(F.col("first_seen_at") < cut))
+    batch = r.filter(F.col("first_seen_at") >= cut).withColumnRenamed("source", "run_id")
+    page = F.substring_index("listing_url", "_", 1)
+    log = batch.groupBy("run_id", page.alias("page")).agg(F.count(F.lit(1)).alias("items"), F.min("last_seen_at").alias("fetched_at"))
+    return stats_ops.run_statistics(log, st.run_counters(before, batch), RUN_AT, "finished")

@@ -63,10 +63,13 @@ GEOJSON = StructType([
 
 RUN_STATS = StructType([
     StructField("run_id", StringType()),
-    StructField("started_at", TimestampNTZType()),
+    StructField("timestamp", TimestampNTZType()),
     StructField("duration_seconds", DoubleType()),
     StructField("total_properties", LongType()),
+    StructField("new_properties", LongType()),
+    StructField("updated_properties", LongType()),
     StructField("total_pages", LongType()),
     StructField("properties_per_page", DoubleType()),
     StructField("time_per_property", DoubleType()),
+    StructField("reason", StringType()),
 ])

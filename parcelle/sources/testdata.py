@@ -284,10 +284,39 @@ def card_facts(raw: DataFrame) -> DataFrame:
     address = F.when(F.col("is_active"), F.concat(F.col("city"), F.lit(" ("), F.col("postal_code"), F.lit(")"))) \
                .otherwise(F.col("city"))
     parts = F.array(F.lit(" "), F.col("description"), F.lit(" "))
-    return raw.select("_id", facts.alias("facts"), price_text.alias("price_text"), address.alias("address"),
+    return raw.select("_id", "listing_url", "department", facts.alias("facts"), price_text.alias("price_text"), address.alias("address"),
                       parts.alias("text_parts"), F.col("property_type").alias("type_text"))
 
 
+def result_pages(raw: DataFrame) -> DataFrame:
+    """HTML result pages (``page_id``, ``url``, ``department``, ``html``), one
+    per order, a card per line item (at most a few dozen). Some cards have a
+    zero price, some no price element; the footer has a number and a price
+    element of its own."""
+    def div(test_id, inside):
+        return F.concat(F.lit(f'<div data-testid="{test_id}">'), inside, F.lit("</div>"))
+
+    def nested(texts):
+        return F.array_join(F.transform(texts, lambda t: F.concat(F.lit("<div>"), t, F.lit("</div>"))), "")
+
+    page = F.substring_index(F.substring("listing_url", 2, 40), "_", 1).cast("bigint")
+    rooms = F.substring_index("listing_url", "_", -1)
+    price = F.when(rooms == "7", F.lit("0 €")).otherwise(F.col("price_text"))
+    card = div("serp-core-classified-card-testid", F.concat(
+        F.lit('<a data-testid="card-mfe-covering-link-testid" href="'), F.col("listing_url"), F.lit('"></a>'),
+        F.when(rooms == "6", F.lit("")).otherwise(div("cardmfe-price-testid", F.concat(price, F.lit("<span>12 €/m²</span>")))),
+        div("cardmfe-keyfacts-testid", nested(F.col("facts"))),
+        div("cardmfe-description-box-address", F.col("address")),
+        div("cardmfe-description-box-text-test-id", nested(F.array(F.coalesce("type_text", F.lit(""))))),
+        div("cardmfe-description-text-test-id", nested(F.col("text_parts")))))
+    cards = card_facts(raw).select(page.alias("page_id"), "department", F.struct("_id", card.alias("card")).alias("c"))
+    body = F.array_join(F.transform(F.sort_array(F.collect_list("c")), lambda c: c["card"]), "\n")
+    footer = '<footer><div>42 annonces</div><div data-testid="cardmfe-price-testid">999 €</div></footer></body></html>'
+    return (cards.groupBy("page_id", "department").agg(body.alias("_body"))
+            .select("page_id", F.concat(F.lit("/annonces/"), F.col("page_id").cast("string")).alias("url"), "department",
+                    F.concat(F.lit('<html lang="fr"><body><div>'), F.col("_body"), F.lit("</div>"), F.lit(footer)).alias("html")))
+
+
 def number_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number strings as collectors meet them, built from line items: prices
     with currency text, comma decimals, units, no-break thousands separators,

@@ -82,16 +82,36 @@ def test_ads_files(spark, tmp_dir):
     assert out["a4"].price_per_m2 == 0.0 and out["a4"].property_type == "yurt"
 
 
+def _card(price="", link="", facts=(), address="", kind="", text=()):
+    boxes = lambda xs: "".join(f"<div>{x}</div>" for x in xs)
+    return (f'<div class="c" data-testid="serp-core-classified-card-testid"><a data-testid="card-mfe-covering-link-testid" href="{link}"></a>'
+            + price + f'<div data-testid="cardmfe-keyfacts-testid">{boxes(facts)}</div>'
+            f'<div data-testid="cardmfe-description-box-address">{address}</div>'
+            f'<div data-testid="cardmfe-description-box-text-test-id">{boxes([kind])}</div>'
+            f'<div data-testid="cardmfe-description-text-test-id">{boxes(text)}</div></div>')
+
+
 def test_cards_from_pages(spark):
-    html = ('<html lang="fr"><body><p>Belle <b>MAISON</b> 350 000 €</p><p>Appartement avec studio</p>'
-            '<div>x</div></body></html>')
-    pages = spark.createDataFrame([(1, "https://ex.example.org/a?p=1", html),
-                                   (2, "https://ex.example.org/b", "<html lang=\"en\">none</html>")],
-                                  "page_id long, url string, html string")
-    out = nz.normalise_cards(nz.read_cards(pages)).orderBy("pos").collect()
-    assert [(r.pos, r.price, r.property_type) for r in out] == [(1, 350000, "Maison"), (2, None, "Appartement")]
-    assert out[0].source == "ex.example.org" and out[0].department == "fr"
-    assert out[0].description == "Belle MAISON 350 000 €"
+    price = '<div data-testid="cardmfe-price-testid">{}<span>2 916 €/m²</span></div>'
+    first = _card(price.format("350 000 €"), "/a?x=1&amp;y=2", ["5 pièces", "·", "120 m²", "·", "2 chambres", "·", "600 m² terrain"],
+                  "Lyon 3 (69003)", "Belle MAISON", ["Vue &amp; calme", " au sud "])
+    zero = _card(price.format("0 €"), "/b", ["40,5 m²"], "Paris", "Studio")
+    bare = _card("", "", [], "", "")
+    footer = '<footer><div>42</div><div data-testid="cardmfe-price-testid">99 €</div></footer>'
+    pages = spark.createDataFrame([(1, "69", f"<html><body><div>{first}{zero}{bare}</div>{footer}</body></html>"),
+                                   (2, "75", "<html>none</html>"), (3, "75", None)], "page_id long, department string, html string")
+    cards = nz.read_cards(pages)
+    assert [(r.page_id, r.pos) for r in cards.orderBy("pos").collect()] == [(1, 1), (1, 2), (1, 3)]
+    out = nz.normalise_cards(cards.orderBy("pos"), NOW)
+    a, b, c = out.collect()
+    assert (a.listing_url, a.department, a.price, a.price_per_m2) == ("/a?x=1&y=2", "69", 350000.0, 2916.0)
+    assert (a.rooms, a.bedrooms, a.surface_m2, a.city, a.postal_code) == (5, 2, 120.0, "Lyon 3", "69003")
+    assert a.property_type == "Maison" and a.description == "Vue & calme au sud"
+    assert a.features == ["5 pièces", "120 m²", "2 chambres", "600 m² terrain"]
+    assert (b.price, b.price_per_m2, b.surface_m2, b.property_type, b.postal_code) == (None, None, 40.5, "Studio", None)
+    assert (c.listing_url, c.price, c.address, c.property_type, c.features, c.description) == (None, None, None, None, [], "")
+    from parcelle.operators import state as st
+    assert st.upsert(None, out).filter("listing_url = '/b'").first().is_active
 
 
 def test_geojson(spark, tmp_dir):
@@ -130,9 +150,19 @@ def test_state_versions_and_run_stats(spark, tmp_dir):
     df = spark.createDataFrame([("u1", 1), ("u2", 2)], "listing_url string, n int")
     p = sinks.write_state_version(df, f"{tmp_dir}/state", 1, partitions=2)
     assert spark.read.parquet(p).count() == 2
-    sinks.append_run_stats(df.withColumn("run", F.lit("r")), f"{tmp_dir}/runs")
-    sinks.append_run_stats(df.withColumn("run", F.lit("r")), f"{tmp_dir}/runs")
-    assert spark.read.parquet(f"{tmp_dir}/runs").count() == 4
+    from parcelle.operators.stats import run_statistics
+    log = spark.createDataFrame([("r1", 2, NOW), ("r1", 0, NOW), ("r2", 3, NOW)], "run_id string, items int, fetched_at string")
+    log = log.withColumn("fetched_at", F.col("fetched_at").cast("timestamp_ntz"))
+    counters = spark.createDataFrame([("r1", 2, 0)], "run_id string, new_properties long, updated_properties long")
+    runs = run_statistics(log, counters, NOW, "finished")
+    for r in ("r1", "r2", "r1"):                       # a retried run replaces its own row
+        sinks.write_run_stats(runs.filter(F.col("run_id") == r), f"{tmp_dir}/runs")
+    back = {r.run_id: r for r in spark.read.parquet(f"{tmp_dir}/runs").collect()}
+    assert len(back) == 2 and spark.read.parquet(f"{tmp_dir}/runs").count() == 2
+    assert (back["r1"].total_pages, back["r1"].new_properties, back["r2"].new_properties, back["r2"].reason) == (1, 2, 0, "finished")
+    import pytest
+    with pytest.raises(ValueError):
+        sinks.write_run_stats(df, f"{tmp_dir}/runs")
     cut = sinks.checkpoint_cut(spark, df)
     assert cut.count() == 2
 
