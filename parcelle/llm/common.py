@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -43,6 +44,22 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def place(table: DataFrame) -> Column:
+    """The place of a row in a Parquet table: its file and its position there. Unlike a running number it is the
+    same in every scan, however the files are split, which follows the number of executors at that moment."""
+    at = table.metadataColumn("_metadata")
+    return F.struct(F.xxhash64(at.getField("file_path")).alias("file"), at.getField("row_index").alias("at"))
+
+
+def has_place(df: DataFrame) -> bool:
+    """Whether ``df`` reads a Parquet table, so that its rows have a place."""
+    try:
+        df.select(place(df))
+        return True
+    except AnalysisException:
+        return False
+
+
 def filter_rows(docs: DataFrame, make) -> DataFrame:
     """The rows of ``docs`` that a test of whole batches keeps, whatever the names of the columns.
 

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelle.llm.common import components, materialise
+from parcelle.llm.common import components, materialise, place
 from parcelle.llm.decontamination import fold
 
 U = np.uint64
@@ -187,11 +187,12 @@ def _banded(group, band: int) -> np.ndarray:
     return out
 
 
-SKETCH = "row long, doc_id long, fp1 long, fp2 long, words int, key2 array<long>, key4 array<int>, key8 array<int>"
+SKETCH = "row struct<file:long,at:long>, doc_id long, fp1 long, fp2 long, words int, key2 array<long>, key4 array<int>, key8 array<int>"
 
 
 def sketches(docs: DataFrame, bands: int, k: int, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """A row per document: its place, id, fingerprint of the folded text, number of words and band keys."""
+    """A row per document of a Parquet table: its place, id, fingerprint of the folded text, number of words and
+    band keys."""
     def run(batches):
         from xxhash import xxh3_128_digest
         words, band_seeds = Words(), seeds(bands)
@@ -215,7 +216,7 @@ def sketches(docs: DataFrame, bands: int, k: int, text_col: str = "text", id_col
 
 
 def _numbered(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return docs.select(place(docs).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
 def _candidates(classes: DataFrame, small: int, threshold: float) -> tuple[DataFrame, DataFrame]:
@@ -271,14 +272,21 @@ def _aligned(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return materialise(met.mapInArrow(run, "a long, b long"), "aligned")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands: int = 16, small: int = 8, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands: int = 16, small: int = 8, text_col: str = "text", id_col: str = "doc_id",
+                    stored: bool = False) -> DataFrame:
     """row, doc_id, class_id, n_class, kept for every document.
 
     ``class_id`` is the smallest id of the group (null ids come last), ``n_class`` its size; one row of a group
-    is kept: the one with the smallest id, of equal ids the first in input order. Null and empty texts are
+    is kept: the one with the smallest id, of equal ids the one with the least place. Null and empty texts are
     copies of each other; texts without words are compared exactly; a text of fewer than ``k`` words meets only
     texts with the same words. Other columns are not read. Empty table: no rows.
+
+    The documents are read twice, and rows are known by their place in a Parquet table. ``stored`` says that
+    ``docs`` is a scan of one, filtered or not; anything else is written first.
     """
+    if not stored:
+        docs = materialise(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), "documents")
+        text_col, id_col = "text", "doc_id"
     all_rows = materialise(sketches(docs, bands, k, text_col, id_col), "sketches")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     classes = materialise(all_rows.groupBy("fp1", "fp2").agg(F.min(first).alias("first"), F.count("*").alias("n"), F.first("words").alias("words"),
@@ -310,8 +318,13 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands:
             .select("row", "doc_id", F.col("keeper.doc_id").alias("class_id"), "n_class", (F.col("row") == F.col("keeper.row")).alias("kept")))
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
+def keep_one(docs: DataFrame, stored: bool = False, **options) -> DataFrame:
     """The documents without all but one of each group of near-duplicates, all columns as they come."""
-    found = near_duplicates(docs, **options)
-    gone = materialise(found.where("not kept").select(F.col("row").alias("_row")), "gone")
-    return docs.withColumn("_row", F.monotonically_increasing_id()).join(gone, "_row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = docs.columns
+    if not stored:
+        docs = materialise(docs, "documents")
+    found = near_duplicates(docs, stored=True, **options)
+    gone = materialise(found.where("not kept").select("row"), "gone")
+    plain = [f"c{i}" for i in range(len(names))]
+    rows = docs.select(place(docs).alias("row"), *[F.col(f"`{c}`").alias(p) for c, p in zip(names, plain, strict=True)])
+    return rows.join(gone, "row", "left_anti").select(*plain).toDF(*names)

@@ -35,7 +35,7 @@ def op6_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_class", "kept")
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents"), stored=True).select("doc_id", "class_id", "n_class", "kept")
 
 
 def op8_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def op9_itq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc_io.round_trip(table(spark, sf_dir, "pages"))
+    return warc_io.round_trip(table(spark, sf_dir, "pages"), stored=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelle.llm.common import materialise, new_folder
+from parcelle.llm.common import materialise, new_folder, place
 
 # fixed values of the WARC format
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -43,7 +43,7 @@ def _unline(value: str) -> str:
     return raw.decode("utf-8", "surrogatepass")
 
 
-def record(page: int | None, url: str | None, payload: bytes, refers_to: tuple | None, tie: int, date: str) -> bytes:
+def record(page: int | None, url: str | None, payload: bytes, refers_to: tuple | None, tie: str, date: str) -> bytes:
     """One record as a gzip member. ``refers_to``: (page, tie) of the response that a revisit repeats."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http if refers_to else http + payload
@@ -111,22 +111,30 @@ def _open(path: str):
 
 
 def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, max_bytes: int = 128 << 20,
-                   date: str = "1970-01-01T00:00:00Z", id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+                   date: str = "1970-01-01T00:00:00Z", id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+                   stored: bool = False) -> DataFrame:
     """Write a record per page; returns the index (archive, records, bytes), already materialised.
 
     Of pages with equal payloads of at least ``min_bytes`` bytes the one with the smallest id (nulls last; of
-    repeated rows the first in input order) is the response and the others are revisits. Only digests are
+    repeated rows the one with the least place) is the response and the others are revisits. Only digests are
     grouped; the pages meet the digests that occur more than once in an equi-join, whose hot keys adaptive
     execution splits. Null html: empty payload. Null url: no target header. Other columns are not read.
+    ``stored`` says that ``pages`` is a scan of a Parquet table, filtered or not; anything else is written first.
     """
+    if not stored:
+        pages = materialise(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")), "pages")
+        id_col, url_col, html_col = "page_id", "url", "html"
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
-                        F.coalesce(F.col(html_col), F.lit("")).alias("html"), F.monotonically_increasing_id().alias("tie"))
+                        F.coalesce(F.col(html_col), F.lit("")).alias("html"), place(pages).alias("tie"))
     rows = rows.select("*", F.sha1(F.col("html").cast("binary")).alias("sha"))
     first = (rows.where(F.octet_length("html") >= min_bytes).groupBy("sha")
              .agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "tie")).alias("first"), F.count("*").alias("n"))
              .where("n > 1").select(F.col("sha").alias("first_sha"), F.col("first.page_id").alias("first_id"), F.col("first.tie").alias("first_tie")))
     rows = rows.join(first, F.col("sha") == F.col("first_sha"), "left").select("page_id", "url", "html", "tie", "first_id", "first_tie")
 
+    def name_of(tie):
+        return f"{tie['file']}.{tie['at']}"
+
     def run(batches):
         from pyspark import TaskContext
         task = TaskContext.get()
@@ -139,7 +147,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, max_bytes:
                     name = f"part-{task.partitionId():06d}-{len(index):05d}-{uuid.uuid4().hex}.warc.gz"
                     out = files.open_output_stream(f"{path}/{name}", compression=None)
                 data = record(page, url, html.encode("utf-8", "surrogatepass"),
-                              None if first_tie is None or first_tie == tie else (first_id, first_tie), tie, date)
+                              None if first_tie is None or first_tie == tie else (first_id, name_of(first_tie)), name_of(tie), date)
                 out.write(data)
                 n, size = n + 1, size + len(data)
                 if size >= max_bytes:
@@ -187,8 +195,8 @@ def read_archives(archives: DataFrame, payloads: bool = True, column: str = "arc
     return names.mapInArrow(run, "page_id long, url string, record_type string, payload binary, payload_bytes long, payload_digest string, refers_to long")
 
 
-def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Write the archives and read them back, a row per page."""
+def round_trip(pages: DataFrame, min_bytes: int = 0, stored: bool = False) -> DataFrame:
+    """Write the archives and read them back, a row per page; ``stored`` as for ``write_archives``."""
     spark = pages.sparkSession
-    index = write_archives(pages, new_folder(spark, "warc"), min_bytes)
+    index = write_archives(pages, new_folder(spark, "warc"), min_bytes, stored=stored)
     return read_archives(index, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

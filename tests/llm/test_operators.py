@@ -332,6 +332,24 @@ def test_near_duplicates_odd_rows(spark, odd_docs):
     assert order_minhash.near_duplicates(odd_docs.where("false")).count() == 0
 
 
+def test_place_does_not_follow_the_splits(spark, make_docs, tmp_path):
+    from parcelle.llm.common import has_place, place
+    docs = make_docs([f"text {i} " * 200 for i in range(3000)])
+    assert not has_place(docs)
+    docs.repartition(3).write.option("parquet.block.size", 20_000).parquet(f"{tmp_path}/docs")
+    size, found, splits = spark.conf.get("spark.sql.files.maxPartitionBytes"), [], []
+    try:
+        for limit in ("20000", size):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+            stored = spark.read.parquet(f"{tmp_path}/docs")
+            splits.append(stored.rdd.getNumPartitions())
+            found.append({(r.doc_id, tuple(r.row)) for r in stored.select("doc_id", place(stored).alias("row")).collect()})
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert splits[0] > splits[1] and found[0] == found[1] and len({row for _, row in found[0]}) == 3000
+    assert has_place(stored.where("doc_id > 5"))
+
+
 # 8 language model
 
 def test_language_model(spark, odd_docs):
