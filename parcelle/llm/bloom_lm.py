@@ -3,10 +3,13 @@
 Counting: tasks turn their training texts into token hashes and send sorted, packed runs of (hash, count) to
 the partition that owns the hash range; there they are merged. Bigrams are owned by their first word, so the
 owner also knows how much of a context its stored bigrams take. Each owner quantises the counts to levels
-(powers of ``base``) and sets the bits of levels 1..q of an entry in its own segment of the filter.
+(powers of ``base``) and sets the bits of levels 1..q of an entry in its own segment of the filter, which has
+``bits_per_entry`` bits for each entry that was counted.
 
-Scoring: the filter (never more than ``max_bytes``) is broadcast; a count is found by probing level after
-level until one is absent. P(word | context) = stored bigram share + the context's remaining mass * P(word),
+Scoring: a count is found by probing level after level until one is absent. A filter of at most ``max_bytes`` is
+broadcast. A larger one stays with the owners: tasks send them the distinct keys of each chunk of texts, they
+answer with levels from their segments, and the answers meet the chunk again. Both ways read the same bits, so
+scores do not depend on the way. P(word | context) = stored bigram share + the context's remaining mass * P(word),
 with rounding always towards less probability, so that probabilities of a context sum to at most one (but
 for the filter's false positives).
 
@@ -187,18 +190,31 @@ def _count(training: DataFrame, parts: int, flush: int) -> DataFrame:
     return materialise(runs.mapInArrow(merge, RUN), "lm-counts")
 
 
-class Filter:
-    """Bits in equal segments by owner; entries are (key, level)."""
+def places(keys: np.ndarray, level: int, i: int, m) -> np.ndarray:
+    """The i-th bit of (key, level) in a segment of m bits."""
+    h = mix(keys + U(level * 0x632BE59BD9B4E019 + i * 0xE220A8397B1DCDAF & 0xFFFFFFFFFFFFFFFF))
+    return ((h >> U(32)) * U(m) >> U(32)).astype(np.int64)
 
-    def __init__(self, segment_bits: int, hashes: int, base: float, segments: list):
-        self.m, self.k, self.base = segment_bits, hashes, base
-        self.bits = segments  # bytes per owner, joined
 
-    @staticmethod
-    def places(keys: np.ndarray, level: int, i: int, m: int) -> np.ndarray:
-        """The i-th bit of (key, level) in a segment of m bits."""
-        h = mix(keys + U(level * 0x632BE59BD9B4E019 + i * 0xE220A8397B1DCDAF & 0xFFFFFFFFFFFFFFFF))
-        return ((h >> U(32)) * U(m) >> U(32)).astype(np.int64)
+def levels(bits: np.ndarray, keys: np.ndarray, origin: np.ndarray, m: np.ndarray, hashes: int) -> np.ndarray:
+    """Largest level such that it and all below are present, in segments of m bits that start at ``origin``."""
+    q = np.zeros(len(keys), np.int64)
+    live = np.arange(len(keys))
+    level = 0
+    while len(live):
+        level += 1
+        for i in range(hashes):
+            at = origin[live] + places(keys[live], level, i, m[live])
+            live = live[(bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
+            if not len(live):
+                break
+        q[live] = level
+    return q
+
+
+def bucket_of(keys: np.ndarray) -> np.ndarray:
+    """The part of bigram keys, or of mixed first words, that names the first word."""
+    return keys >> U(64 - CONTEXT_BITS) << U(64 - CONTEXT_BITS)
 
 
 def low_of(q: np.ndarray, least: int, base: float) -> np.ndarray:
@@ -217,106 +233,114 @@ def level_of(n: np.ndarray, least: int, base: float) -> np.ndarray:
     return np.where(n >= least, q, 0)
 
 
+class Places:
+    """The distinct keys that the places (before, token) of some texts probe, and each place's number among them."""
+
+    def __init__(self, before: np.ndarray, tokens: np.ndarray):
+        self.words, at = np.unique(np.concatenate([tokens, before]), return_inverse=True)
+        self.token, self.context = at[:len(tokens)], at[len(tokens):]
+        self.pairs, self.pair = np.unique(pair_key(before, tokens), return_inverse=True)
+        self.buckets, self.bucket = np.unique(bucket_of(mix(self.words)), return_inverse=True)
+
+    def keys(self) -> tuple:
+        """(kind, sorted keys): owners have ranges of them."""
+        return (WORD, self.words), (PAIR, self.pairs), (MASS, self.buckets)
+
+
 class Model:
-    """Counts from the broadcast filter, and probabilities."""
+    """Counts from the filter, and probabilities."""
 
     def __init__(self, held: dict):
         self.__dict__.update(held)
-        self.array = np.frombuffer(self.filter, np.uint8)
-
-    def _level(self, keys: np.ndarray, segment: np.ndarray) -> np.ndarray:
-        """Largest level such that it and all below are present."""
-        q = np.zeros(len(keys), np.int64)
-        live = np.arange(len(keys))
-        level = 0
-        origin = segment * self.segment_bits
-        while len(live):
-            level += 1
-            for i in range(self.hashes):
-                at = origin[live] + Filter.places(keys[live], level, i, self.segment_bits)
-                live = live[(self.array[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
-                if not len(live):
-                    break
-            q[live] = level
-        return q
-
-    def word_probability(self, tokens: np.ndarray) -> np.ndarray:
-        q = self._level(tokens ^ WORD, owner_of(tokens, self.parts))
-        return (low_of(q, 1, self.base) + 1.0) / (self.total + self.distinct + 1.0)
+        if self.filter is not None:
+            self.array = np.frombuffer(self.filter, np.uint8)
+            self.origins = np.cumsum(self.sizes) - self.sizes
+
+    def _level(self, keys: np.ndarray, kind: U) -> np.ndarray:
+        owner = owner_of(keys, self.parts)
+        return levels(self.array, keys ^ kind, self.origins[owner], self.sizes[owner], self.hashes)
 
     def log10(self, before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         """log10 P(token | before) for each place; every distinct word, context and bigram is probed once."""
-        words, w = np.unique(tokens, return_inverse=True)
-        p1 = self.word_probability(words)[w]
-        keys, at, back = np.unique(pair_key(before, tokens), return_index=True, return_inverse=True)
-        pair = low_of(self._level(keys ^ PAIR, owner_of(keys, self.parts)), self.least, self.base)[back]
-        contexts, c = np.unique(before, return_inverse=True)
+        at = Places(before, tokens)
+        return self.log10_of(at, *(self._level(keys, kind) for kind, keys in at.keys()))
+
+    def log10_of(self, at: Places, words: np.ndarray, pairs: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+        """The same from the levels of the keys."""
+        p1 = ((low_of(words, 1, self.base) + 1.0) / (self.total + self.distinct + 1.0))[at.token]
+        pair = low_of(pairs, self.least, self.base)[at.pair]
         # what divides is never less than the true count
-        upper = high_of(self._level(contexts ^ WORD, owner_of(contexts, self.parts)), 1, self.base)
-        upper[contexts == START] = self.texts
-        bucket = mix(contexts) >> U(64 - CONTEXT_BITS) << U(64 - CONTEXT_BITS)
-        mass = high_of(self._level(bucket ^ MASS, owner_of(bucket, self.parts)), self.least, self.base)
-        share = np.where(upper[c] > 0, np.minimum(pair / np.maximum(upper[c], 1.0), 1.0), 0.0)
-        left = np.where(upper[c] > 0, np.maximum(0.0, 1.0 - mass[c] / np.maximum(upper[c], 1.0)), 1.0)
-        return np.log10((1 - self.floor) * (share + left * p1) + self.floor * p1)
+        upper = high_of(words, 1, self.base)
+        upper[at.words == START] = self.texts
+        mass = high_of(buckets, self.least, self.base)[at.bucket]
+        rest = np.where(upper > 0, np.maximum(0.0, 1.0 - mass / np.maximum(upper, 1.0)), 1.0)[at.context]
+        upper = upper[at.context]
+        share = np.where(upper > 0, np.minimum(pair / np.maximum(upper, 1.0), 1.0), 0.0)
+        return np.log10((1 - self.floor) * (share + rest * p1) + self.floor * p1)
 
 
 def fit(training: DataFrame, common: int, base: float, least: int, hashes: int, bits_per_entry: float, max_bytes: int, floor: float, flush: int) -> tuple[dict, DataFrame]:
-    """The broadcast part of the model and the table of exact counts by owner."""
+    """The broadcast part of the model and the table of exact counts by owner.
+
+    A filter over ``max_bytes`` is not in the broadcast part, which then has the table of its segments.
+    """
     spark = training.sparkSession
     parts = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     counts = _count(training, parts, flush)
 
-    def describe(batches):  # totals, and how many words have each level of count
+    def masses(keys, x):  # what each context's stored bigrams take
+        low = low_of(level_of(x, least, base), least, base)
+        bucket = bucket_of(keys)
+        first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+        return bucket[first], np.add.reduceat(low, first)
+
+    def describe(batches):  # totals, and the entries of each owner's segment: one for each level
         for batch in batches:
-            for kind, counts_, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for kind, p, keys, counts_, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 x = _uncounts(counts_, n)
-                q = level_of(x, 1 if kind == 0 else least, base)
-                by = np.bincount(q)
-                lev = np.flatnonzero(by)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(lev), kind, np.int32)), pa.array(lev), pa.array(by[lev].astype(np.int64)),
-                                                  pa.array(np.bincount(q, x)[lev].astype(np.int64))], names=["kind", "level", "entries", "tokens"])
-
-    stats = (counts.select("kind", "counts", "n").mapInArrow(describe, "kind int, level long, entries long, tokens long")
-             .groupBy("kind", "level").agg(F.sum("entries").alias("entries"), F.sum("tokens").alias("tokens")).collect())
-    total = sum(r.tokens for r in stats if r.kind == 0)
-    distinct = sum(r.entries for r in stats if r.kind == 0)
-    entries = sum(r.entries * r.level for r in stats)  # one for each level; context masses come on top, at most as many as words
-    entries += sum(r.entries * r.level for r in stats if r.kind == 0)
-    segment_bits = min(int(entries * bits_per_entry / parts) + (1 << 13), max_bytes * 8 // parts) // 8 * 8
+                entries = level_of(x, 1 if kind == 0 else least, base).sum()
+                if kind == 1:
+                    entries += level_of(masses(unpack(keys), x)[1], least, base).sum()
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in ((kind, pa.int32()), (p, pa.int32()), (int(entries), pa.int64()), (n, pa.int64()), (int(x.sum()), pa.int64()))],
+                                                 names=["kind", "owner", "entries", "distinct", "tokens"])
+
+    stats = counts.mapInArrow(describe, "kind int, owner int, entries long, distinct long, tokens long").toArrow()  # two rows for each owner
+    is_word = stats["kind"].to_numpy() == 0
+    total, distinct = (int(stats[c].to_numpy()[is_word].sum()) for c in ("tokens", "distinct"))
+    entries = np.bincount(stats["owner"].to_numpy(), stats["entries"].to_numpy(), parts)
+    sizes = ((entries * bits_per_entry).astype(np.int64) + (1 << 13)) // 8 * 8
 
     def build(batches):
         for batch in batches:
-            out: dict[int, np.ndarray] = {}
             for kind, p, keys, counts_, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 keys, x = unpack(keys), _uncounts(counts_, n)
-                bits = np.zeros(segment_bits, bool)
+                bits = np.zeros(sizes[p], bool)
 
-                def put(entry, value, least_, bits=bits):
+                def put(entry, value, least_, bits=bits, m=sizes[p]):
                     q = level_of(value, least_, base)
                     for level in range(1, int(q.max(initial=0)) + 1):
                         e = entry[q >= level]
                         for i in range(hashes):
-                            bits[Filter.places(e, level, i, segment_bits)] = True
+                            bits[places(e, level, i, m)] = True
 
                 if kind == 0:
                     put(keys ^ WORD, x, 1)
                 else:
                     put(keys ^ PAIR, x, least)
-                    low = low_of(level_of(x, least, base), least, base)
-                    bucket = keys >> U(64 - CONTEXT_BITS) << U(64 - CONTEXT_BITS)
-                    first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
-                    put(bucket[first] ^ MASS, np.add.reduceat(low, first), least)
-                segment = np.packbits(bits, bitorder="little")
-                out[p] = out[p] | segment if p in out else segment
-            for p, segment in out.items():
-                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([segment.tobytes()], pa.binary())], names=["owner", "bits"])
-
-    # the two kinds of an owner fill one segment: or-ed here, segment by segment
-    array = np.zeros(parts * segment_bits // 8, np.uint8)
-    size = segment_bits // 8
-    for r in counts.mapInArrow(build, "owner int, bits binary").toLocalIterator():
-        array[r.owner * size:(r.owner + 1) * size] |= np.frombuffer(r.bits, np.uint8)
+                    bucket, low = masses(keys, x)
+                    put(bucket ^ MASS, low, least)
+                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], names=["owner", "bits"])
+
+    # the two kinds of an owner fill one segment: or-ed where they are read
+    segments, filter_ = counts.mapInArrow(build, "owner int, bits binary"), None
+    if sizes.sum() <= 8 * max_bytes:
+        ends = np.cumsum(sizes) // 8
+        array = np.zeros(int(ends[-1]), np.uint8)
+        for r in segments.toLocalIterator():
+            array[ends[r.owner] - sizes[r.owner] // 8:ends[r.owner]] |= np.frombuffer(r.bits, np.uint8)
+        segments, filter_ = None, array.tobytes()
+    else:
+        segments = materialise(segments, "lm-filter")
 
     def frequent(batches):  # each owner's candidates for the common words
         for batch in batches:
@@ -329,7 +353,7 @@ def fit(training: DataFrame, common: int, base: float, least: int, hashes: int,
     keys = top["key"].to_numpy().view(U) if len(top) else np.zeros(0, U)
     order = np.argsort(keys)
     end = counts.where("kind = 0").select("keys", "counts", "n").mapInArrow(lambda batches: _find(batches, END), "n long").agg(F.sum("n")).first()[0]  # a text has one end
-    held = {"filter": array.tobytes(), "segment_bits": segment_bits, "parts": parts, "hashes": hashes, "base": base, "least": least, "floor": floor,
+    held = {"filter": filter_, "segments": segments, "sizes": sizes, "parts": parts, "hashes": hashes, "base": base, "least": least, "floor": floor,
             "total": int(total), "distinct": int(distinct), "texts": float(end or 0), "common_keys": keys[order], "common_counts": top["n"].to_numpy()[order] if len(top) else np.zeros(0, np.int64)}
     return held, counts
 
@@ -343,6 +367,58 @@ def _find(batches, key):
                 yield pa.RecordBatch.from_arrays([pa.array(_uncounts(counts, n)[at])], names=["n"])
 
 
+RARE, PROBE, CHUNK = 1, 2, 5  # kinds of what a chunk of texts sends: words to count, keys to probe (words, bigrams, contexts), itself
+
+
+def _levels_joined(asked: DataFrame, segments: DataFrame, held: dict) -> DataFrame:
+    """(row, model) of every text: the chunks' keys meet their owners' segments, the levels found meet the chunks."""
+    parts, sizes, hashes = held["parts"], held["sizes"], held["hashes"]
+    held = {k: v for k, v in held.items() if not k.startswith("common")}
+    asks = (segments.select("owner", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("row"), F.col("bits").alias("keys"))
+            .unionAll(asked.where(F.col("kind").between(PROBE, CHUNK - 1)).select("owner", "kind", "row", "keys"))
+            .repartition(parts, "owner").sortWithinPartitions("owner", "kind"))
+
+    def look(batches):
+        owner, bits = None, None
+        for batch in batches:
+            out = []
+            for p, kind, row, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if p != owner:
+                    owner, bits = p, np.zeros(sizes[p] // 8, np.uint8)
+                if kind == 0:
+                    bits |= np.frombuffer(raw, np.uint8)
+                    continue
+                keys = unpack(raw) ^ (WORD, PAIR, MASS)[kind - PROBE]
+                q = levels(bits, keys, np.zeros(len(keys), np.int64), np.full(len(keys), sizes[p]), hashes)
+                out.append((row, kind, p, q.astype(np.uint16).tobytes()))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)],
+                                                 names=["row", "kind", "owner", "keys"])
+
+    back = (asks.mapInArrow(look, "row long, kind int, owner int, keys binary").select("row", "kind", "owner", "keys", F.lit(None).cast("binary").alias("counts"))
+            .unionAll(asked.where(F.col("kind") == CHUNK).select("row", "kind", "owner", "keys", "counts"))
+            .repartition(parts, "row").sortWithinPartitions("row", "kind", "owner"))
+
+    def finish(batches):
+        model, found = Model(held), {}
+        for batch in batches:
+            for _, kind, _, raw, chunk in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if kind < CHUNK:
+                    found.setdefault(kind, []).append(np.frombuffer(raw, np.uint16))
+                    continue
+                n = int(np.frombuffer(chunk, np.int64, 1)[0])
+                rows, lengths = np.frombuffer(chunk, np.int64, 2 * n, 8).reshape(2, n)
+                t = unpack(raw)[np.frombuffer(chunk, np.uint32, offset=8 + 16 * n)]
+                starts = np.cumsum(lengths) - lengths
+                before = np.concatenate(([START], t[:-1]))
+                before[starts] = START
+                q = [np.concatenate(found.pop(k)).astype(np.int64) for k in range(PROBE, CHUNK)]
+                logs = np.add.reduceat(model.log10_of(Places(before, t), *q), starts)
+                yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(logs)], names=["row", "model"])
+
+    return back.mapInArrow(finish, "row long, model double")
+
+
 def score(docs: DataFrame, held_out: int = 2, common: int = 200_000, base: float = 2 ** 0.5, least: int = 2, hashes: int = 6, bits_per_entry: float = 12.0,
           max_bytes: int = 64 << 20, floor: float = 0.02, flush: int = 1_000_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every document.
@@ -350,14 +426,15 @@ def score(docs: DataFrame, held_out: int = 2, common: int = 200_000, base: float
     Trained on the rows whose crc32(doc_id as text) mod 7 is not ``held_out``; null ids train. Null or empty
     text: one end token. Repeated rows count as often as they come and score alike. Nothing to train on: base
     score by the empty model. Bigrams below ``least`` occurrences are not stored in the filter (they fall to the
-    remaining mass); the counts themselves cover every token. Beyond ``max_bytes`` the filter has fewer
-    bits an entry and more false positives, never more bytes. Empty table: no rows.
+    remaining mass); the counts themselves cover every token. A filter over ``max_bytes`` is not broadcast but
+    asked where its segments lie, with the same scores. Empty table: no rows.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
                        F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == held_out, F.lit(False)).alias("held_out"))
     held, counts = fit(rows.where("not held_out").select("text"), common, base, least, hashes, bits_per_entry, max_bytes, floor, flush)
     parts, total, distinct = held["parts"], held["total"], held["distinct"]
+    segments = held.pop("segments")
     sent = spark.sparkContext.broadcast(held)
     numbered = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
 
@@ -365,7 +442,13 @@ def score(docs: DataFrame, held_out: int = 2, common: int = 200_000, base: float
         if "model" not in sent.value:
             sent.value["model"] = Model({k: v for k, v in sent.value.items() if k != "model"})
         model, tokens = sent.value["model"], Tokens()
-        names = ["row", "doc_id", "held_out", "tokens", "known", "logs", "model", "owner", "keys", "counts"]
+        names = ["row", "doc_id", "held_out", "tokens", "known", "logs", "model", "kind", "owner", "keys", "counts"]
+
+        def asking(row, kind, owners, keys, counts_):
+            k = len(keys)
+            none = lambda t: pa.nulls(k, t)
+            return pa.RecordBatch.from_arrays([pa.array([row] * k, pa.int64()), none(pa.int64()), none(pa.bool_()), none(pa.int64()), none(pa.int64()), none(pa.float64()), none(pa.float64()),
+                                               pa.array([kind] * k, pa.int32()), pa.array(list(owners), pa.int32()), pa.array(keys, pa.binary()), pa.array(counts_, pa.binary())], names=names)
 
         def answer(ids, texts):
             lengths = np.array([len(t) for t in texts])
@@ -373,8 +456,18 @@ def score(docs: DataFrame, held_out: int = 2, common: int = 200_000, base: float
             starts = np.cumsum(lengths) - lengths
             before = np.concatenate(([START], t[:-1]))
             before[starts] = START
-            logs = np.add.reduceat(model.log10(before, t), starts)
-            words, w = np.unique(t, return_inverse=True)
+            keys_at = Places(before, t)
+            words, w = keys_at.words, keys_at.token
+            if model.filter is None:  # the distinct keys go to their owners, the chunk waits for the levels
+                logs = pa.nulls(len(ids), pa.float64())
+                for kind, (_, key) in enumerate(keys_at.keys(), PROBE):
+                    cuts = np.searchsorted(owner_of(key, parts), np.arange(parts + 1))
+                    some = np.flatnonzero(np.diff(cuts))
+                    yield asking(ids[0][0], kind, some, [pack(key[cuts[p]:cuts[p + 1]]) for p in some], [None] * len(some))
+                head = np.concatenate([np.array([len(ids)], np.int64), np.array([x[0] for x in ids], np.int64), lengths.astype(np.int64)])
+                yield asking(ids[0][0], CHUNK, [None], [pack(words)], [head.tobytes() + w.astype(np.uint32).tobytes()])
+            else:
+                logs = pa.array(np.add.reduceat(model.log10_of(keys_at, *(model._level(key, kind) for kind, key in keys_at.keys())), starts))
             at = np.minimum(np.searchsorted(model.common_keys, words), max(len(model.common_keys) - 1, 0))
             is_common = model.common_keys[at] == words if len(model.common_keys) else np.zeros(len(words), bool)
             c = np.where(is_common, model.common_counts[at], 0) if len(model.common_keys) else np.zeros(len(words), np.int64)
@@ -382,7 +475,7 @@ def score(docs: DataFrame, held_out: int = 2, common: int = 200_000, base: float
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[0] for x in ids], pa.int64()), pa.array([x[1] for x in ids], pa.int64()), pa.array([x[2] for x in ids], pa.bool_()),
                  pa.array(lengths.astype(np.int64)), pa.array(np.add.reduceat(is_common[w].astype(np.int64), starts)), pa.array(np.add.reduceat(np.log10(c + 1.0)[w], starts)),
-                 pa.array(logs), pa.array([None] * n, pa.int32()), pa.array([None] * n, pa.binary()), pa.array([None] * n, pa.binary())], names=names)
+                 logs, pa.array([None] * n, pa.int32()), pa.array([None] * n, pa.int32()), pa.array([None] * n, pa.binary()), pa.array([None] * n, pa.binary())], names=names)
             rare = np.flatnonzero(~is_common[w])
             if len(rare):
                 doc = np.repeat(np.arange(n), lengths)[rare]
@@ -394,10 +487,7 @@ def score(docs: DataFrame, held_out: int = 2, common: int = 200_000, base: float
                 first = int(doc.min())
                 body = [pack(key[cuts[p]:cuts[p + 1]]) for p in some]
                 to = [(doc[cuts[p]:cuts[p + 1]] - first).astype(np.uint32).tobytes() for p in some]
-                k = len(some)
-                none = lambda kind: pa.array([None] * k, kind)
-                yield pa.RecordBatch.from_arrays([pa.array([first] * k, pa.int64()), none(pa.int64()), none(pa.bool_()), none(pa.int64()), none(pa.int64()), none(pa.float64()),
-                                                  none(pa.float64()), pa.array(some.astype(np.int32)), pa.array(body, pa.binary()), pa.array(to, pa.binary())], names=names)
+                yield asking(first, RARE, some, body, to)
 
         ids, texts, size = [], [], 0
         for batch in batches:
@@ -412,9 +502,9 @@ def score(docs: DataFrame, held_out: int = 2, common: int = 200_000, base: float
         if ids:
             yield from answer(ids, texts)
 
-    asked = materialise(numbered.mapInArrow(ask, "row long, doc_id long, held_out boolean, tokens long, known long, logs double, model double, owner int, keys binary, counts binary"), "lm-asked")
+    asked = materialise(numbered.mapInArrow(ask, "row long, doc_id long, held_out boolean, tokens long, known long, logs double, model double, kind int, owner int, keys binary, counts binary"), "lm-asked")
     meet = (counts.where("kind = 0").select("owner", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("row"), "keys", "counts", "n")
-            .unionAll(asked.where("owner is not null").select("owner", F.lit(1), "row", "keys", "counts", F.lit(None).cast("long")))
+            .unionAll(asked.where(F.col("kind") == RARE).select("owner", F.lit(1), "row", "keys", "counts", F.lit(None).cast("long")))
             .repartition(parts, "owner").sortWithinPartitions("owner", "kind"))
 
     def tell(batches):
@@ -438,9 +528,12 @@ def score(docs: DataFrame, held_out: int = 2, common: int = 200_000, base: float
                                                       pa.array(np.bincount(d, np.log10(n[at[hit]] + 1.0)))], names=["row", "known", "logs"])
 
     told = meet.mapInArrow(tell, "row long, known long, logs double")
-    whole = (asked.where("owner is null").select("row", "doc_id", "held_out", "tokens", "known", "logs", "model")
-             .unionAll(told.select("row", F.lit(None).cast("long"), F.lit(None).cast("boolean"), F.lit(None).cast("long"), "known", "logs", F.lit(None).cast("double")))
-             .groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("tokens").alias("n_tokens"), F.sum("known").alias("n_known"),
+    whole = (asked.where("kind is null").select("row", "doc_id", "held_out", "tokens", "known", "logs", "model")
+             .unionAll(told.select("row", F.lit(None).cast("long"), F.lit(None).cast("boolean"), F.lit(None).cast("long"), "known", "logs", F.lit(None).cast("double"))))
+    if segments is not None:
+        scored = _levels_joined(asked, segments, held)
+        whole = whole.unionAll(scored.select("row", F.lit(None).cast("long"), F.lit(None).cast("boolean"), F.lit(None).cast("long"), F.lit(None).cast("long"), F.lit(None).cast("double"), "model"))
+    whole = (whole.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("tokens").alias("n_tokens"), F.sum("known").alias("n_known"),
                                  F.sum("logs").alias("logs"), F.max("model").alias("score")))
     below = math.log10(total + distinct + 1)
     return whole.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),

@@ -384,6 +384,14 @@ def test_language_model_sums_to_at_most_one(spark, make_docs):
         assert 0 < p.sum() <= 1 + 1e-9
 
 
+def test_language_model_filter_grows(spark, make_docs):
+    rng = random.Random(12)
+    docs = make_docs([" ".join(f"w{int(rng.paretovariate(0.6)) % 4000}" for _ in range(rng.randrange(0, 200))) for _ in range(300)])
+    scores = lambda **options: {r.doc_id: (r.n_known, r.base_score, r.score) for r in bloom_lm.score(docs, common=50, flush=4000, **options).collect()}
+    whole, tight = scores(), scores(max_bytes=1000)  # a limit on the broadcast, not on the filter
+    assert len(whole) == 300 and all(tight[i] == pytest.approx(v, abs=1e-6) for i, v in whole.items())
+
+
 def test_runs_round_trip():
     rng = np.random.default_rng(1)
     for x in (np.zeros(0, np.uint64), np.array([5], np.uint64), np.unique(rng.integers(0, 1 << 63, 5000, dtype=np.uint64)), np.array([1, 1 << 60], np.uint64)):
