@@ -9,7 +9,10 @@ Groups: equal texts are one class from the start. Within a bucket every member m
 buckets of at most ``small`` members also meet pairwise; larger ones are split by longer keys (4, then 8 k-mers
 in order), where the same holds, and the largest of those meet two pivots. Components of the pivots' links are
 formed first; only pairs that still lie in different components are aligned after that, which changes no
-component. No group is ever gathered in one task and no pairs within a large group are written out.
+component. Last, the large buckets that still hold several components are compared whole, block against block:
+of members of different components every pair is held against a bound from below of its distance, and those
+that the bound allows are aligned. No group is ever gathered in one task, and no pair within a component is
+written out.
 """
 
 from __future__ import annotations
@@ -219,12 +222,13 @@ def _numbered(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
     return docs.select(place(docs).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def _candidates(classes: DataFrame, small: int, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(pivot pairs, further pairs) of class numbers whose lengths allow the threshold."""
+def _candidates(classes: DataFrame, small: int, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(pivot pairs, further pairs) of class numbers whose lengths allow the threshold, and the members of the
+    buckets of more than ``small``."""
     member = F.struct(F.xxhash64("cid").alias("order"), "cid", "words")
     rows = (classes.where("key2 is not null").select("cid", "words", F.posexplode(F.arrays_zip("key2", "key4", "key8")).alias("band", "k"))
             .select("band", "cid", "words", "k.key2", "k.key4", "k.key8"))
-    stars, more = [], []
+    stars, more, large = [], [], None
     key = ["band"]
     for level in LEVELS:
         key = [*key, f"key{level}"]
@@ -237,6 +241,7 @@ def _candidates(classes: DataFrame, small: int, threshold: float) -> tuple[DataF
         more.append(pairs.select(F.col("p.x.cid").alias("a"), F.col("p.x.words").alias("na"), F.col("p.y.cid").alias("b"), F.col("p.y.words").alias("nb")))
         if level != LEVELS[-1]:
             rows = materialise(met.where(F.col("n") > small).select(*rows.columns), "large-buckets")
+            large = large or rows.select("band", "key2", "cid", "words")
 
     def tidy(parts):
         out = parts[0]
@@ -245,7 +250,88 @@ def _candidates(classes: DataFrame, small: int, threshold: float) -> tuple[DataF
         near = F.least("na", "nb") >= F.lit(threshold) * F.greatest("na", "nb") - 1e-9
         return out.where((F.col("a") != F.col("b")) & near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    return materialise(tidy(stars), "pivot-pairs"), materialise(tidy(more), "pairs")
+    return materialise(tidy(stars), "pivot-pairs"), materialise(tidy(more), "pairs"), large
+
+
+CELLS = 256  # of a histogram of words
+
+
+def histogram(words: np.ndarray) -> np.ndarray:
+    """Words by cell, up to 255 each: what one histogram has over another bounds the edit distance from below."""
+    return np.minimum(np.bincount(words % CELLS, minlength=CELLS), 255).astype(np.uint8)
+
+
+def _possible(left: tuple, right: tuple, threshold: float, within: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of different components whose lengths and histograms allow the threshold.
+
+    A side is (class numbers, components, words, histograms); ``within``: both are the same, each pair is met once.
+    """
+    (a, ca, na, ha), (b, cb, nb, hb) = left, right
+    out_a, out_b = [], []
+    for i in range(len(a)):
+        limit = ((1 - threshold) * np.maximum(na[i], nb) + 1e-9).astype(np.int64)
+        at = np.flatnonzero((cb != ca[i]) & (np.abs(nb - na[i]) <= limit))
+        if within:
+            at = at[at > i]
+        if not len(at):
+            continue
+        more = hb[at].astype(np.int16) - ha[i]
+        over = np.maximum(more, 0).sum(axis=1, dtype=np.int64)
+        at = at[np.maximum(over, over - more.sum(axis=1, dtype=np.int64)) <= limit[at]]
+        out_a.append(np.full(len(at), a[i]))
+        out_b.append(b[at])
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *out_a]), np.concatenate([none, *out_b])
+
+
+def _whole_buckets(large: DataFrame, part: DataFrame, texts: DataFrame, threshold: float, block: int) -> DataFrame:
+    """Pairs (a, b) of members of a large bucket that lie in different components and may reach the threshold."""
+    keys = ["band", "key2"]
+    members = (large.join(part.select(F.col("node").alias("cid"), "component"), "cid", "left")
+               .withColumn("component", F.coalesce("component", "cid")))
+    mixed = (members.groupBy(*keys).agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+             .where("lo < hi").select(*keys, F.ceil(F.col("n") / block).cast("int").alias("blocks")))
+    members = materialise(members.join(mixed, keys), "mixed-buckets")
+
+    def count(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([histogram(np.frombuffer(w.as_py(), np.uint32)).tobytes() for w in batch.column(1)], pa.binary())],
+                                             names=["cid", "cells"])
+
+    cells = texts.join(members.select("cid").distinct(), "cid").select("cid", "words").mapInArrow(count, "cid long, cells binary")
+    group = [*keys, "one", "two"]
+    units = (members.join(cells, "cid").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select(*keys, F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"),
+                     F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "cid", "component", "words", "cells")
+             .repartition(*group).sortWithinPartitions(*group))
+
+    def compare(batches):
+        key, held = None, []
+
+        def done():
+            side, cid, component, words = (np.concatenate([h[i] for h in held]) for i in range(4))
+            cells_ = np.frombuffer(b"".join(x for h in held for x in h[4]), np.uint8).reshape(-1, CELLS)
+            held.clear()
+            pick = lambda at: (cid[at], component[at], words[at].astype(np.int64), cells_[at])
+            left = pick(side == 0)
+            a, b = _possible(left, left if key[2] == key[3] else pick(side == 1), threshold, key[2] == key[3])
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+        for batch in batches:
+            marks = np.column_stack([batch.column(i).to_numpy() for i in range(4)])
+            cuts = np.concatenate(([0], np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1, [len(marks)])) if len(marks) else []
+            for i, j in zip(cuts, cuts[1:], strict=False):
+                if (mark := tuple(marks[i].tolist())) != key:
+                    if held:
+                        yield done()
+                    key = mark
+                some = batch.slice(i, j - i)
+                held.append((*(some.column(c).to_numpy() for c in range(4, 8)), some.column(8).to_pylist()))
+        if held:
+            yield done()
+
+    return units.mapInArrow(compare, "a long, b long").distinct()
 
 
 def _aligned(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -273,7 +359,7 @@ def _aligned(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands: int = 16, small: int = 8, text_col: str = "text", id_col: str = "doc_id",
-                    stored: bool = False) -> DataFrame:
+                    stored: bool = False, block: int = 1024) -> DataFrame:
     """row, doc_id, class_id, n_class, kept for every document.
 
     ``class_id`` is the smallest id of the group (null ids come last), ``n_class`` its size; one row of a group
@@ -292,8 +378,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands:
     classes = materialise(all_rows.groupBy("fp1", "fp2").agg(F.min(first).alias("first"), F.count("*").alias("n"), F.first("words").alias("words"),
                                                               F.first("key2").alias("key2"), F.first("key4").alias("key4"), F.first("key8").alias("key8"))
                           .select(F.monotonically_increasing_id().alias("cid"), "*"), "classes")
-    pivots, further = _candidates(classes, small, threshold)
-    wanted = pivots.unionAll(further).select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    pivots, further, large = _candidates(classes, small, threshold)
+    wanted = pivots.unionAll(further).select(F.explode(F.array("a", "b")).alias("cid")).unionAll(large.select("cid")).distinct()
     wanted = wanted.join(classes.select("cid", F.col("first.row").alias("row")), "cid")
 
     def tokens(batches):
@@ -309,8 +395,12 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands:
     side = lambda c: part.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
     apart = (further.join(pivots, ["a", "b"], "left_anti").join(side("a"), "a", "left").join(side("b"), "b", "left")
              .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
-    late = _aligned(apart, texts, threshold)
-    part = components(links.unionAll(late), "a", "b")
+    links = links.unionAll(_aligned(apart, texts, threshold))
+    part = components(links, "a", "b")
+    whole = _whole_buckets(large, part, texts, threshold, block).join(pivots.unionAll(further), ["a", "b"], "left_anti")
+    last = _aligned(whole, texts, threshold)
+    if not last.isEmpty():
+        part = components(links.unionAll(last), "a", "b")
     member = classes.select("cid", "fp1", "fp2", "first", "n").join(part, F.col("cid") == F.col("node"), "left").withColumn("component", F.coalesce("component", "cid"))
     group = member.groupBy("component").agg(F.min("first").alias("keeper"), F.sum("n").alias("n_class"))
     member = member.select("fp1", "fp2", "component").join(group, "component").select("fp1", "fp2", "keeper", "n_class")

@@ -324,6 +324,20 @@ def test_near_duplicates(spark, make_docs):
     assert sorted(r.doc_id for r in order_minhash.keep_one(docs).collect()) == sorted(first.values())
 
 
+def test_near_duplicates_in_large_buckets(spark, make_docs):
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 8)))
+    passage, texts = [word() for _ in range(110)], []
+    for _ in range(30):  # near pairs among unrelated texts that all share a passage
+        one = [word() for _ in range(35)] + passage + [word() for _ in range(35)]
+        texts += [one, [word() if rng.random() < 0.05 else w for w in one]]
+    hashes, band_seeds = order_minhash.Words(), order_minhash.seeds(6)
+    keys = [order_minhash.sketch(hashes(" ".join(t)), 5, band_seeds)[:, 0] for t in texts]
+    met = [i for i in range(0, 60, 2) if (keys[i] == keys[i + 1]).any() and levenshtein(texts[i], texts[i + 1]) <= 36]
+    got = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(make_docs([" ".join(t) for t in texts]), bands=6).collect()}
+    assert len(met) > 20 and [got[i + 1] for i in met] == met and all(got[i] == i for i in range(0, 60, 2))
+
+
 def test_near_duplicates_odd_rows(spark, odd_docs):
     got = order_minhash.near_duplicates(odd_docs).collect()
     assert len(got) == 9 and sum(r.kept for r in got) == 6  # null and empty; white space; a..g; x; plain; 1
