@@ -225,10 +225,14 @@ def _scorer(sent) -> Scorer:
     return held["scorer"]
 
 
-def _sample(labels: DataFrame, max_per_class: int) -> DataFrame:
-    """doc_id, toxic: at most ``max_per_class`` rows per class, those with the least hash of their id."""
-    rows = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+def _labelled(labels: DataFrame) -> DataFrame:
+    """doc_id, toxic: one row per id with a label."""
+    return (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
             .where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+
+
+def _sample(rows: DataFrame, max_per_class: int) -> DataFrame:
+    """At most ``max_per_class`` of the labelled rows per class, those with the least hash of their id."""
     one = lambda c: rows.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_per_class)
     return one(0).unionAll(one(1))
 
@@ -243,11 +247,15 @@ def fit(docs: DataFrame, labels: DataFrame, order: int = 5, window: int = 4, max
     """The broadcast models (at most ``max_grams`` n-grams and their contexts) and the curve's weights.
 
     Labels come from rows whose fold of 4 is not ``held_out``. One of the other folds fits the curve, the two
-    others are counted. A label without a document, a null label, or a null id is ignored; of contradicting
+    others are counted. The rows of the curve weigh as many as their class has labels for each sampled one, so
+    that the sample's bound does not move the curve. A label without a document, a null label, or a null id is ignored; of contradicting
     labels toxic wins. Without labels of both classes no document scores above 0.
     """
     calibration = (held_out + 1) % 4
-    sample = F.broadcast(_sample(labels.where(fold("doc_id", 4) != held_out), max_per_class))  # bound: 2 * max_per_class rows
+    rows = _labelled(labels.where(fold("doc_id", 4) != held_out))
+    sizes = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    weight = {c: max(1.0, n / max_per_class) for c, n in sizes.items()}
+    sample = F.broadcast(_sample(rows, max_per_class))  # bound: 2 * max_per_class rows
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
              .join(sample, "doc_id").select("text", "toxic", (fold("doc_id", 4) == calibration).alias("curve")))
 
@@ -284,20 +292,22 @@ def fit(docs: DataFrame, labels: DataFrame, order: int = 5, window: int = 4, max
 
     got = texts.where("curve").select("text", "toxic").mapInArrow(features, "a double, b double, c double, toxic int").orderBy("a", "b", "c", "toxic").toArrow()
     x = np.column_stack([got[c].to_numpy() for c in "abc"]) if len(got) else np.zeros((0, 3))
-    return sent, logistic(x, got["toxic"].to_numpy() if len(got) else np.zeros(0))
+    y = got["toxic"].to_numpy() if len(got) else np.zeros(0)
+    return sent, logistic(x, y, np.array([weight[c] for c in y.tolist()]))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int = 100) -> np.ndarray:
-    """Ridge-penalised logistic weights, bias first, by Newton steps."""
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 0.1, steps: int = 100) -> np.ndarray:
+    """Ridge-penalised logistic weights, bias first, by Newton steps; ``weight``: of each row, else 1."""
     if len(y) == 0 or y.min() == y.max():
         return np.array([-20.0] + [0.0] * 3)
+    weight = np.ones(len(y)) if weight is None else weight
     a = np.column_stack([np.ones(len(x)), x])
     w = np.zeros(a.shape[1])
     pen = np.diag([1e-6] + [ridge] * x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        grad = a.T @ (p - y) + pen @ w
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + pen, grad)
+        grad = a.T @ (weight * (p - y)) + pen @ w
+        step = np.linalg.solve((a * (weight * p * (1 - p))[:, None]).T @ a + pen, grad)
         w -= step * min(1.0, 5.0 / max(1e-9, np.abs(step).max()))
         if np.abs(step).max() < 1e-8:
             break

@@ -229,6 +229,12 @@ def test_toxicity_held_out(spark):
     assert n[1, 1] / (n[1, 1] + n.get((1, 0), 0)) > 0.7 and n.get((0, 1), 0) / (n[0, 0] + n.get((0, 1), 0)) < 0.03
 
 
+def test_toxicity_sample_keeps_the_share(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    whole, part = (toxicity_kn.fit(docs, labels, max_per_class=n)[1] for n in (6_000, 300))  # 300 binds for both classes
+    assert abs(part[0] - whole[0]) < 0.5 * math.log(2661 / 329)  # half of what equal classes would move it
+
+
 def test_toxicity_odd_rows(spark, odd_docs):
     labels = spark.createDataFrame([(3, 1, 1), (3, 1, 0), (5, None, 0), (None, 1, 1), (99, 0, 1), (6, 0, None)], "doc_id long, quality int, toxic int")
     got = toxicity_kn.score(odd_docs, labels).collect()
