@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelle.llm import bloom_lm, decontamination, histogram_sort, html_mincut, itq_dedup, order_minhash, pii_bootstrap, toxicity_kn, vector_packing, warc_io
+from parcelle.llm import (bloom_lm, chunk_divergence, decontamination, gram_variants, histogram_sort, html_mincut, itq_dedup, mph_lines, order_minhash,
+                          pii_bootstrap, toxicity_kn, vector_packing, warc_io)
+from parcelle.llm import oracle_sql
 from parcelle.llm.common import table
 
 
@@ -50,10 +52,22 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_io.round_trip(table(spark, sf_dir, "pages"), stored=True)
 
 
+def op11_gram_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gram_variants.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_mph_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mph_lines.digest(mph_lines.dedup(table(spark, sf_dir, "documents"), stored=True))
+
+
+def op13_chunk_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontamination, op2_html_mincut, op3_histogram_sort, op4_pii_bootstrap, op5_toxicity_kn, op6_vector_packing, op7_order_minhash,
-                            op8_bloom_lm, op9_itq_dedup, op10_warc)
+                            op8_bloom_lm, op9_itq_dedup, op10_warc, op11_gram_variants, op12_mph_lines, op13_chunk_divergence)
 }
 
 # DuckDB statements; the other operators are not SQL-expressible and are tested against brute force
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(oracle_sql.ORACLE)
