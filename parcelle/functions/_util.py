@@ -7,3 +7,8 @@ from pyspark.sql import functions as F
 def col_of(c) -> Column:
     """Accept a column name or a Column."""
     return F.col(c) if isinstance(c, str) else c
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, which a lambda body does not do by itself."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

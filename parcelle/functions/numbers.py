@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from parcelle.functions._util import col_of
+from parcelle.functions._util import col_of, let
 
 
 def try_number(c, to: str = "double") -> Column:
@@ -80,27 +80,68 @@ def zero_if_null(c, to: str = "double") -> Column:
     return F.coalesce(col_of(c).try_cast(to), F.lit(0).cast(to))
 
 
-def exact_value(c, scale: int = 6) -> Column:
-    """A number as ``decimal(38, scale)``; null where it is not finite or has
-    more than ``38 - scale`` whole digits, so that sums and counts leave out
-    the same rows."""
-    return col_of(c).try_cast(f"decimal(38,{scale})")
+# A double is taken apart into whole numbers of 2^62, 1, 2^-62 and 2^-124. Sums of whole numbers are exact, so they
+# do not change with partitioning, task retries or the order in which parts are added and taken away.
+_UNIT = 2**62
+LIMBS = ("u", "h", "l", "d")
 
 
-def exact_sum(c, scale: int = 6) -> Column:
-    """Exact sum of ``exact_value``: floating-point sums change with
-    partitioning and task retries, this one does not. Never raises."""
-    return F.try_sum(exact_value(c, scale))
+def exact_limbs(c) -> list[Column]:
+    """The four whole numbers of a value, null where it is not finite or is 2^124 (2e37) or more.
 
+    Nothing is rounded for a value of 2^-72 (2e-22) or more in size; of smaller ones the bits
+    below 2^-124 are cut."""
+    x = col_of(c).cast("double")
+    unit = F.lit(float(_UNIT))
+    held = F.abs(x) < F.lit(2.0**124)
+    u = F.when(F.abs(x) >= unit, (x / unit).try_cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    rest = x - u.cast("double") * unit
+    h = rest.try_cast("bigint")
+    low = (rest - h.cast("double")) * unit
+    low_whole = low.try_cast("bigint")
+    d = ((low - low_whole.cast("double")) * unit).try_cast("bigint")
+    return [F.when(held, v) for v in (u, h, low_whole, d)]
 
-def exact_count(c, scale: int = 6) -> Column:
-    """How many values ``exact_sum`` adds."""
-    return F.count(exact_value(c, scale))
 
+def exact_sums(c, name: str) -> list[Column]:
+    """Aggregates ``{name}_u``, ``{name}_h``, ``{name}_l``, ``{name}_d`` (exact sums) and ``{name}_n`` (how many values
+    they hold). Sums of such sums are exact again, and so are differences."""
+    limbs = exact_limbs(c)
+    return [*[F.coalesce(F.sum(v.cast("decimal(28,0)")), F.lit(0).cast("decimal(38,0)")).alias(f"{name}_{k}") for k, v in zip(LIMBS, limbs, strict=True)],
+            F.count(limbs[1]).alias(f"{name}_n")]
 
-def exact_avg(c, scale: int = 6) -> Column:
-    """Mean of the finite values: exact sum divided by their count, as double."""
-    return F.try_divide(exact_sum(c, scale).cast("double"), exact_count(c, scale).cast("double"))
+
+def exact_total(u, h, low, d) -> Column:
+    """The double next to an exact sum (within its last place), the same whatever way the sum was put together."""
+    unit = F.lit(_UNIT).cast("decimal(38,0)")
+
+    def carried(a: Column, b: Column) -> Column:  # what of ``a`` stays below a unit, and ``b`` with the rest
+        stays = F.pmod(a, unit)
+        return F.struct(stays.cast("decimal(38,0)").alias("a"), (b + F.call_function("div", a - stays, unit)).cast("decimal(38,0)").alias("b"))
+
+    def canonical(s: Column, sign: int) -> Column:
+        part = lambda k: (s[k] * F.lit(sign)).cast("decimal(38,0)")
+        return let(carried(part("d"), part("l")), lambda x: let(carried(x["b"], part("h")), lambda y: let(carried(y["b"], part("u")), lambda z: F.struct(
+            x["a"].alias("d"), y["a"].alias("l"), z["a"].alias("h"), z["b"].alias("u")))))
+
+    def value(s: Column) -> Column:
+        double = lambda k: s[k].cast("double")
+        small = double("d") * F.lit(2.0**-124) + double("l") * F.lit(2.0**-62)
+        return (small + double("h")) + double("u") * F.lit(2.0**62)
+
+    sums = F.struct(*[col_of(c).cast("decimal(38,0)").alias(k) for k, c in zip(("u", "h", "l", "d"), (u, h, low, d), strict=True)])
+    return let(sums, lambda s: let(canonical(s, 1), lambda p: F.when(p["u"] >= 0, value(p)).otherwise(-let(canonical(s, -1), value))))
+
+
+def exact_mean(name: str, of=F.sum) -> Column:
+    """Mean of the values of ``exact_sums``; ``of`` adds partial sums up (``F.col`` where they are whole)."""
+    return F.try_divide(exact_total(*[of(f"{name}_{k}") for k in LIMBS]), of(f"{name}_n").cast("double"))
+
+
+def exact_avg(c) -> Column:
+    """Mean of the values that ``exact_limbs`` takes, as double; null without any."""
+    limbs = [F.coalesce(F.sum(v.cast("decimal(28,0)")), F.lit(0).cast("decimal(38,0)")) for v in exact_limbs(c)]
+    return F.try_divide(exact_total(*limbs), F.count(exact_limbs(c)[1]).cast("double"))
 
 
 def stable_round(c, decimals: int = 4, snap_bits: int = 24) -> Column:

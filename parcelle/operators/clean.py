@@ -38,9 +38,9 @@ class Cleaned(NamedTuple):
 
 def unprocessed(raw: DataFrame, limit: int | None = None,
                 order_by: Sequence[str] = ("_id",)) -> DataFrame:
-    """Rows not yet processed (a missing flag means not processed), then an
+    """Rows not yet processed (a missing flag or column means not processed), then an
     optional batch limit over a total order, then the cleaning fields."""
-    df = raw.filter(~F.coalesce(F.col("processed"), F.lit(False)))
+    df = raw.filter(~F.coalesce(F.col("processed"), F.lit(False))) if "processed" in raw.columns else raw
     if limit is not None:
         # ordered limit: a deterministic batch, planned as a distributed top-k
         df = df.orderBy(*order_by).limit(limit)

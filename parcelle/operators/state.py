@@ -10,9 +10,10 @@ Scale notes
 * Duplicate removal never ranks a whole key group: it aggregates the first id
   per key and joins back on the composite ``(key, id)``, whose hash spreads a
   hot key over all partitions.
-* Each state version should be written to a new path (or a table bucketed by
-  the key, so the next upsert reads it without a shuffle); see
-  ``parcelle.operators.sinks``.
+* Each state version should be written to a new path, see
+  ``parcelle.operators.sinks``, or kept in hash buckets of which an upsert
+  reads and rewrites only those its batch touches, without shuffling the
+  state; see ``parcelle.operators.buckets``.
 """
 
 from __future__ import annotations
@@ -75,7 +76,12 @@ def upsert(current: DataFrame | None, batch: DataFrame, key: str = KEY) -> DataF
     lacks is null for keys the batch does not touch. ``current=None`` is the
     initial load.
     """
-    b = aggregate_batch(batch, key)
+    return merge_state(current, aggregate_batch(batch, key), key)
+
+
+def merge_state(current: DataFrame | None, b: DataFrame, key: str = KEY, null_keys: bool = True) -> DataFrame:
+    """The upsert of an aggregated batch. Without ``null_keys`` the keys are known not to be null and meet by plain
+    equality, which a state bucketed by the key serves without a shuffle."""
     held = set() if current is None else set(current.columns)
     fields = [c for c in DATA_FIELDS if c in b.columns or c in held]
     if current is None:
@@ -86,8 +92,10 @@ def upsert(current: DataFrame | None, batch: DataFrame, key: str = KEY) -> DataF
             F.col("_n").cast("bigint").alias("update_count"),
             F.lit(None).cast("boolean").alias("processed"),
         )
-    cur = current.select(*[c for c in STATE_COLUMNS if c in current.columns]).withColumn("_cur", F.lit(True))
-    j = cur.alias("s").join(b.alias("b"), F.col(f"s.{key}").eqNullSafe(F.col(f"b.{key}")), "full_outer")
+    columns = [ID, key, *[c for c in STATE_COLUMNS if c not in (ID, KEY)]]
+    cur = current.select(*[c for c in columns if c in held]).withColumn("_cur", F.lit(True))
+    same = F.col(f"s.{key}").eqNullSafe(F.col(f"b.{key}")) if null_keys else F.col(f"s.{key}") == F.col(f"b.{key}")
+    j = cur.alias("s").join(b.alias("b"), same, "full_outer")
     hit = F.col("b._n").isNotNull()
     exists = F.col("s._cur").isNotNull()
 
@@ -193,6 +201,6 @@ def incremental_batch(raw: DataFrame, ledger: DataFrame, id_col: str = ID,
     return unprocessed(pending, limit)
 
 
-__all__ = ["aggregate_batch", "upsert", "upsert_counters", "run_counters", "mark_processed", "deactivate", "dedupe",
+__all__ = ["aggregate_batch", "upsert", "merge_state", "upsert_counters", "run_counters", "mark_processed", "deactivate", "dedupe",
            "delete_candidates", "duplicate_groups", "key_violations", "incremental_batch",
            "timestamp_lit"]

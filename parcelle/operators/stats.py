@@ -7,8 +7,9 @@ Scale notes
 * ``geo_stats`` aggregates the fact rows once by (postal code, type) and only
   then joins the small partial result to the geography dimensions and rolls it
   up: the large table is never shuffled for the dimension join.
-* Means of prices and surfaces are computed as exact decimal sums divided by a
-  count, so results do not depend on partitioning or task retries.
+* Means of prices, ratios and surfaces are exact sums (whole numbers taken from
+  the doubles, nothing rounded) divided by a count, so results do not depend on
+  partitioning or task retries, and partial sums can be kept and corrected.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelle.functions.dates import month_start, timestamp_lit
-from parcelle.functions.numbers import exact_avg, exact_count, exact_sum, safe_ratio, stable_round
+from parcelle.functions.numbers import LIMBS, exact_avg, exact_mean, exact_sums, safe_ratio, stable_round
 
 LEVEL_KEYS: dict[str, list[str]] = {
     "zipcode": ["zipcode_name"],
@@ -33,7 +34,41 @@ UNKNOWN = "unknown"
 STAT_COLUMNS = ["avg_price", "avg_price_m2", "avg_m2", "avg_rooms", "nb_annonces"]
 # Features ranked against the average price.
 INFLUENCE_FEATURES = ["nb_annonces", "avg_m2", "avg_rooms"]
-RATIO_DECIMALS = 4
+
+
+# --------------------------------------------------------------------------- partial sums
+def partial_sums(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
+    """Exact sums and counts of price, price per m2 (ratio of each row; a zero surface gives none), surface and
+    rooms, and the number of rows, per ``keys``.
+
+    Such rows can be added up to any coarser key, and added to or taken from each other, without a
+    rounding, so statistics kept as partial sums stay equal to a recomputation."""
+    return df.groupBy(*keys).agg(
+        *exact_sums("Price", "_p"), *exact_sums(safe_ratio("Price", "M2"), "_r"), *exact_sums("M2", "_m"),
+        F.sum(F.col("Rooms").cast("bigint")).alias("_so"), F.count("Rooms").alias("_no"),
+        F.count(F.lit(1)).alias("_n"))
+
+
+SUM_COLUMNS = [f"{m}_{k}" for m in ("_p", "_r", "_m") for k in (*LIMBS, "n")] + ["_so", "_no", "_n"]
+
+
+def merge_sums(parts: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
+    """Partial sums added up per ``keys``; groups that hold no row any more are gone."""
+    added = [F.coalesce(F.sum(c), F.lit(0)).cast(t).alias(c) for c, t in parts.dtypes if c in SUM_COLUMNS]
+    return parts.groupBy(*keys).agg(*added).filter(F.col("_n") > 0)
+
+
+def negated(parts: DataFrame) -> DataFrame:
+    """Partial sums to be taken away."""
+    return parts.select(*[(-F.col(c)).cast(t).alias(c) if c in SUM_COLUMNS else F.col(c) for c, t in parts.dtypes])
+
+
+def _merge_sums() -> list[Column]:
+    return [
+        exact_mean("_p").alias("avg_price"), exact_mean("_r").alias("avg_price_m2"), exact_mean("_m").alias("avg_m2"),
+        F.try_divide(F.sum("_so").cast("double"), F.sum("_no").cast("double")).alias("avg_rooms"),
+        F.sum("_n").cast("bigint").alias("nb_annonces"),
+    ]
 
 
 # --------------------------------------------------------------------------- E1
@@ -54,36 +89,17 @@ def timeseries(clean: DataFrame, city: str | None = None, start=None, end=None)
     if start and end:
         df = df.filter(F.col("Date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     keys.append(month_start(F.col("Date")).alias("month"))
-    out = df.groupBy(*keys).agg(
-        stable_round(F.avg(safe_ratio("Price", "M2")), RATIO_DECIMALS).alias("price_m2"))
+    out = df.groupBy(*keys).agg(exact_avg(safe_ratio("Price", "M2")).alias("price_m2"))
     return out.orderBy(*[k for k in ("city", "month") if k in out.columns])
 
 
-# --------------------------------------------------------------------------- E8
-def _partial_sums(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    ratio = safe_ratio("Price", "M2")
-    ratio = F.when(F.abs(ratio) < float("inf"), ratio)  # finite ratios, as for prices
-    return df.groupBy(*keys).agg(
-        exact_sum("Price").alias("_sp"), exact_count("Price").alias("_np"),
-        F.sum(ratio).alias("_sr"), F.count(ratio).alias("_nr"),
-        exact_sum("M2").alias("_sm"), exact_count("M2").alias("_nm"),
-        F.sum(F.col("Rooms").cast("bigint")).alias("_so"), F.count("Rooms").alias("_no"),
-        F.count(F.lit(1)).alias("_n"),
-    )
-
-
-def _merge_sums() -> list[Column]:
-    def ratio(num: str, den: str) -> Column:
-        return F.try_divide(F.sum(num).cast("double"), F.sum(den).cast("double"))
-    return [
-        ratio("_sp", "_np").alias("avg_price"),
-        stable_round(ratio("_sr", "_nr"), RATIO_DECIMALS).alias("avg_price_m2"),
-        ratio("_sm", "_nm").alias("avg_m2"),
-        ratio("_so", "_no").alias("avg_rooms"),
-        F.sum("_n").cast("bigint").alias("nb_annonces"),
-    ]
+def timeseries_of(sums: DataFrame) -> DataFrame:
+    """The monthly series of every city from partial sums keyed by ``City`` and ``month``."""
+    return (sums.groupBy(F.lower(F.col("City")).alias("city"), "month").agg(exact_mean("_r").alias("price_m2"))
+            .orderBy("city", "month"))
 
 
+# --------------------------------------------------------------------------- E8
 def attach_geography(df: DataFrame, zipcodes: DataFrame, departments: DataFrame,
                      level: str) -> DataFrame:
     """Add the level's key columns to rows keyed by ``ZipCode``.
@@ -114,13 +130,18 @@ def geo_stats(clean: DataFrame, level: str, zipcodes: DataFrame | None = None,
     """Statistics per (geography, housing type) plus a ``total`` row per
     geography: ``avg_price``, ``avg_price_m2``, ``avg_m2``, ``avg_rooms``,
     ``nb_annonces``."""
+    return geo_stats_of(partial_sums(clean, ["ZipCode", "Logement"]), level, zipcodes, departments)
+
+
+def geo_stats_of(sums: DataFrame, level: str, zipcodes: DataFrame | None = None,
+                 departments: DataFrame | None = None) -> DataFrame:
+    """``geo_stats`` from partial sums keyed by ``ZipCode``, ``Logement`` and any further columns."""
     if level not in LEVEL_KEYS:
         raise ValueError(f"level must be one of {sorted(LEVEL_KEYS)}")
     keys = LEVEL_KEYS[level]
-    partial = _partial_sums(clean, ["ZipCode", "Logement"])
     if level != "zipcode" and (zipcodes is None or departments is None):
         raise ValueError("department and region levels need the zipcode and department tables")
-    located = attach_geography(partial, zipcodes, departments, level)
+    located = attach_geography(sums, zipcodes, departments, level)
     grouped = located.groupingSets([[*keys, "Logement"], keys], *keys, "Logement")
     out = grouped.agg(*_merge_sums(), F.grouping("Logement").alias("_g"))
     return out.select(
@@ -217,8 +238,7 @@ def zone_stats(clean: DataFrame, level: str, zipcodes: DataFrame | None = None,
     Same plan as ``geo_stats``: partial sums per postal code first, then the
     small partial result meets the dimensions."""
     keys = LEVEL_KEYS[level]
-    partial = _partial_sums(clean, ["ZipCode", *by])
-    located = attach_geography(partial, zipcodes, departments, level)
+    located = attach_geography(partial_sums(clean, ["ZipCode", *by]), zipcodes, departments, level)
     return located.groupBy(*keys, *by).agg(*_merge_sums())
 
 
@@ -249,8 +269,12 @@ DRILL_LEVELS = {0: "commune", 1: "department", 3: "region", 7: "national"}
 def drilldown(clean: DataFrame, zipcodes: DataFrame, departments: DataFrame) -> DataFrame:
     """National / region / department / commune rows of one ROLLUP, computed
     from per-(postal code, commune) partial sums."""
-    partial = _partial_sums(clean, ["ZipCode", "City"])
-    located = attach_geography(partial, zipcodes, departments, "department")
+    return drilldown_of(partial_sums(clean, ["ZipCode", "City"]), zipcodes, departments)
+
+
+def drilldown_of(sums: DataFrame, zipcodes: DataFrame, departments: DataFrame) -> DataFrame:
+    """``drilldown`` from partial sums keyed by ``ZipCode``, ``City`` and any further columns."""
+    located = attach_geography(sums, zipcodes, departments, "department")
     rolled = located.rollup("region_name", "department_name", "City").agg(
         *_merge_sums(), F.grouping_id().alias("_gid"))
     level = None

@@ -14,8 +14,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelle.functions.dates import month_start
+from parcelle.operators import buckets, sinks, state, stats
 from parcelle.operators import normalise as nz
-from parcelle.operators import sinks, state
 from parcelle.operators.clean import CLEAN_COLUMNS, project_listing, unprocessed, with_checks
 from parcelle.sources import files
 
@@ -95,3 +96,37 @@ def open_data_run(spark: SparkSession, sale_files: Sequence[str], state_base: st
         counters = state.upsert_counters(previous, listings)
         counters.write.mode("overwrite").parquet(sinks.state_path(run_stats_path, version))
     return out
+
+
+# Keys of the kept partial sums: every level, the monthly series and the drill-down are answered from them.
+SUM_KEYS = ["ZipCode", "City", "Logement", "month"]
+
+
+def listing_sums(listings: DataFrame) -> DataFrame:
+    """Partial sums of the listings of a state that pass the cleaning checks, per ``SUM_KEYS`` (month of the
+    last-seen day)."""
+    rows = listings.withColumn("scraped_at", F.lit(None).cast("string"))
+    clean = with_checks(project_listing(rows)).filter(F.col("reason").isNull())
+    return stats.partial_sums(clean, [*SUM_KEYS[:3], month_start(F.col("Date")).alias("month")])
+
+
+def kept_sums(spark: SparkSession, base: str, version: int) -> DataFrame:
+    """The partial sums of a version, for ``stats.geo_stats_of``, ``drilldown_of`` and ``timeseries_of``."""
+    return spark.read.parquet(f"{base}/sums/version={version}")
+
+
+def maintained_run(spark: SparkSession, base: str, batch: DataFrame, version: int, bucket_count: int = 64) -> int:
+    """Apply a batch to the bucketed state under ``base`` and carry the statistics along.
+
+    The rows of the touched buckets are taken out of the partial sums as they
+    were and put in as they are; the rest of the state is not read. Sums
+    are exact, so they stay equal, to the bit, to sums over the whole state.
+    Every output is a folder of its version; a retry rewrites it. Returns how
+    many buckets were written."""
+    n = buckets.apply_batch(spark, f"{base}/state", batch, version, bucket_count)
+    before, after = buckets.changed(spark, f"{base}/state", version)
+    sums = listing_sums(after)
+    if before is not None:
+        sums = kept_sums(spark, base, version - 1).unionByName(sums).unionByName(stats.negated(listing_sums(before)))
+    stats.merge_sums(sums, SUM_KEYS).write.mode("overwrite").parquet(f"{base}/sums/version={version}")
+    return n

@@ -109,6 +109,17 @@ def sround(expr: str, decimals: int = 4) -> str:
             f" / {10 ** decimals}.0")
 
 
+def xavg(x: str) -> str:
+    """SQL twin of ``parcelle.functions.numbers.exact_avg`` for values from 2^-10 to 2^62: exact sums of the whole
+    parts and of the fractions in units of 2^-62."""
+    unit = 2**62
+    whole, part = f"SUM(CAST(trunc({x}) AS HUGEINT))", f"SUM(CAST(trunc(({x} - trunc({x})) * {unit}.0) AS HUGEINT))"
+    return f"(CAST({part} % {unit} AS DOUBLE) / {unit}.0 + CAST({whole} + {part} // {unit} AS DOUBLE)) / COUNT({x})"
+
+
+RATIO = "(CASE WHEN M2 = 0 THEN NULL ELSE Price / M2 END)"
+
+
 def round_half_even(expr: str, decimals: int = 2) -> str:
     """Half-even rounding of a double's shortest decimal form, which is what
     Spark's ``bround`` does (DuckDB's ``round_even`` rounds the scaled double
@@ -128,9 +139,9 @@ BASE = (LISTINGS_RAW, CLEAN_CHECKED)
 GEO = (LISTINGS_RAW, CLEAN_CHECKED, ZIPCODE_DIM, DEPARTMENT_DIM)
 
 _STAT_AGGS = f"""
-    CAST(SUM(CAST(Price AS DECIMAL(38,6))) AS DOUBLE) / COUNT(Price) AS avg_price,
-    {sround("AVG(CASE WHEN M2 = 0 THEN NULL ELSE Price / M2 END)")} AS avg_price_m2,
-    CAST(SUM(CAST(M2 AS DECIMAL(38,6))) AS DOUBLE) / COUNT(M2) AS avg_m2,
+    {xavg("Price")} AS avg_price,
+    {xavg(RATIO)} AS avg_price_m2,
+    {xavg("M2")} AS avg_m2,
     CAST(SUM(CAST(Rooms AS BIGINT)) AS DOUBLE) / COUNT(Rooms) AS avg_rooms,
     CAST(COUNT(*) AS BIGINT) AS nb_annonces"""
 
@@ -172,7 +183,7 @@ ORACLE["clean_listings"] = with_ctes(*BASE, body="SELECT * FROM clean")
 ORACLE["rejected_listings"] = with_ctes(*BASE, body="SELECT Id, reason FROM clean_checked WHERE reason IS NOT NULL")
 ORACLE["timeseries_month"] = with_ctes(*BASE, body=f"""
 SELECT lower(City) AS city, CAST(date_trunc('month', Date) AS DATE) AS month,
-       {sround("AVG(CASE WHEN M2 = 0 THEN NULL ELSE Price / M2 END)")} AS price_m2
+       {xavg(RATIO)} AS price_m2
 FROM clean GROUP BY 1, 2 ORDER BY 1, 2""")
 for _lvl in ("region", "department", "zipcode"):
     ORACLE[f"stats_{_lvl}"] = with_ctes(*stats_ctes(_lvl), body=f"SELECT * FROM stats_{_lvl}")
@@ -258,6 +269,8 @@ ORACLE["geo_inner_join"] = with_ctes(*stats_ctes("department"), DEPT_THRESHOLD,
 dept_features AS (SELECT {_pad('n_nationkey')} AS code, n_name AS nom FROM nation)""", body="""
 SELECT f.code, f.nom, j.department_id, j.department_name, j.avg_price, j.nb_annonces, j.Region, j.department_label
 FROM dept_features f JOIN dept_joined j ON f.code = j.department_id""")
+ORACLE["geojson_features"] = f"""
+SELECT {_pad('n_nationkey')} AS code, n_name AS nom, CAST(n_nationkey AS DOUBLE) AS x, CAST(n_regionkey AS DOUBLE) AS y FROM nation"""
 ORACLE["region_ci_join"] = with_ctes(*stats_ctes("region"), """
 region_features AS (SELECT CAST(r_regionkey AS VARCHAR) AS code, lower(r_name) AS nom FROM region)""", body="""
 SELECT f.code, f.nom, lower(s.region_name) AS region_name, s.avg_price, s.nb_annonces
@@ -308,6 +321,15 @@ state1 AS (
 
 ORACLE["upsert_state"] = with_ctes(LISTINGS_RAW, STATE, body="""
 SELECT * REPLACE (array_to_string(features, '|') AS features) FROM state1""")
+ORACLE["upsert_buckets"] = ORACLE["upsert_state"]
+# the state's listings, cleaned, in place of the collection's
+STATE_CLEAN = (CLEAN_CHECKED.replace("FROM listings_raw WHERE NOT coalesce(processed, false)", "FROM state1")
+               .replace("coalesce(TRY_CAST(scraped_at AS DATE), CAST(last_seen_at AS DATE))", "CAST(last_seen_at AS DATE)"))
+ORACLE["stats_maintained"] = with_ctes(LISTINGS_RAW, STATE, STATE_CLEAN, ZIPCODE_DIM, DEPARTMENT_DIM, _LOCATED, _stats_cte("region"),
+                                       body="SELECT * FROM stats_region")
+ORACLE["timeseries_maintained"] = with_ctes(LISTINGS_RAW, STATE, STATE_CLEAN, body=f"""
+SELECT lower(City) AS city, CAST(date_trunc('month', Date) AS DATE) AS month, {xavg(RATIO)} AS price_m2
+FROM clean GROUP BY 1, 2 ORDER BY 1, 2""")
 ORACLE["upsert_counters"] = with_ctes(LISTINGS_RAW, STATE, body="""
 SELECT CAST(count(*) AS BIGINT) AS scraped,
        CAST(count(DISTINCT CASE WHEN s.listing_url IS NULL THEN b.listing_url END) AS BIGINT) AS inserted,
@@ -394,6 +416,7 @@ FROM sale_surf
 WHERE NOT lot2_bad AND surface > 0 AND price > 0 AND ln <> 6
 )"""
 ORACLE["dvf_normalise"] = with_ctes(SALE_ROWS, DVF_LISTINGS, body="SELECT * FROM dvf_listings")
+ORACLE["dvf_files"] = ORACLE["dvf_normalise"]
 ORACLE["dvf_rejected"] = with_ctes(SALE_ROWS, body="""
 SELECT 'dvf_' || id_mutation || '_' || numero_disposition AS listing_url,
        CASE WHEN lot2_bad THEN 'malformed_surface' ELSE 'malformed_rooms' END AS reason
@@ -599,7 +622,7 @@ WHERE s.logement_type = 'maison' AND s.nb_annonces >= 3""")
 # ---------------------------------------------------------------- documented analyses
 ORACLE["price_zone_year"] = with_ctes(*GEO, _LOCATED, body=f"""
 SELECT region_name, CAST(year(Date) AS INTEGER) AS year,
-       {sround("AVG(CASE WHEN M2 = 0 THEN NULL ELSE Price / M2 END)")} AS avg_price_m2,
+       {xavg(RATIO)} AS avg_price_m2,
        CAST(count(*) AS BIGINT) AS nb_annonces
 FROM located WHERE Price BETWEEN 20000 AND 90000
 GROUP BY region_name, year(Date)""")
@@ -607,18 +630,18 @@ ORACLE["density"] = with_ctes(*GEO, _LOCATED, body="""
 SELECT department_id, department_name, CAST(count(*) AS BIGINT) AS nb_annonces
 FROM located WHERE Logement = 'maison' AND Price BETWEEN 30000 AND 70000
 GROUP BY department_id, department_name""")
-ORACLE["surface_price"] = with_ctes(*BASE, body="""
+ORACLE["surface_price"] = with_ctes(*BASE, body=f"""
 SELECT City AS commune,
        CASE WHEN M2 < 20 THEN '<20' WHEN M2 < 35 THEN '20-35' ELSE '>=35' END AS surface_band,
-       CAST(SUM(CAST(M2 AS DECIMAL(38,6))) AS DOUBLE) / COUNT(M2) AS avg_m2,
-       CAST(SUM(CAST(Price AS DECIMAL(38,6))) AS DOUBLE) / COUNT(Price) AS avg_price,
+       {xavg("M2")} AS avg_m2,
+       {xavg("Price")} AS avg_price,
        CAST(count(*) AS BIGINT) AS nb_annonces
 FROM clean GROUP BY 1, 2""")
-ORACLE["drilldown"] = with_ctes(*GEO, _LOCATED, body="""
+ORACLE["drilldown"] = with_ctes(*GEO, _LOCATED, body=f"""
 SELECT region_name, department_name, City AS commune,
        CASE GROUPING(region_name, department_name, City)
          WHEN 0 THEN 'commune' WHEN 1 THEN 'department' WHEN 3 THEN 'region' WHEN 7 THEN 'national' END AS level,
-       CAST(SUM(CAST(Price AS DECIMAL(38,6))) AS DOUBLE) / COUNT(Price) AS avg_price,
+       {xavg("Price")} AS avg_price,
        CAST(count(*) AS BIGINT) AS nb_annonces
 FROM located GROUP BY ROLLUP (region_name, department_name, City)""")
 ORACLE["word_freq"] = """
@@ -669,7 +692,7 @@ WHERE s.logement_type = 'total' AND s.nb_annonces >= 10""")
 ORACLE["timeseries_city"] = with_ctes(*BASE, body=f"""
 SELECT month, price_m2, row_number() OVER (ORDER BY month NULLS FIRST) - 1 AS place FROM (
   SELECT CAST(date_trunc('month', Date) AS DATE) AS month,
-         {sround("AVG(CASE WHEN M2 = 0 THEN NULL ELSE Price / M2 END)")} AS price_m2
+         {xavg(RATIO)} AS price_m2
   FROM clean WHERE lower(City) = 'customer#000000015' GROUP BY 1)""")
 ORACLE["influence_order"] = f"""
 SELECT *, row_number() OVER (ORDER BY correlation DESC NULLS LAST, feature) - 1 AS place FROM ({ORACLE["influence_rank"]})"""

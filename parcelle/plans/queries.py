@@ -7,6 +7,7 @@ column aliases match ``parcelle.plans.oracle_sql.ORACLE``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,12 +17,15 @@ from parcelle.functions import numbers as num
 from parcelle.functions.arrays import list_mean
 from parcelle.functions.numbers import stable_round
 from parcelle.functions.text import popup_text
+from parcelle.operators import buckets
 from parcelle.operators import clean as clean_ops
 from parcelle.operators import filters as flt
 from parcelle.operators import geo as geo_ops
 from parcelle.operators import normalise as nz
 from parcelle.operators import state as st
 from parcelle.operators import stats as stats_ops
+from parcelle.plans import jobs
+from parcelle.session import ensure_checkpoint_dir
 from parcelle.sources import files, testdata
 from parcelle.sources.tables import read_table
 
@@ -45,6 +49,11 @@ def cleaned(spark: SparkSession, sf_dir: str) -> clean_ops.Cleaned:
     return clean_ops.clean_listings(raw(spark, sf_dir))
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared ``spark.checkpoint.dir``."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned(spark, sf_dir).clean
 
@@ -211,6 +220,35 @@ def q_upsert_state(spark, sf_dir):
     return st.upsert(initial, batch).withColumn("features", F.array_join("features", "|"))
 
 
+@register("upsert_buckets")
+def q_upsert_buckets(spark, sf_dir):
+    """The same two upserts on a state kept in hash buckets, read back from its files."""
+    r = raw(spark, sf_dir)
+    base = scratch(spark, "state")
+    buckets.apply_batch(spark, base, r.filter(F.col("source") != BATCH_SOURCE), 0, buckets=8)
+    buckets.apply_batch(spark, base, r.filter(F.col("source") == BATCH_SOURCE), 1)
+    return buckets.read_state(spark, base, 1).withColumn("features", F.array_join("features", "|"))
+
+
+def maintained(spark, sf_dir):
+    """Partial sums carried along by two upserts."""
+    r = raw(spark, sf_dir)
+    base = scratch(spark, "maintained")
+    for version, batch in enumerate((r.filter(F.col("source") != BATCH_SOURCE), r.filter(F.col("source") == BATCH_SOURCE))):
+        jobs.maintained_run(spark, base, batch, version, bucket_count=8)
+    return jobs.kept_sums(spark, base, 1)
+
+
+@register("stats_maintained")
+def q_stats_maintained(spark, sf_dir):
+    return stats_ops.geo_stats_of(maintained(spark, sf_dir), "region", *dims(spark, sf_dir))
+
+
+@register("timeseries_maintained")
+def q_timeseries_maintained(spark, sf_dir):
+    return stats_ops.timeseries_of(maintained(spark, sf_dir))
+
+
 @register("upsert_counters")
 def q_upsert_counters(spark, sf_dir):
     initial, batch = state_inputs(spark, sf_dir)
@@ -260,6 +298,15 @@ def q_dvf_normalise(spark, sf_dir):
     return sales.withColumn("features", F.array_join("features", "|"))
 
 
+@register("dvf_files")
+def q_dvf_files(spark, sf_dir):
+    """The same rows landed as CSV files of two formats in one folder, found by each file's header."""
+    folder = scratch(spark, "sales")
+    testdata.land_sales(testdata.sale_rows(spark, sf_dir), folder)
+    sales = nz.normalise_sales(files.read_sales(spark, folder), RUN_AT).listings
+    return sales.withColumn("features", F.array_join("features", "|"))
+
+
 @register("dvf_rejected")
 def q_dvf_rejected(spark, sf_dir):
     return nz.normalise_sales(testdata.sale_rows(spark, sf_dir), RUN_AT).rejected
@@ -477,6 +524,15 @@ def q_features_preview(spark, sf_dir):
     return geo_ops.drop_geometry_preview(testdata.department_features(spark, sf_dir), order_by=["code"])
 
 
+@register("geojson_features")
+def q_geojson_features(spark, sf_dir):
+    """Department features landed as one GeoJSON file and read back."""
+    folder = scratch(spark, "features")
+    testdata.land_features(testdata.department_features(spark, sf_dir), folder)
+    point = lambda i: F.get_json_object("geometry", f"$.coordinates[{i}]").cast("double")
+    return files.read_geojson(spark, folder).select("code", "nom", point(0).alias("x"), point(1).alias("y"))
+
+
 @register("query_source")
 def q_query_source(spark, sf_dir):
     clean(spark, sf_dir).createOrReplaceTempView("listings_clean")

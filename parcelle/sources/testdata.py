@@ -155,6 +155,14 @@ def department_features(spark: SparkSession, sf_dir: str) -> DataFrame:
                     geom.alias("geometry"))
 
 
+def land_features(features: DataFrame, folder: str) -> None:
+    """Feature rows as one landed GeoJSON file."""
+    one = F.concat(F.lit('{ "type": "Feature",\n "properties": '), F.to_json(F.struct("code", "nom")), F.lit(', "geometry": '), F.col("geometry"), F.lit(" }"))
+    body = F.array_join(F.sort_array(F.collect_list(one)), ",\n")
+    whole = F.concat(F.lit('{"type":"FeatureCollection","name":"areas","features":[\n'), body, F.lit("\n],\"bbox\":[0,0,1,1]}"))
+    features.agg(whole.alias("value")).write.text(folder)
+
+
 def region_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Region features with mixed-case names (joined case-insensitively)."""
     r = read_table(spark, sf_dir, "region")
@@ -217,6 +225,15 @@ def sale_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def land_sales(rows: DataFrame, folder: str) -> None:
+    """Sale rows as landed CSV files in one folder: sales of houses in the usual
+    column order, the others with a further column and the reverse order."""
+    houses = F.col("type_local") == "Maison"
+    swapped = rows.filter(~houses).select(F.lit("48.85").alias("latitude"), *reversed(rows.columns))
+    for part in (rows.filter(houses), swapped):
+        part.write.mode("append").option("header", True).csv(folder)
+
+
 def _json_num(c) -> F.Column:
     return F.coalesce(_s(c), F.lit("null"))
 
@@ -291,24 +308,27 @@ def card_facts(raw: DataFrame) -> DataFrame:
 def result_pages(raw: DataFrame) -> DataFrame:
     """HTML result pages (``page_id``, ``url``, ``department``, ``html``), one
     per order, a card per line item (at most a few dozen). Some cards have a
-    zero price, some no price element; the footer has a number and a price
-    element of its own."""
+    zero price, some no price element; texts have inner tags, comments, references
+    and attributes with markup around them, and the footer has a number and a price element of its own."""
     def div(test_id, inside):
-        return F.concat(F.lit(f'<div data-testid="{test_id}">'), inside, F.lit("</div>"))
+        return F.concat(F.lit(f'<div class="a > b" data-testid="{test_id}">'), inside, F.lit("</div>"))
 
-    def nested(texts):
-        return F.array_join(F.transform(texts, lambda t: F.concat(F.lit("<div>"), t, F.lit("</div>"))), "")
+    def nested(texts, before=""):
+        return F.array_join(F.transform(texts, lambda t: F.concat(F.lit(f"<div>{before}"), t, F.lit("</div>"))), "")
 
     page = F.substring_index(F.substring("listing_url", 2, 40), "_", 1).cast("bigint")
     rooms = F.substring_index("listing_url", "_", -1)
-    price = F.when(rooms == "7", F.lit("0 €")).otherwise(F.col("price_text"))
+    price = F.when(rooms == "7", F.lit("0 &euro;")).otherwise(F.replace("price_text", F.lit("€"), F.lit("&#8364;")))
+    # a description breaks after its dash; what a box shows besides stands in elements of its own
+    lines = F.transform("text_parts", lambda t: F.replace(t, F.lit(" - "), F.lit(" -<br><b title='</div>'></b> ")))
     card = div("serp-core-classified-card-testid", F.concat(
-        F.lit('<a data-testid="card-mfe-covering-link-testid" href="'), F.col("listing_url"), F.lit('"></a>'),
-        F.when(rooms == "6", F.lit("")).otherwise(div("cardmfe-price-testid", F.concat(price, F.lit("<span>12 €/m²</span>")))),
-        div("cardmfe-keyfacts-testid", nested(F.col("facts"))),
-        div("cardmfe-description-box-address", F.col("address")),
+        F.lit('<!-- <div data-testid="cardmfe-price-testid">1 €</div> --><img alt="<div>"><a data-testid="card-mfe-covering-link-testid" href="'),
+        F.col("listing_url"), F.lit('"></a>'),
+        F.when(rooms == "6", F.lit("")).otherwise(div("cardmfe-price-testid", F.concat(F.lit("<span></span>"), price, F.lit("<span>12 €/m²</span>")))),
+        div("cardmfe-keyfacts-testid", nested(F.col("facts"), "<i title='9 pièces'></i>")),
+        div("cardmfe-description-box-address", F.concat(F.lit("<span>à </span>"), F.col("address"))),
         div("cardmfe-description-box-text-test-id", nested(F.array(F.coalesce("type_text", F.lit(""))))),
-        div("cardmfe-description-text-test-id", nested(F.col("text_parts")))))
+        div("cardmfe-description-text-test-id", nested(lines))))
     cards = card_facts(raw).select(page.alias("page_id"), "department", F.struct("_id", card.alias("card")).alias("c"))
     body = F.array_join(F.transform(F.sort_array(F.collect_list("c")), lambda c: c["card"]), "\n")
     footer = '<footer><div>42 annonces</div><div data-testid="cardmfe-price-testid">999 €</div></footer></body></html>'

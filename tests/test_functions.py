@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from parcelle.functions import arrays, classify, geo, numbers, text
@@ -61,6 +65,38 @@ def test_exact_avg_of_fractions_large_and_non_finite_values(spark):
     assert avg(float("inf"), 200000.0) == 200000.0 and avg(float("nan")) is None
 
 
+@pytest.mark.parametrize("values", [
+    [33.3333333] * 7, [1e-9, 3e-9, 1e9], [1e33, 1e33, 1.0], [1e33, -1e33, 33.3333333], [-0.5], [-1e-9, -2.5, 1e18 + 2.0**20], [2.0**62, 2.0**-62], [5e-324],
+    [0.1, -0.1, 1e-20], [4.6e18, 4.6e18, -1.0], [2.0**-72, 1.0], [123456789.123456789, 1e22, -1e22]])
+def test_exact_avg_against_fractions(spark, values):
+    """Values of any size from 2e-22 to 2e37 count with all their bits."""
+    from fractions import Fraction
+    rows = [(v,) for v in values]
+    for order in (rows, rows[::-1]):
+        got = spark.createDataFrame(order, "v double").repartition(3).agg(numbers.exact_avg("v").alias("a")).first().a
+        want = 0.0 if values == [5e-324] else float(sum(map(Fraction, values)) / len(values))
+        assert abs(got - want) <= 2 * math.ulp(want)
+
+
+def test_exact_avg_leaves_out_what_is_not_finite_or_too_large(spark):
+    avg = lambda *v: spark.createDataFrame([(x,) for x in v], "v double").agg(numbers.exact_avg("v").alias("a")).first().a
+    assert avg(float("inf"), float("-inf"), float("nan"), 1e38, None, 7.0) == 7.0
+    assert avg(float("inf")) is None and avg(None) is None
+
+
+def test_exact_sums_add_up_and_are_taken_away(spark):
+    rng = random.Random(1)
+    rows = [(i % 5, rng.choice([1e-9, 1.0, 1e5, 1e20]) * rng.uniform(-1, 1)) for i in range(400)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    whole = df.groupBy("k").agg(*numbers.exact_sums("v", "_v"))
+    part = df.filter("v > 0").groupBy("k").agg(*numbers.exact_sums("v", "_v"))
+    cols = [f"_v_{k}" for k in (*numbers.LIMBS, "n")]
+    minus = part.select("k", *[(-F.col(c)).cast(t).alias(c) for c, t in part.dtypes if c in cols])
+    left = whole.unionByName(minus).groupBy("k").agg(numbers.exact_mean("_v").alias("m"))
+    want = df.filter("v <= 0").groupBy("k").agg(numbers.exact_avg("v").alias("m"))
+    assert sorted(left.collect()) == sorted(want.collect())
+
+
 def test_exact_avg_is_order_independent(spark):
     vals = [(0.1,), (0.2,), (0.3,)] * 100
     a = spark.createDataFrame(vals, "v double").agg(numbers.exact_avg("v").alias("a")).first().a

@@ -5,7 +5,9 @@ from __future__ import annotations
 import gzip
 import json
 import os
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from parcelle.operators import normalise as nz
@@ -58,6 +60,43 @@ def test_sales_csv_normalise(spark, tmp_dir):
         "dvf_2024-4_1": "malformed_surface", "dvf_2024-6_1": "malformed_rooms"}
 
 
+def write_csv(path, columns, rows, first="", end="\n"):
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        f.write(first + ",".join(columns) + end)
+        for r in rows:
+            f.write(",".join(f'"{r[c]}"' if "," in r.get(c, "") else r.get(c, "") for c in columns) + end)
+
+
+def test_sales_of_a_folder_go_by_each_file_header(spark, tmp_dir):
+    """Years with swapped, further, repeated and missing columns in one folder; a byte order mark; no header; no rows."""
+    want = ["nature_mutation", "valeur_fonciere", "type_local", "nom_commune"]
+    row = {"id_mutation": "B", "nature_mutation": "Vente", "valeur_fonciere": "200000", "type_local": "Maison", "nom_commune": "Lyon, 3e"}
+    write_csv(f"{tmp_dir}/2021.csv", [*SALE_COLUMNS], [sale(id_mutation="A")])
+    write_csv(f"{tmp_dir}/2022 b[2]%20+.csv", ["type_local", "valeur_fonciere", "id_mutation", "nature_mutation", "nom_commune"], [row])
+    write_csv(f"{tmp_dir}/2023.csv", ["longitude", *SALE_COLUMNS, "id_mutation", ""], [sale(id_mutation="C") | {"longitude": "4.8", "": "x"}], first="\ufeff", end="\r\n")
+    write_csv(f"{tmp_dir}/2024.csv", [*SALE_COLUMNS], [sale(id_mutation="D", nom_commune="id_mutation")])
+    write_csv(f"{tmp_dir}/2025.csv", [*SALE_COLUMNS], [])
+    write_csv(f"{tmp_dir}/notes.csv", ["a", "b"], [{"a": "1", "b": "2"}])
+    open(f"{tmp_dir}/empty.csv", "w").close()
+    for paths in (tmp_dir, f"{tmp_dir}/*.csv"):
+        got = {r.id_mutation: r for r in files.read_sales(spark, paths).collect()}
+        assert set(got) == {"A", "B", "C", "D"}
+        assert [got["B"][c] for c in want] == ["Vente", "200000", "Maison", "Lyon, 3e"] and got["B"].code_postal == ""
+        assert got["C"].nom_commune == "Paris" and got["D"].nom_commune == "id_mutation"
+    assert files.sale_headers(spark, tmp_dir).count() == 3
+    assert files.read_sales(spark, f"{tmp_dir}/notes.csv").count() == 0
+
+
+def test_many_sale_files_are_few_reads(spark, tmp_dir):
+    """The number of scans follows the headers, not the files, and the header scan is one job whatever the files."""
+    swapped = [*reversed(SALE_COLUMNS)]
+    for i in range(300):
+        write_csv(f"{tmp_dir}/{i}.csv", swapped if i % 2 else SALE_COLUMNS, [sale(id_mutation=str(i))])
+    df = files.read_sales(spark, tmp_dir)
+    assert sorted(int(r.id_mutation) for r in df.filter("type_local = 'Maison'").collect()) == list(range(300))
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 2
+
+
 def test_ads_files(spark, tmp_dir):
     ad = {"id": "a1", "price": [100000, None, 200000], "roomsQuantity": [3, 4], "surfaceArea": 50,
           "bedroomsQuantity": 2, "pricePerSquareMeter": None, "district": {"name": "Centre"},
@@ -114,6 +153,28 @@ def test_cards_from_pages(spark):
     assert st.upsert(None, out).filter("listing_url = '/b'").first().is_active
 
 
+def test_card_texts_are_whole(spark):
+    """Texts around inner tags, comments, references and attributes with markup; elements without an end."""
+    card = ('<div title="a > b" data-testid="serp-core-classified-card-testid">'
+            "<script>var x = '<div data-testid=\"cardmfe-price-testid\">1</div>';</script><!-- </div></div> -->"
+            "<a href='/x&amp;y' data-testid='card-mfe-covering-link-testid'></a>"
+            '<div data-testid="cardmfe-price-testid"><span>about</span>250 000&nbsp;&euro;</div>'
+            '<div title=\'data-testid="cardmfe-price-testid"\'>9 €</div>'
+            '<div data-testid="cardmfe-keyfacts-testid">loose<div><i></i>70 m²</div><div>3 pièces<!-- c -->·</div><div><p>no</p>2 chambres</div></div>'
+            '<div data-testid="cardmfe-description-box-address"><b>x</b>Évry (91000)</div>'
+            '<div data-testid="cardmfe-description-text-test-id"><div>First line<br>second line<br/>3 < 4 &eacute;&#233;&#xe9;&unknown;'
+            "<ul><li>item</ul> end</div></div></div>")
+    page = f"<html><body>{card}<div data-testid=serp-core-classified-card-testid><div data-testid='cardmfe-price-testid'>7 €<section></div></body>"
+    pages = spark.createDataFrame([(1, "91", page)], "page_id long, department string, html string")
+    cards = nz.read_cards(pages).orderBy("pos")
+    assert cards.count() == 2 and cards.first().card_html == card[card.index(">", card.index("data-testid")) + 1:-len("</div>")]
+    a, b = nz.normalise_cards(cards, NOW).collect()
+    assert (a.listing_url, a.price, a.surface_m2, a.price_per_m2, a.rooms, a.bedrooms) == ("/x&y", 250000.0, 70.0, 3571.0, 3, 2)
+    assert a.features == ["70 m²", "3 pièces", "2 chambres"] and (a.city, a.postal_code) == ("Évry", "91000")
+    assert a.description == "First linesecond line3 < 4 ééé&unknown; end"
+    assert (b.price, b.description, b.features) == (7.0, "", [])
+
+
 def test_geojson(spark, tmp_dir):
     fc = {"type": "FeatureCollection", "features": [
         {"type": "Feature", "properties": {"code": "01", "nom": "Ain"},
@@ -123,9 +184,45 @@ def test_geojson(spark, tmp_dir):
     path = os.path.join(tmp_dir, "d.geojson")
     with open(path, "w") as f:
         json.dump(fc, f, indent=2)
-    rows = files.read_geojson(spark, path).collect()
-    assert [(r.code, r.nom) for r in rows] == [("01", "Ain"), ("2A", "Corse-du-Sud")]
-    assert json.loads(rows[1].geometry)["type"] == "MultiPolygon"
+    for split in (True, False):
+        rows = files.read_geojson(spark, path, split).collect()
+        assert [(r.code, r.nom) for r in rows] == [("01", "Ain"), ("2A", "Corse-du-Sud")]
+        assert json.loads(rows[1].geometry) == fc["features"][1]["geometry"]
+
+
+def test_one_large_geojson_file_is_many_tasks(spark, tmp_dir):
+    rng = random.Random(2)
+    features = [{"type": "Feature", "properties": {"code": str(i), "nom": f'a "quoted" {{name}} [{i}]', "kind": "x" * rng.randrange(300)},
+                 "geometry": {"type": "Polygon", "coordinates": [[[rng.random(), rng.random()] for _ in range(rng.randrange(3, 60))]]}} for i in range(600)]
+    with open(f"{tmp_dir}/big.geojson", "w") as f:
+        json.dump({"type": "FeatureCollection", "features": features, "bbox": [0, 0, 1, 1]}, f)
+    with open(f"{tmp_dir}/one.geojson", "w") as f:
+        json.dump({"type": "Feature", "properties": {"code": "alone", "nom": None}, "geometry": None}, f)
+    open(f"{tmp_dir}/none.geojson", "w").write('\ufeff{"type":"FeatureCollection","features":[]}')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        df = files.read_geojson(spark, tmp_dir)
+        got = {r.code: r for r in df.collect()}
+        assert df.rdd.getNumPartitions() > 5
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(got) == 601 and got["alone"].nom is None and got["alone"].geometry is None
+    for f in features:
+        r = got[f["properties"]["code"]]
+        assert r.nom == f["properties"]["nom"] and json.loads(r.geometry) == f["geometry"]
+
+
+def test_geojson_in_another_order_raises_or_is_read_whole(spark, tmp_dir):
+    props = {"properties": {"code": "1", "nom": "n"}}
+    orders = [props | {"geometry": None, "type": "Feature"}, props | {"type": "Feature", "geometry": None},
+              {"type": "Feature", "properties": {"kind": "Feature", "code": "1", "nom": "n"}, "geometry": None}]
+    for i, feature in enumerate(orders):
+        path = f"{tmp_dir}/{i}.geojson"
+        with open(path, "w") as f:
+            json.dump({"features": [feature] * 2, "type": "FeatureCollection"}, f)
+        with pytest.raises(Exception, match="not a feature"):
+            files.read_geojson(spark, path).collect()
+        assert files.read_geojson(spark, path, split=False).count() == 2
 
 
 def test_query_with_bound_parameters(spark):
