@@ -1,19 +1,21 @@
 """Source divergence audit by chunk factorization.
 
-Texts are cut at white space only. The tasks count, for each language and source, how often each chunk occurs and
-in how many documents; Spark brings equal chunks together, every distinct chunk is cut into terms once, and its
-terms are joined back to its counts. Occurrences of a term are sums over its chunks. Documents are not: one
-document may hold a term in several chunks. But a chunk held by three documents settles its terms, and one held
-by fewer carries its documents whole, as the smallest and the largest of them; so only the documents of rare
-chunks are put together. Distances between sources come from the terms two sources share, corrected by sums in
-which a term is missing on one side, so no term is written for a source that lacks it.
+Texts are cut at white space only. The tasks count, for each language, how often each chunk occurs in each source and
+in how many documents; every globally distinct chunk is cut into terms once, and its terms are joined back to its
+counts. Occurrences of a term are sums over its chunks. Documents are not: one document may hold a term in several
+chunks. But a chunk held by three documents settles its terms, and one held by fewer carries its documents
+whole, as the smallest and the largest of them; so only the documents of rare chunks are put together, and only
+the counts of kept terms are looked up. Distances between sources come from the terms two sources share, corrected
+by sums in which a term is missing on one side, so no term is written for a source that lacks it.
 """
 
 from __future__ import annotations
 
 import re
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,55 +26,80 @@ from parcelle.llm.common import materialise
 # fixed value of the contract: what a term is made of
 TERM = "[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 SCALE = 1_000_000_000
-# chunks and bytes that a task holds before it hands its counts on
-HELD_CHUNKS, HELD_BYTES = 200_000, 16_000_000
-CHUNKS = "lang string, source string, chunk string, n long, docs long, low long, high long"
+# bytes of text that a task counts at once (one longer text is counted by itself)
+HELD_BYTES = 32_000_000
+CHUNKS = "lang string, chunk string, docs long, low long, high long, counts array<struct<source:string,n:long>>"
 # a document is named by its task and its place there
 PLACES = 40
 
 
 def chunk_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """lang, source, chunk, n, docs, low, high: occurrences and documents of each chunk (A-Z lower-cased) in each
-    language and source, and the smallest and largest of those documents; an empty chunk for each group there is."""
+    """lang, chunk, docs, low, high, counts: what a task's share of the documents holds of each chunk (A-Z
+    lower-cased) in each language: documents, the smallest and the largest of them (a single one as ``low`` only,
+    none where there are three or more, which settle the matter), and occurrences per source. An empty chunk
+    names the sources there are. Several rows may tell of one chunk."""
     def count(batches):
         base = TaskContext.get().partitionId() << PLACES
-        held: dict[tuple, list] = {}
-        at = size = 0
-
-        def flush():
-            keys, values = list(held), list(zip(*held.values(), strict=True))
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([k[2].decode() for k in keys], pa.string()),
-                 *(pa.array(v, pa.int64()) for v in values)], names=["lang", "source", "chunk", "n", "docs", "low", "high"])
-            held.clear()
-            return batch
-
+        at, size, held = 0, 0, []
         for batch in batches:
             for lang, source, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                doc = base + at
+                held.append((lang, source, base + at, text.lower()))  # bytes lower only A-Z
                 at += 1
-                found: dict[bytes, int] = {b"": 0}
-                for chunk in text.lower().split():  # bytes split at ASCII white space and lower only A-Z
-                    found[chunk] = found.get(chunk, 0) + 1
-                for chunk, n in found.items():
-                    seen = held.get((lang, source, chunk))
-                    if seen is None:
-                        held[lang, source, chunk] = [n, 1, doc, doc]
-                        size += len(chunk)
-                    else:  # a task's documents come in order
-                        seen[0] += n
-                        seen[1] += 1
-                        seen[3] = doc
-                if len(held) > HELD_CHUNKS or size > HELD_BYTES:
-                    size = 0
-                    yield flush()
+                size += len(text)
+                if size > HELD_BYTES:
+                    yield _counted(held)
+                    held, size = [], 0
         if held:
-            yield flush()
+            yield _counted(held)
 
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     narrow = docs.select(blank(lang_col).alias("lang"), blank(source_col).alias("source"), blank(text_col).cast("binary").alias("text"))
-    return (narrow.mapInArrow(count, CHUNKS).groupBy("lang", "source", "chunk")
-            .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.min("low").alias("low"), F.max("high").alias("high")))
+    return narrow.mapInArrow(count, CHUNKS)
+
+
+def _counted(held: list[tuple]) -> pa.RecordBatch:
+    """The rows of some documents (language, source, number, lower-case text)."""
+    held.sort(key=lambda d: d[:3])
+    lang_at, source_at, numbers = {}, {}, np.array([d[2] for d in held])
+    langs = np.array([lang_at.setdefault(d[0], len(lang_at)) for d in held])
+    sources = np.array([source_at.setdefault(d[1], len(source_at)) for d in held])
+    words = pc.ascii_split_whitespace(pa.array([d[3] for d in held], pa.large_binary()).cast(pa.large_string()))
+    doc = np.repeat(np.arange(len(held)), pc.list_value_length(words).to_numpy())
+    coded = words.flatten().dictionary_encode()
+    codes, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    empty = pc.index(names, "").as_py()
+    if empty >= 0:  # before the first and after the last word of a text
+        some = codes != empty
+        codes, doc = codes[some], doc[some]
+    # documents lie in order of language and source, so one sort brings a chunk's languages, sources and documents together
+    key = np.sort(codes * len(held) + doc)
+    starts = _changes(key)
+    code, doc = np.divmod(key[starts], len(held))
+    times = np.diff(np.append(starts, len(key)))
+    by_lang = _changes(code * len(lang_at) + langs[doc])
+    by_source = _changes((code * len(lang_at) + langs[doc]) * len(source_at) + sources[doc])
+    n = np.add.reduceat(times, by_source) if len(times) else times
+    offsets = np.append(np.searchsorted(by_source, by_lang), len(by_source))
+    pick = lambda at, names: pa.array(list(names), pa.string()).take(pa.array(at))
+    low, high = (f.reduceat(numbers[doc], by_lang) if len(doc) else numbers[:0] for f in (np.minimum, np.maximum))
+    # the empty chunk, once per language
+    first = _changes(langs)
+    pairs = _changes(langs * len(source_at) + sources)
+    offsets = np.append(offsets, offsets[-1] + np.append(np.searchsorted(pairs, first), len(pairs))[1:])
+    counts = pa.StructArray.from_arrays([pa.concat_arrays([pick(sources[doc[by_source]], source_at), pick(sources[pairs], source_at)]),
+                                         pa.array(np.append(n, np.zeros(len(pairs), np.int64)))], ["source", "n"])
+    nothing = np.zeros(len(first), np.int64)
+    docs, low, high = (np.append(v, nothing) for v in (np.diff(np.append(by_lang, len(doc))), low, high))
+    return pa.RecordBatch.from_arrays(
+        [pa.concat_arrays([pick(langs[doc[by_lang]], lang_at), pick(langs[first], lang_at)]),
+         pa.concat_arrays([names.take(pa.array(code[by_lang])).cast(pa.string()), pa.array([""] * len(first), pa.string())]),
+         pa.array(docs), pa.array(low, mask=docs > 2), pa.array(high, mask=docs != 2),
+         pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), counts)], names=["lang", "chunk", "docs", "low", "high", "counts"])
+
+
+def _changes(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.zeros(0, np.int64)
 
 
 def chunk_terms(chunks: DataFrame) -> DataFrame:
@@ -98,14 +125,18 @@ def term_counts(chunks: DataFrame, min_docs: int = 3) -> DataFrame:
     """lang, source, term, n: occurrences of the terms that at least ``min_docs`` documents of their language hold."""
     if not 1 <= min_docs <= 3:
         raise ValueError("a chunk carries two of its documents, so min_docs is 1, 2 or 3")
-    terms = materialise(chunks.join(chunk_terms(chunks), "chunk").select("lang", "source", "term", (F.col("n") * F.col("times")).alias("n"), "chunk", "docs", "low", "high"), "chunk-terms")
     # of a chunk's documents in a language: all of them, or that they are enough
-    held = terms.groupBy("lang", "chunk", "term").agg(F.sum("docs").alias("docs"), F.min("low").alias("low"), F.max("high").alias("high"))
+    held = (chunks.where("chunk <> ''").groupBy("lang", "chunk")
+            .agg(F.sum("docs").alias("docs"), F.min("low").alias("low"), F.max(F.coalesce("high", "low")).alias("high")))
+    terms = materialise(held.join(chunk_terms(chunks.where("chunk <> ''")), "chunk").select("lang", "chunk", "term", "times", "docs", "low", "high"), "chunk-terms", "zstd")
     sure = F.col("docs") >= min_docs
-    named = held.select("lang", "term", F.explode(F.when(sure, F.array(F.lit(-1).cast("long"))).otherwise(F.array("low", "high"))).alias("doc"))
+    named = terms.select("lang", "term", F.explode(F.when(sure, F.array(F.lit(-1).cast("long"))).when(F.col("low") == F.col("high"), F.array("low"))
+                                                   .otherwise(F.array("low", "high"))).alias("doc"))
     kept = (named.groupBy("lang", "term", "doc").agg(F.count("*").alias("rows")).groupBy("lang", "term")
             .agg(F.min("doc").alias("least"), F.count("*").alias("docs")).where((F.col("least") < 0) | (F.col("docs") >= min_docs)).select("lang", "term"))
-    return terms.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")).join(kept, ["lang", "term"]).select("lang", "source", "term", "n")
+    wanted = terms.select("lang", "chunk", "term", "times").join(kept, ["lang", "term"])
+    met = chunks.select("lang", "chunk", "counts").join(wanted, ["lang", "chunk"]).select("lang", "term", "times", F.explode("counts").alias("c"))
+    return met.groupBy("lang", F.col("c.source").alias("source"), "term").agg(F.sum(F.col("c.n") * F.col("times")).alias("n"))
 
 
 def _share(n: Column, total: Column, kept: Column) -> Column:
@@ -129,20 +160,20 @@ def divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     documents of their own. Ties are ranked by item in UTF-8 order. Groups without terms have their pairs.
     An empty table gives no rows.
     """
-    chunks = materialise(chunk_counts(docs, text_col, lang_col, source_col), "chunks")
-    counts = materialise(term_counts(chunks, min_docs), "term-counts")
+    chunks = materialise(chunk_counts(docs, text_col, lang_col, source_col), "chunks", "zstd")
+    counts = materialise(term_counts(chunks, min_docs), "term-counts", "zstd")
     vocabulary = counts.groupBy("lang").agg(F.countDistinct("term").alias("kept"))
     sums = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("present"))
     zero = F.lit(0).cast("long")
     some = lambda c: F.coalesce(F.col(c), zero).alias(c)
-    groups = chunks.where("chunk = ''").select("lang", "source").distinct().join(sums, ["lang", "source"], "left").join(vocabulary, "lang", "left")
+    groups = chunks.where("chunk = ''").select("lang", F.explode("counts.source").alias("source")).distinct().join(sums, ["lang", "source"], "left").join(vocabulary, "lang", "left")
     groups = groups.select("lang", "source", some("total"), some("present"), some("kept"))
     # a language without kept terms has no share; its pairs are 0
     groups = groups.withColumn("none", F.when(F.col("kept") > 0, _share(zero, F.col("total"), F.col("kept"))))
     groups = materialise(groups, "groups")
 
     shares = counts.join(groups.select("lang", "source", "total", "kept", "none"), ["lang", "source"])
-    shares = materialise(shares.select("lang", "source", "term", "n", _share(F.col("n"), F.col("total"), F.col("kept")).alias("p"), "none"), "shares")
+    shares = materialise(shares.select("lang", "source", "term", "n", _share(F.col("n"), F.col("total"), F.col("kept")).alias("p"), "none"), "shares", "zstd")
 
     mine, other = groups.alias("a"), groups.alias("b")
     pairs = mine.join(other, (F.col("a.lang") == F.col("b.lang")) & (F.col("a.source") != F.col("b.source")))
@@ -155,10 +186,15 @@ def divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
              .select("lang", "source", "item", (F.col("terms") * _apart(F.col("z"), F.col("p"))).alias("value")))
     # terms of both sides: the true distance in place of the two, and the empty one that both took off
     a, b = shares.alias("a"), shares.alias("b")
-    both = a.join(b, (F.col("a.lang") == F.col("b.lang")) & (F.col("a.term") == F.col("b.term")) & (F.col("a.source") != F.col("b.source")))
-    both = both.select("a.lang", "a.source", F.col("b.source").alias("item"),
-                       (_apart(F.col("a.p"), F.col("b.p")) - _apart(F.col("a.p"), F.col("b.none")) - _apart(F.col("a.none"), F.col("b.p"))
-                        + _apart(F.col("a.none"), F.col("b.none"))).alias("value"))
+    both = a.join(b, (F.col("a.lang") == F.col("b.lang")) & (F.col("a.term") == F.col("b.term")) & (F.col("a.source") < F.col("b.source")))
+
+    def gain(x: str, y: str) -> Column:
+        p, z, q, w = F.col(f"{x}.p"), F.col(f"{x}.none"), F.col(f"{y}.p"), F.col(f"{y}.none")
+        return F.sum(_apart(p, q) - _apart(p, w) - _apart(z, q) + _apart(z, w))
+
+    both = both.groupBy("a.lang", F.col("a.source").alias("one"), F.col("b.source").alias("two")).agg(gain("a", "b").alias("there"), gain("b", "a").alias("back"))
+    both = both.select("lang", F.explode(F.array(F.struct(F.col("one").alias("source"), F.col("two").alias("item"), F.col("there").alias("value")),
+                                                 F.struct(F.col("two").alias("source"), F.col("one").alias("item"), F.col("back").alias("value")))).alias("d")).select("lang", "d.*")
     columns = ["lang", "source", "item", "value"]
     pair = (pairs.select(columns).unionAll(here.select(columns)).unionAll(there.select(columns)).unionAll(both)
             .groupBy("lang", "source", "item").agg(F.sum("value").alias("value")))
