@@ -261,62 +261,115 @@ def histogram(words: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount(words % CELLS, minlength=CELLS), 255).astype(np.uint8)
 
 
-def _possible(left: tuple, right: tuple, threshold: float, within: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of different components whose lengths and histograms allow the threshold.
+UNIT_WORDS, PAIR_WORDS = 2_000_000, 4_000_000  # words of a block of a bucket, and of the pairs aligned at once
 
-    A side is (class numbers, components, words, histograms); ``within``: both are the same, each pair is met once.
+
+class Forest:
+    """Components that links join, by their numbers."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, c: int) -> int:
+        while (above := self.up.get(c, c)) != c:
+            self.up[c] = self.up.get(above, above)
+            c = above
+        return c
+
+    def roots(self, components: np.ndarray) -> np.ndarray:
+        if not self.up:
+            return components
+        some, at = np.unique(components, return_inverse=True)
+        return np.array([self.root(int(c)) for c in some], np.int64)[at]
+
+
+def _links(left: tuple, right: tuple, band: int, threshold: float, within: bool) -> list[tuple[int, int]]:
+    """Pairs of class numbers whose texts reach the threshold, as many as join what such pairs join.
+
+    A side is (class numbers, components, texts, histograms, band keys); ``within``: both are the same, each pair
+    is met once. Pairs are aligned unless they are joined already, their lengths or histograms forbid it, or they
+    share a bucket of an earlier band, where they meet as well.
     """
-    (a, ca, na, ha), (b, cb, nb, hb) = left, right
-    out_a, out_b = [], []
+    (a, ca, ta, ha, ka), (b, cb, tb, hb, kb) = left, right
+    na, nb = (np.array([len(x) for x in t], np.int64) for t in (ta, tb))
+    forest, found, waiting, held = Forest(), [], [], 0
+    ra, rb = ca, cb
+
+    def align() -> bool:
+        todo = [(i, j) for i, j in waiting if forest.root(int(ca[i])) != forest.root(int(cb[j]))]
+        waiting.clear()
+        limits = np.array([int((1 - threshold) * max(na[i], nb[j]) + 1e-9) for i, j in todo], np.int64)
+        good = np.flatnonzero(distances([(ta[i], tb[j]) for i, j in todo], limits) >= 0) if todo else ()
+        before = len(found)
+        for k in good:
+            i, j = todo[k]
+            x, y = forest.root(int(ca[i])), forest.root(int(cb[j]))
+            if x != y:
+                forest.up[max(x, y)] = min(x, y)
+                found.append((int(min(a[i], b[j])), int(max(a[i], b[j]))))
+        return len(found) > before
+
     for i in range(len(a)):
         limit = ((1 - threshold) * np.maximum(na[i], nb) + 1e-9).astype(np.int64)
-        at = np.flatnonzero((cb != ca[i]) & (np.abs(nb - na[i]) <= limit))
+        at = np.flatnonzero((rb != ra[i]) & (np.abs(nb - na[i]) <= limit))
         if within:
             at = at[at > i]
+        if band and len(at):
+            at = at[~(kb[at, :band] == ka[i, :band]).any(axis=1)]
         if not len(at):
             continue
         more = hb[at].astype(np.int16) - ha[i]
         over = np.maximum(more, 0).sum(axis=1, dtype=np.int64)
         at = at[np.maximum(over, over - more.sum(axis=1, dtype=np.int64)) <= limit[at]]
-        out_a.append(np.full(len(at), a[i]))
-        out_b.append(b[at])
-    none = np.zeros(0, np.int64)
-    return np.concatenate([none, *out_a]), np.concatenate([none, *out_b])
-
-
-def _whole_buckets(large: DataFrame, part: DataFrame, texts: DataFrame, threshold: float, block: int) -> DataFrame:
-    """Pairs (a, b) of members of a large bucket that lie in different components and may reach the threshold."""
+        for j in at.tolist():
+            waiting.append((i, j))
+            held += int(na[i] + nb[j])
+            if held > PAIR_WORDS or len(waiting) >= 512:
+                held = 0
+                if align():
+                    ra, rb = forest.roots(ca), forest.roots(cb)
+    align()
+    return found
+
+
+def _whole_buckets(large: DataFrame, part: DataFrame, classes: DataFrame, texts: DataFrame, threshold: float, block: int) -> DataFrame:
+    """Links (a, b) between different components that members of a large bucket lie in, texts compared block against
+    block: of each two blocks at most a spanning forest of their components is written, not their pairs."""
     keys = ["band", "key2"]
     members = (large.join(part.select(F.col("node").alias("cid"), "component"), "cid", "left")
                .withColumn("component", F.coalesce("component", "cid")))
-    mixed = (members.groupBy(*keys).agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .where("lo < hi").select(*keys, F.ceil(F.col("n") / block).cast("int").alias("blocks")))
-    members = materialise(members.join(mixed, keys), "mixed-buckets")
-
-    def count(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([histogram(np.frombuffer(w.as_py(), np.uint32)).tobytes() for w in batch.column(1)], pa.binary())],
-                                             names=["cid", "cells"])
-
-    cells = texts.join(members.select("cid").distinct(), "cid").select("cid", "words").mapInArrow(count, "cid long, cells binary")
+    blocks = F.ceil(F.greatest(F.col("n") / block, F.col("words") / UNIT_WORDS)).cast("int").alias("blocks")
+    mixed = (members.groupBy(*keys).agg(F.count("*").alias("n"), F.sum("words").alias("words"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+             .where("lo < hi").select(*keys, blocks))
+    members = materialise(members.join(mixed, keys).drop("words"), "mixed-buckets")
+    told = members.join(classes.select("cid", F.col("key2").alias("keys")), "cid").join(texts, "cid")
     group = [*keys, "one", "two"]
-    units = (members.join(cells, "cid").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    units = (told.withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select(*keys, F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"),
-                     F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "cid", "component", "words", "cells")
+                     F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "cid", "component", "keys", "words")
              .repartition(*group).sortWithinPartitions(*group))
 
     def compare(batches):
         key, held = None, []
 
         def done():
-            side, cid, component, words = (np.concatenate([h[i] for h in held]) for i in range(4))
-            cells_ = np.frombuffer(b"".join(x for h in held for x in h[4]), np.uint8).reshape(-1, CELLS)
+            side, cid, component = (np.concatenate([h[i] for h in held]) for i in range(3))
+            band_keys = np.array([x for h in held for x in h[3]], np.int64)
+            words = [np.frombuffer(x, np.uint32) for h in held for x in h[4]]
             held.clear()
-            pick = lambda at: (cid[at], component[at], words[at].astype(np.int64), cells_[at])
-            left = pick(side == 0)
-            a, b = _possible(left, left if key[2] == key[3] else pick(side == 1), threshold, key[2] == key[3])
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+            def pick(at):
+                at = np.flatnonzero(at)
+                some = [words[i] for i in at]
+                return cid[at], component[at], some, np.array([histogram(w) for w in some]), band_keys[at]
+
+            same = key[2] == key[3]
+            if same or (side == 0).any() and (side == 1).any():
+                left = pick(side == 0)
+                found = _links(left, left if same else pick(side == 1), key[0], threshold, same)
+                return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in range(2)], names=["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2, names=["a", "b"])
 
         for batch in batches:
             marks = np.column_stack([batch.column(i).to_numpy() for i in range(4)])
@@ -327,11 +380,11 @@ def _whole_buckets(large: DataFrame, part: DataFrame, texts: DataFrame, threshol
                         yield done()
                     key = mark
                 some = batch.slice(i, j - i)
-                held.append((*(some.column(c).to_numpy() for c in range(4, 8)), some.column(8).to_pylist()))
+                held.append((*(some.column(c).to_numpy() for c in range(4, 7)), some.column(7).to_pylist(), some.column(8).to_pylist()))
         if held:
             yield done()
 
-    return units.mapInArrow(compare, "a long, b long").distinct()
+    return materialise(units.mapInArrow(compare, "a long, b long"), "bucket-links")
 
 
 def _aligned(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -397,8 +450,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands:
              .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
     links = links.unionAll(_aligned(apart, texts, threshold))
     part = components(links, "a", "b")
-    whole = _whole_buckets(large, part, texts, threshold, block).join(pivots.unionAll(further), ["a", "b"], "left_anti")
-    last = _aligned(whole, texts, threshold)
+    last = _whole_buckets(large, part, classes, texts, threshold, block)
     if not last.isEmpty():
         part = components(links.unionAll(last), "a", "b")
     member = classes.select("cid", "fp1", "fp2", "first", "n").join(part, F.col("cid") == F.col("node"), "left").withColumn("component", F.coalesce("component", "cid"))
