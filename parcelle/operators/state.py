@@ -4,7 +4,7 @@ duplicate removal and incremental intake.
 Scale notes
 -----------
 * The batch is aggregated to one row per key *before* it meets the state
-  (``max_by`` + ``count`` + ``min`` are partial aggregates, so a key holding a
+  (``max`` + ``count`` + ``min`` are partial aggregates, so a key holding a
   third of the batch is combined map-side). The state has one row per key, so
   the full outer join has no hot key on either side.
 * Duplicate removal never ranks a whole key group: it aggregates the first id
@@ -53,16 +53,18 @@ def _latest_order(batch: DataFrame, order: Sequence[str] | None) -> list[str]:
 
 
 def aggregate_batch(batch: DataFrame, key: str = KEY, order: Sequence[str] | None = None) -> DataFrame:
-    """One row per key: the latest sighting's fields (by ``order``), the number
+    """One row per key: the latest sighting's fields (by ``order``, then by the other fields), the number
     of sightings and the earliest first-seen time. A batch without ids (a
     normalised source) gets the key as id."""
     if ID not in batch.columns:
         batch = batch.withColumn(ID, F.col(key).cast("string"))
     fields = [c for c in [ID, *DATA_FIELDS] if c in batch.columns]
-    latest = F.max_by(F.struct(*fields), F.struct(*_latest_order(batch, order)))
+    # one struct, the order first: what decides the latest sighting is carried once
+    decides = _latest_order(batch, order)
+    latest = F.max(F.struct(*decides, *[c for c in fields if c not in decides]))
     agg = batch.groupBy(key).agg(latest.alias("_latest"), F.count(F.lit(1)).alias("_n"),
                                  F.min("first_seen_at" if "first_seen_at" in batch.columns else F.lit(None).cast("timestamp")).alias("_first_seen"))
-    return agg.select(key, "_latest.*", "_n", "_first_seen")
+    return agg.select(key, *[F.col(f"_latest.{c}").alias(c) for c in fields], "_n", "_first_seen")
 
 
 def upsert(current: DataFrame | None, batch: DataFrame, key: str = KEY) -> DataFrame:

@@ -130,3 +130,26 @@ def maintained_run(spark: SparkSession, base: str, batch: DataFrame, version: in
         sums = kept_sums(spark, base, version - 1).unionByName(sums).unionByName(stats.negated(listing_sums(before)))
     stats.merge_sums(sums, SUM_KEYS).write.mode("overwrite").parquet(f"{base}/sums/version={version}")
     return n
+
+
+def collector_run(spark: SparkSession, base: str, listings: DataFrame, log: DataFrame, run_id: str, version: int, now: str,
+                  reason: str = "finished", bucket_count: int = 64) -> DataFrame:
+    """What a collector does when a run closes: save its listings, then write the run's statistics row.
+
+    ``log`` has a row per fetched page (``items``, ``fetched_at``). The listings
+    become ``version`` of the state (``maintained_run``), and ``runs/run_id=R`` gets
+    one row: duration, pages, listings in all, new and updated, rates, the time
+    and the ``reason`` the run ended. New and updated are told from the touched
+    buckets alone. A retry replaces the version and the row. Returns the row."""
+    maintained_run(spark, base, listings, version, bucket_count)
+    before, after = buckets.changed(spark, f"{base}/state", version)
+    held = after.limit(0) if before is None else before
+    counters = state.run_counters(held, listings.withColumn("run_id", F.lit(run_id)))
+    sinks.write_run_stats(stats.run_statistics(log.withColumn("run_id", F.lit(run_id)), counters, now, reason), f"{base}/runs")
+    return spark.read.parquet(f"{base}/runs").filter(F.col("run_id") == F.lit(run_id))
+
+
+def current_listings(spark: SparkSession, base: str, version: int, now: str, stale_days: int = state.STALE_DAYS) -> DataFrame:
+    """The state of a version as of ``now``: listings not seen for ``stale_days`` are inactive. Whether a listing is
+    stale follows from when it was last seen, so no bucket is rewritten for it."""
+    return state.deactivate(buckets.read_state(spark, f"{base}/state", version), now, stale_days)

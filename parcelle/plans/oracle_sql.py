@@ -321,6 +321,10 @@ state1 AS (
 
 ORACLE["upsert_state"] = with_ctes(LISTINGS_RAW, STATE, body="""
 SELECT * REPLACE (array_to_string(features, '|') AS features) FROM state1""")
+ORACLE["intake_once"] = ORACLE["clean_listings"]
+ORACLE["queue_runs"] = with_ctes(*BASE, body="""
+SELECT c.Id, c.reason, strftime(date_trunc('year', r.first_seen_at), '%Y-%m-%d') AS landed
+FROM clean_checked c JOIN listings_raw r ON c.Id = r._id""")
 ORACLE["upsert_buckets"] = ORACLE["upsert_state"]
 # the state's listings, cleaned, in place of the collection's
 STATE_CLEAN = (CLEAN_CHECKED.replace("FROM listings_raw WHERE NOT coalesce(processed, false)", "FROM state1")

@@ -24,10 +24,11 @@ from parcelle.operators import geo as geo_ops
 from parcelle.operators import normalise as nz
 from parcelle.operators import state as st
 from parcelle.operators import stats as stats_ops
-from parcelle.plans import jobs
+from parcelle.plans import jobs, queue
 from parcelle.session import ensure_checkpoint_dir
 from parcelle.sources import files, testdata
 from parcelle.sources.tables import read_table
+from parcelle.streaming import intake
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -287,6 +288,29 @@ def q_unprocessed_batch(spark, sf_dir):
     return st.incremental_batch(r, first_run.clean)
 
 
+@register("intake_once")
+def q_intake_once(spark, sf_dir):
+    """Listings landed in two turns, some of them twice, through the stream: each id once."""
+    r = raw(spark, sf_dir)
+    base = scratch(spark, "intake")
+    for part in (r.filter(F.col("source") != BATCH_SOURCE), r.filter(F.col("rooms") <= 3).unionAll(r.filter(F.col("source") == BATCH_SOURCE))):
+        part.write.mode("append").parquet(f"{base}/landing")
+        intake.run_intake(spark, f"{base}/landing", f"{base}/out", f"{base}/stream")
+    return intake.read_intake(spark, f"{base}/out").select("Id", *clean_ops.CLEAN_COLUMNS)
+
+
+@register("queue_runs")
+def q_queue_runs(spark, sf_dir):
+    """Listings landed by day (the first of the year they were first seen in), cleaned in two runs of the queue."""
+    base = scratch(spark, "queue")
+    day = F.date_trunc("year", "first_seen_at").cast("date")
+    raw(spark, sf_dir).withColumn(queue.DAY, day).write.partitionBy(queue.DAY).parquet(f"{base}/raw")
+    paths = queue.QueuePaths(f"{base}/raw", f"{base}/done", f"{base}/closed")
+    queue.queue_run(spark, paths, "first", limit=1000, before="1994-01-01")
+    queue.queue_run(spark, paths, "second", before="2030-01-01")
+    return spark.read.parquet(paths.done).select("Id", "reason", F.col(queue.DAY).cast("string").alias("landed"))
+
+
 # ------------------------------------------------------------------ source normalisers
 
 RUN_AT = "2024-06-01 12:00:00"

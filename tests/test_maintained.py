@@ -39,3 +39,23 @@ def test_an_upsert_again_gives_the_same_sums(spark, tmp_dir):
     for _ in range(2):
         jobs.maintained_run(spark, tmp_dir, raw.filter("rooms = 2"), 1)
     assert rows(jobs.kept_sums(spark, tmp_dir, 1)) == rows(jobs.listing_sums(bk.read_state(spark, f"{tmp_dir}/state", 1)))
+
+
+def test_a_closing_run_writes_its_statistics_row(spark, tmp_dir):
+    from parcelle.operators import state as st
+    raw = testdata.listings_raw(spark, SF_SMALL)
+    page = F.substring_index("listing_url", "_", 1)
+    for version, (run, batch) in enumerate((("a", raw.filter("rooms <= 3")), ("b", raw.filter("rooms between 2 and 5")))):
+        log = batch.groupBy(page.alias("page")).agg(F.count(F.lit(1)).alias("items"), F.min("last_seen_at").alias("fetched_at"))
+        for _ in range(2):                                             # a run that is retried has one row
+            row = jobs.collector_run(spark, tmp_dir, batch, log, run, version, "2001-06-01 00:00:00", "shutdown", bucket_count=8).collect()
+        held = st.upsert(None, raw.filter("rooms <= 3")) if version else batch.limit(0)
+        keys = held.select("listing_url").distinct()
+        new = batch.select("listing_url").distinct().join(keys, "listing_url", "left_anti").count()
+        assert len(row) == 1 and row[0].reason == "shutdown" and row[0].total_properties == batch.count()
+        assert (row[0].new_properties, row[0].updated_properties) == (new, batch.count() - new)
+        assert row[0].total_pages == batch.select(page).distinct().count()
+    assert spark.read.parquet(f"{tmp_dir}/runs").count() == 2
+    now = jobs.current_listings(spark, tmp_dir, 1, "1997-01-01 00:00:00")
+    plain = st.deactivate(st.upsert(st.upsert(None, raw.filter("rooms <= 3")), raw.filter("rooms between 2 and 5")), "1997-01-01 00:00:00")
+    assert rows(now) == rows(plain) and 0 < now.filter("is_active").count() < now.count()
