@@ -411,6 +411,19 @@ def _aligned(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return materialise(met.mapInArrow(run, "a long, b long"), "aligned")
 
 
+def _further(part: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (node, component) after further links: those are followed between components, so what was
+    joined before is not gone through again."""
+    if links.isEmpty():
+        return part
+    nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    whole = materialise(part.unionAll(nodes.join(part, "node", "left_anti").select("node", F.col("node").alias("component"))), "nodes")
+    side = lambda c: whole.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
+    more = components(links.join(side("a"), "a").join(side("b"), "b").where("ca <> cb"), "ca", "cb")
+    more = more.select(F.col("node").alias("component"), F.col("component").alias("root"))
+    return materialise(whole.join(more, "component", "left").select("node", F.coalesce("root", "component").alias("component")), "components")
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands: int = 16, small: int = 8, text_col: str = "text", id_col: str = "doc_id",
                     stored: bool = False, block: int = 1024) -> DataFrame:
     """row, doc_id, class_id, n_class, kept for every document.
@@ -448,11 +461,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands:
     side = lambda c: part.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
     apart = (further.join(pivots, ["a", "b"], "left_anti").join(side("a"), "a", "left").join(side("b"), "b", "left")
              .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
-    links = links.unionAll(_aligned(apart, texts, threshold))
-    part = components(links, "a", "b")
-    last = _whole_buckets(large, part, classes, texts, threshold, block)
-    if not last.isEmpty():
-        part = components(links.unionAll(last), "a", "b")
+    part = _further(part, _aligned(apart, texts, threshold))
+    part = _further(part, _whole_buckets(large, part, classes, texts, threshold, block))
     member = classes.select("cid", "fp1", "fp2", "first", "n").join(part, F.col("cid") == F.col("node"), "left").withColumn("component", F.coalesce("component", "cid"))
     group = member.groupBy("component").agg(F.min("first").alias("keeper"), F.sum("n").alias("n_class"))
     member = member.select("fp1", "fp2", "component").join(group, "component").select("fp1", "fp2", "keeper", "n_class")
