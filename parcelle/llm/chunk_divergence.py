@@ -26,15 +26,15 @@ from parcelle.llm.common import materialise
 # fixed value of the contract: what a term is made of
 TERM = "[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 SCALE = 1_000_000_000
-# bytes of text that a task counts at once (one longer text is counted by itself)
-HELD_BYTES = 32_000_000
-CHUNKS = "lang string, chunk string, docs long, low long, high long, counts array<struct<source:string,n:long>>"
+# bytes of text that a task counts at once (one longer text is counted by itself), and rows that it hands on at once
+HELD_BYTES, SENT_ROWS = 32_000_000, 20_000
+CHUNKS = "lang string, chunk string, docs long, low long, high long, sources array<string>, times array<int>"
 # a document is named by its task and its place there
 PLACES = 40
 
 
 def chunk_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """lang, chunk, docs, low, high, counts: what a task's share of the documents holds of each chunk (A-Z
+    """lang, chunk, docs, low, high, sources, times: what a task's share of the documents holds of each chunk (A-Z
     lower-cased) in each language: documents, the smallest and the largest of them (a single one as ``low`` only,
     none where there are three or more, which settle the matter), and occurrences per source. An empty chunk
     names the sources there are. Several rows may tell of one chunk."""
@@ -42,15 +42,22 @@ def chunk_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         base = TaskContext.get().partitionId() << PLACES
         at, size, held = 0, 0, []
         for batch in batches:
-            for lang, source, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                text = text.as_py()
                 held.append((lang, source, base + at, text.lower()))  # bytes lower only A-Z
                 at += 1
                 size += len(text)
                 if size > HELD_BYTES:
-                    yield _counted(held)
+                    yield from sent(held)
                     held, size = [], 0
         if held:
-            yield _counted(held)
+            yield from sent(held)
+
+    def sent(held):
+        rows = _counted(held)
+        pa.default_memory_pool().release_unused()
+        for i in range(0, rows.num_rows, SENT_ROWS):
+            yield rows.slice(i, SENT_ROWS)
 
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     narrow = docs.select(blank(lang_col).alias("lang"), blank(source_col).alias("source"), blank(text_col).cast("binary").alias("text"))
@@ -63,19 +70,27 @@ def _counted(held: list[tuple]) -> pa.RecordBatch:
     lang_at, source_at, numbers = {}, {}, np.array([d[2] for d in held])
     langs = np.array([lang_at.setdefault(d[0], len(lang_at)) for d in held])
     sources = np.array([source_at.setdefault(d[1], len(source_at)) for d in held])
+    # each step lets go of what it was made from: the words of a share are held once at a time
     words = pc.ascii_split_whitespace(pa.array([d[3] for d in held], pa.large_binary()).cast(pa.large_string()))
-    doc = np.repeat(np.arange(len(held)), pc.list_value_length(words).to_numpy())
-    coded = words.flatten().dictionary_encode()
-    codes, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    size = len(held)
+    held.clear()
+    doc = np.repeat(np.arange(size, dtype=np.int32), pc.list_value_length(words).to_numpy())
+    words = words.flatten()
+    words = words.dictionary_encode()
+    key, names = words.indices.to_numpy().astype(np.int64), words.dictionary
+    del words
+    # documents lie in order of language and source, so one sort brings a chunk's languages, sources and documents together
+    key *= size
+    key += doc
+    del doc
     empty = pc.index(names, "").as_py()
     if empty >= 0:  # before the first and after the last word of a text
-        some = codes != empty
-        codes, doc = codes[some], doc[some]
-    # documents lie in order of language and source, so one sort brings a chunk's languages, sources and documents together
-    key = np.sort(codes * len(held) + doc)
+        key = key[(key < empty * size) | (key >= (empty + 1) * size)]
+    key.sort()
     starts = _changes(key)
-    code, doc = np.divmod(key[starts], len(held))
+    code, doc = np.divmod(key[starts], size)
     times = np.diff(np.append(starts, len(key)))
+    del key
     by_lang = _changes(code * len(lang_at) + langs[doc])
     by_source = _changes((code * len(lang_at) + langs[doc]) * len(source_at) + sources[doc])
     n = np.add.reduceat(times, by_source) if len(times) else times
@@ -86,15 +101,16 @@ def _counted(held: list[tuple]) -> pa.RecordBatch:
     first = _changes(langs)
     pairs = _changes(langs * len(source_at) + sources)
     offsets = np.append(offsets, offsets[-1] + np.append(np.searchsorted(pairs, first), len(pairs))[1:])
-    counts = pa.StructArray.from_arrays([pa.concat_arrays([pick(sources[doc[by_source]], source_at), pick(sources[pairs], source_at)]),
-                                         pa.array(np.append(n, np.zeros(len(pairs), np.int64)))], ["source", "n"])
+    offsets = pa.array(offsets, pa.int32())
+    named = pa.concat_arrays([pick(sources[doc[by_source]], source_at), pick(sources[pairs], source_at)])
+    n = pa.array(np.append(n, np.zeros(len(pairs), np.int64)), pa.int32())  # a share has fewer than 2^31 words
     nothing = np.zeros(len(first), np.int64)
     docs, low, high = (np.append(v, nothing) for v in (np.diff(np.append(by_lang, len(doc))), low, high))
     return pa.RecordBatch.from_arrays(
         [pa.concat_arrays([pick(langs[doc[by_lang]], lang_at), pick(langs[first], lang_at)]),
          pa.concat_arrays([names.take(pa.array(code[by_lang])).cast(pa.string()), pa.array([""] * len(first), pa.string())]),
          pa.array(docs), pa.array(low, mask=docs > 2), pa.array(high, mask=docs != 2),
-         pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), counts)], names=["lang", "chunk", "docs", "low", "high", "counts"])
+         pa.ListArray.from_arrays(offsets, named), pa.ListArray.from_arrays(offsets, n)], names=["lang", "chunk", "docs", "low", "high", "sources", "times"])
 
 
 def _changes(values: np.ndarray) -> np.ndarray:
@@ -126,17 +142,18 @@ def term_counts(chunks: DataFrame, min_docs: int = 3) -> DataFrame:
     if not 1 <= min_docs <= 3:
         raise ValueError("a chunk carries two of its documents, so min_docs is 1, 2 or 3")
     # of a chunk's documents in a language: all of them, or that they are enough
+    sure = F.col("docs") >= min_docs
     held = (chunks.where("chunk <> ''").groupBy("lang", "chunk")
             .agg(F.sum("docs").alias("docs"), F.min("low").alias("low"), F.max(F.coalesce("high", "low")).alias("high")))
-    terms = materialise(held.join(chunk_terms(chunks.where("chunk <> ''")), "chunk").select("lang", "chunk", "term", "times", "docs", "low", "high"), "chunk-terms", "zstd")
-    sure = F.col("docs") >= min_docs
-    named = terms.select("lang", "term", F.explode(F.when(sure, F.array(F.lit(-1).cast("long"))).when(F.col("low") == F.col("high"), F.array("low"))
+    terms = materialise(held.join(chunk_terms(chunks.where("chunk <> ''")), "chunk").select("lang", "chunk", "term", "times", sure.alias("sure"), F.when(~sure, F.col("low")).alias("low"), F.when(~sure, F.col("high")).alias("high")), "chunk-terms", "zstd")
+    named = terms.select("lang", "term", F.explode(F.when(F.col("sure"), F.array(F.lit(-1).cast("long"))).when(F.col("low") == F.col("high"), F.array("low"))
                                                    .otherwise(F.array("low", "high"))).alias("doc"))
     kept = (named.groupBy("lang", "term", "doc").agg(F.count("*").alias("rows")).groupBy("lang", "term")
             .agg(F.min("doc").alias("least"), F.count("*").alias("docs")).where((F.col("least") < 0) | (F.col("docs") >= min_docs)).select("lang", "term"))
     wanted = terms.select("lang", "chunk", "term", "times").join(kept, ["lang", "term"])
-    met = chunks.select("lang", "chunk", "counts").join(wanted, ["lang", "chunk"]).select("lang", "term", "times", F.explode("counts").alias("c"))
-    return met.groupBy("lang", F.col("c.source").alias("source"), "term").agg(F.sum(F.col("c.n") * F.col("times")).alias("n"))
+    met = chunks.select("lang", "chunk", "sources", F.col("times").alias("found")).join(wanted, ["lang", "chunk"])
+    met = met.select("lang", "term", "times", "found", F.posexplode("sources").alias("at", "source"))
+    return met.groupBy("lang", "source", "term").agg(F.sum(F.get("found", F.col("at")) * F.col("times")).alias("n"))
 
 
 def _share(n: Column, total: Column, kept: Column) -> Column:
@@ -166,7 +183,7 @@ def divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     sums = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("present"))
     zero = F.lit(0).cast("long")
     some = lambda c: F.coalesce(F.col(c), zero).alias(c)
-    groups = chunks.where("chunk = ''").select("lang", F.explode("counts.source").alias("source")).distinct().join(sums, ["lang", "source"], "left").join(vocabulary, "lang", "left")
+    groups = chunks.where("chunk = ''").select("lang", F.explode("sources").alias("source")).distinct().join(sums, ["lang", "source"], "left").join(vocabulary, "lang", "left")
     groups = groups.select("lang", "source", some("total"), some("present"), some("kept"))
     # a language without kept terms has no share; its pairs are 0
     groups = groups.withColumn("none", F.when(F.col("kept") > 0, _share(zero, F.col("total"), F.col("kept"))))
