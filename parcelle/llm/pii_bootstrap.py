@@ -7,11 +7,14 @@ precede values believed to be personal, a value is believed as far as the patter
 Patterns that end above the threshold extract identifiers that no base pattern knows (kind ``id``).
 
 Scale: three passes over the texts without moving them. What is shuffled are identifier occurrences and the
-counts of at most ``max_patterns`` contexts; the accepted patterns are at most that many literals.
+counts of the contexts that can come to be accepted (``_reachable``), however many there are; the accepted patterns
+are the model, one literal in buckets by hash, so that a look-up costs the same whatever their number.
 """
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -109,11 +112,23 @@ def _shape(value: Column) -> Column:
     return (F.length(_digits(value)) >= 4) | value.rlike(r"\S@\S")
 
 
-def learn(docs: DataFrame, rounds: int = 3, threshold: float = 0.6, support: int = 3, max_patterns: int = 2000) -> list[str]:
-    """The accepted contexts (one or two lower-case words), at most ``max_patterns``.
+def _reachable(edges: DataFrame, rounds: int, support: int) -> DataFrame:
+    """The contexts that can have ``support`` believed values within so many rounds; all others never vouch for a
+    value and are never accepted, so leaving them out changes nothing. A value can be believed if it is a seed or
+    has the shape of an identifier and stands after a context that could vouch for it a round before."""
+    seeds = edges.where("seed").select("value")
+    likely, contexts = seeds.distinct(), None
+    for _ in range(rounds):
+        contexts = materialise(edges.join(likely, "value", "left_semi").groupBy("pattern").agg(F.count("*").alias("good"))
+                               .where(F.col("good") >= support).select("pattern"), "pii-contexts")
+        likely = edges.where("shape").join(contexts, "pattern", "left_semi").select("value").union(seeds).distinct()
+    return contexts
+
+
+def learn(docs: DataFrame, rounds: int = 3, threshold: float = 0.6, support: int = 3) -> list[str]:
+    """The accepted contexts (one or two lower-case words), all of them.
 
-    A context needs ``support`` different identifier values; of more than ``max_patterns`` such contexts those
-    with the most values are the model. Its precision counts every occurrence in every text.
+    A context needs ``support`` different identifier values. Its precision counts every occurrence in every text.
     """
     text = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text"))
     seen = (base_spans(text.where(F.col("text").rlike("[0-9@]"))).withColumn("_tokens", tokens(F.col("text"))).drop("text")
@@ -122,12 +137,13 @@ def learn(docs: DataFrame, rounds: int = 3, threshold: float = 0.6, support: int
                     F.exists("_base", lambda s: (s["start"] >= F.col("t.start")) & (s["start"] < F.col("t.end"))).alias("seed"))
             .select("value", "shape", "seed", F.explode(F.array("one", "two")).alias("pattern")).where("pattern is not null and pattern <> ''"))
     edges = materialise(seen.groupBy("pattern", "value").agg(F.count("*").alias("n"), F.max("seed").alias("seed"), F.max("shape").alias("shape")), "pii-edges")
-    model = (edges.groupBy("pattern").agg(F.count("*").alias("values")).where(F.col("values") >= support)
-             .orderBy(F.desc("values"), "pattern").limit(max_patterns))
-    model = materialise(model, "pii-patterns")
-    # every place where a context is followed by a token: bounded lists of contexts, counted where the texts lie
-    known = F.broadcast(model.select("pattern"))  # at most max_patterns rows
-    last = F.broadcast(model.select(F.substring_index("pattern", " ", -1).alias("last")).distinct())
+    common = edges.groupBy("pattern").agg(F.count("*").alias("values")).where(F.col("values") >= support)
+    edges = edges.join(common, "pattern", "left_semi")
+    edges = materialise(edges.drop("seed").join(edges.groupBy("value").agg(F.max("seed").alias("seed")), "value"), "pii-common")
+    model = _reachable(edges, rounds, support)
+    # every place where a context is followed by a token, counted where the texts lie as long as the contexts fit there
+    known = model.select("pattern")
+    last = model.select(F.substring_index("pattern", " ", -1).alias("last")).distinct()
     words = text.select(F.split(F.lower("text"), r"\s+").alias("w")).where(F.size("w") > 1)
     places = (words.select(F.slice("w", 1, F.size("w") - 1).alias("last"), F.concat(F.array(F.lit(None).cast("string")), F.slice("w", 1, F.size("w") - 2)).alias("prior"))
               .select(F.inline(F.arrays_zip("last", "prior"))).join(last, "last"))
@@ -146,13 +162,24 @@ def learn(docs: DataFrame, rounds: int = 3, threshold: float = 0.6, support: int
     return [r.pattern for r in scores.where((F.col("precision") >= threshold) & (F.col("good") >= support)).orderBy("pattern").collect()]
 
 
+def _among(context: Column, patterns: list[str]) -> Column:
+    """Whether a context is one of ``patterns``: looked up in its bucket by hash, so the number of patterns hardly
+    matters. Contexts hold no white space but one blank, which sets them and the buckets apart."""
+    n = len(patterns)
+    buckets = [[] for _ in range(n)]
+    for p in patterns:
+        buckets[zlib.crc32(p.encode()) % n].append(p)
+    table = F.split(F.lit("\t".join("\n".join(("", *b, "")) for b in buckets)), "\t")
+    own = F.get(table, (F.crc32(context.cast("binary")) % n).cast("int"))
+    return F.coalesce(F.contains(own, F.concat(F.lit("\n"), context, F.lit("\n"))), F.lit(False))
+
+
 def all_spans(docs: DataFrame, patterns: list[str], text_col: str = "text") -> DataFrame:
     """``docs`` with ``_base`` and ``_spans`` (base and learned, by start, then kind)."""
     docs = base_spans(docs, text_col)
     if not patterns:
         return docs.withColumn("_spans", F.col("_base"))
-    accepted = F.array(*map(F.lit, patterns))
-    new = F.filter(tokens(F.col(text_col)), lambda t: _shape(t["value"]) & (F.array_contains(accepted, t["one"]) | F.coalesce(F.array_contains(accepted, t["two"]), F.lit(False))))
+    new = F.filter(tokens(F.col(text_col)), lambda t: _shape(t["value"]) & (_among(t["one"], patterns) | _among(t["two"], patterns)))
     new = F.filter(new, lambda t: ~F.exists("_base", lambda s: (s["start"] < t["end"]) & (s["end"] > t["start"])))
     spans = F.transform(new, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.lit(len(KINDS)).alias("kind")))
     return docs.withColumn("_spans", F.array_sort(F.concat("_base", spans)))

@@ -192,6 +192,19 @@ def test_pii_bootstrap_discovers_and_masks(spark, make_docs):
     assert out[12].n_chars == len(out[12].text) and pii_bootstrap.extract(docs.where("false")).count() == 0
 
 
+def test_pii_contexts_are_not_capped(spark, make_docs):
+    """More than 2,000 frequent contexts do not push out one with fewer values; a model of many contexts is applied whole."""
+    from itertools import product
+    plain = ["".join(x) for x in product("abcdefghijklmn", repeat=3)][:2200]
+    noise = [" ".join(f"{w}z {10_000 * j + i}" for j in range(1, 6)) for i, w in enumerate(plain)]
+    docs = make_docs(["\n".join(noise[i:i + 100]) for i in range(0, len(noise), 100)] + [f"reach: u{i}@example.org and more" for i in range(6)] + ["reach: badge77419 here"])
+    assert "reach:" in pii_bootstrap.learn(docs)
+    assert [r.spans for r in pii_bootstrap.extract(docs).collect() if "id:" in r.spans] == ["id:7:17"]
+    many = [f"{w}q:" for w in plain] + ["two words:"]
+    found = pii_bootstrap.all_spans(make_docs([f"{plain[-1]}q: k1234", f"x{plain[0]}q: k1234", "two words: k1234", "words: k1234", "k1234"]), many)
+    assert [[(s.start, s.end) for s in r._spans] for r in found.orderBy("doc_id").collect()] == [[(6, 11)], [], [(11, 16)], [], []]
+
+
 # 5 toxicity
 
 def test_toxicity_arrays_match_the_models():
