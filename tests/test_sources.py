@@ -175,6 +175,30 @@ def test_card_texts_are_whole(spark):
     assert (b.price, b.description, b.features) == (7.0, "", [])
 
 
+def test_a_page_of_many_cards_is_read_in_proportion(spark):
+    """Reading a page once took time by the square of its cards."""
+    import time
+    card = _card('<div data-testid="cardmfe-price-testid">{} €</div>', "/{}", ["5 pièces", "·", "120 m²"], "Lyon (69003)", "Maison", ["a", "b"])
+    n = 6000
+    page = "<html><body>" + "\n".join(card.replace("{}", str(i)) for i in range(1, n + 1))
+    pages = spark.createDataFrame([(1, "69", page)], "page_id long, department string, html string")
+    start = time.time()
+    out = nz.normalise_cards(nz.read_cards(pages), NOW).select("listing_url", "price", "rooms", "surface_m2").collect()
+    assert time.time() - start < 20
+    assert sorted(map(tuple, out)) == sorted((f"/{i}", float(i), 5, 120.0) for i in range(1, n + 1))
+
+
+def test_key_facts_are_searched_once(spark):
+    """A fact is filtered once for each field; blank and null facts, other spaces, words without a number."""
+    rows = [(["\u00a0", None, "pièces", "x 3 pièces", "\t4\u00a0pièces", "5 pièces", " 1,5 m² terrain", "1,5 m²", ", m²", "7 chambres"], "1 €", "A (1)(2)", ["\u00a0a ", "b\u00a0\n"], "loft"),
+            ([], "", "B", [], ""), (None, None, None, None, None), (["2 m² TERRAIN", "1.2.3 m²", "3 m²"], "x", " (9 ", None, "Villa")]
+    boxes = spark.createDataFrame(rows, "facts array<string>, price_text string, address string, text_parts array<string>, type_text string").coalesce(1)
+    out = nz.normalise_keyfacts(boxes).select("rooms", "bedrooms", "surface_m2", "city", "postal_code", "description", "property_type")
+    assert [tuple(r) for r in out.collect()] == [(4, 7, 1.5, "A", "1", "a b", "Loft"), (None, None, None, "B", None, "", None),
+                                                 (None,) * 7, (None, None, None, "", "9", None, "Villa")]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("filter(") == 3
+
+
 def test_geojson(spark, tmp_dir):
     fc = {"type": "FeatureCollection", "features": [
         {"type": "Feature", "properties": {"code": "01", "nom": "Ain"},
