@@ -78,13 +78,14 @@ def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("city"),
         pad_code("c_nationkey", 2).alias("department"),
         _postal_code(F.col("c_custkey"), F.col("c_mktsegment")).alias("postal_code"))
+    # an order meets its customer before its line items, which are several times as many: they move once less
+    orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     part = read_table(spark, sf_dir, "part").select(
         "p_partkey", "p_name", "p_brand",
         _property_type(F.col("p_name"), F.col("p_size")).alias("property_type"),
         F.split("p_name", " ").alias("features"))
 
-    j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-           .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    j = (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
            .join(part, F.col("l_partkey") == F.col("p_partkey")))
 
     order_day = F.date_format("o_orderdate", "yyyy-MM-dd")
@@ -191,9 +192,9 @@ def sale_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                                          "o_orderdate")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-           .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    j = (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
            .join(part, F.col("l_partkey") == F.col("p_partkey")))
     noun = F.get(F.split("p_name", " "), 1)
     qty = F.col("l_quantity")
