@@ -23,18 +23,16 @@ from pyspark.sql import functions as F
 from parcelle.operators import state as st
 from parcelle.session import path_exists
 
-# The stored key: null has a value of its own, so that keys meet by plain equality.
-STORED_KEY = "_key"
+STORED_KEY = st.STORED_KEY
+# Fixed value: rows that one task reads, sorts and writes.
+ROWS_A_BUCKET = 500_000
 BUCKET = "bucket"
 MANIFEST = "bucket int, written int, buckets int"
 
 
-def stored_key(key: Column) -> Column:
-    return F.coalesce(F.concat(F.lit("="), key.cast("string")), F.lit(""))
-
-
-def original_key(stored: Column) -> Column:
-    return F.when(stored != "", F.substring(stored, F.lit(2), F.length(stored)))
+def buckets_for(rows: int, least: int = 8) -> int:
+    """The number of buckets for a state of so many rows: a task's share stays the same when the state grows."""
+    return max(least, -(-rows // ROWS_A_BUCKET))
 
 
 def _bucket(buckets: int) -> Column:
@@ -91,7 +89,7 @@ def read_state(spark: SparkSession, base: str, version: int | None = None) -> Da
 
 
 def _original(rows: DataFrame) -> DataFrame:
-    return rows.select(st.ID, original_key(F.col(STORED_KEY)).alias(st.KEY), *[c for c in rows.columns if c not in (st.ID, STORED_KEY, BUCKET)])
+    return rows.select(st.ID, st.original_key(F.col(STORED_KEY)).alias(st.KEY), *[c for c in rows.columns if c not in (st.ID, STORED_KEY, BUCKET)])
 
 
 def _held(spark: SparkSession, base: str, version: int) -> DataFrame:
@@ -118,8 +116,8 @@ def apply_batch(spark: SparkSession, base: str, batch: DataFrame, version: int,
     """Apply ``batch`` as ``version``: version 0 makes the state in ``buckets`` hash buckets, version V extends
     version V - 1, whose number of buckets it keeps. Returns how many buckets it wrote.
 
-    Results are those of ``state.upsert``. Choose ``buckets`` by the state's size: a bucket is read and written
-    by one task. Applying a version again gives the same files.
+    Results are those of ``state.upsert``. Choose ``buckets`` by the state's size (``buckets_for``): a bucket is read
+    and written by one task. Applying a version again gives the same files.
     """
     if version > 0:
         if not path_exists(spark, f"{base}/manifest/version={version - 1}"):
@@ -128,8 +126,9 @@ def apply_batch(spark: SparkSession, base: str, batch: DataFrame, version: int,
     spark.sql(f"DROP TABLE IF EXISTS {_table_name(base, version)}")  # registered by an earlier try
     if st.ID not in batch.columns:
         batch = batch.withColumn(st.ID, F.col(key).cast("string"))
-    keyed = st.aggregate_batch(batch.withColumn(STORED_KEY, stored_key(F.col(key))), STORED_KEY)
-    (keyed.withColumn(BUCKET, _bucket(buckets)).repartition(BUCKET)
+    keyed = st.aggregate_batch(batch.withColumn(STORED_KEY, st.stored_key(F.col(key))), STORED_KEY)
+    # a bucket a task: dealt by the bucket's number, several would meet in one
+    (keyed.repartition(buckets, STORED_KEY).withColumn(BUCKET, _bucket(buckets))
      .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{base}/batch/version={version}"))
     stored = spark.read.parquet(f"{base}/batch/version={version}")
     if version == 0:

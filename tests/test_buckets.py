@@ -75,3 +75,12 @@ def test_state_is_not_shuffled(spark, tmp_dir):
     join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
     assert join < scan and not any("Exchange" in line for line in lines[join:scan])
     assert "PartitionFilters: [bucket" in lines[scan] or "PartitionFilters: [isnotnull(bucket" in lines[scan]
+
+
+def test_a_batch_is_dealt_a_bucket_a_task(spark, tmp_dir):
+    """Dealt by the bucket's number, several buckets met in one task; the number of buckets follows the rows."""
+    batch = testdata.listings_raw(spark, SF_SMALL)
+    bk.apply_batch(spark, tmp_dir, batch, 0, buckets=24)
+    files = [(d.rsplit("=", 1)[1], f.split("-")[1]) for d, _, fs in os.walk(f"{tmp_dir}/batch") for f in fs if f.endswith(".parquet")]
+    assert len(files) == 24 and all(int(bucket) == int(task) for bucket, task in files)
+    assert [bk.buckets_for(n) for n in (0, 4_000_000, 4_000_001, 216_000_000)] == [8, 8, 9, 432]
