@@ -134,3 +134,22 @@ def test_upsert_with_differing_columns(spark):
     new = st.upsert(old, spark.createDataFrame([("a", "t", 3.0, at, at, "Lyon")], cols + ", city string"))
     got = {r.listing_url: (r.source, r.price, r.features, r.city) for r in new.collect()}
     assert got == {"a": ("t", 3.0, ["x"], "Lyon"), "b": ("s", 2.0, ["y"], None)}
+
+
+def test_a_loaded_state_is_joined_where_it_lies(spark):
+    """Two upserts shuffle each row once; null and repeated keys as in the null-safe join."""
+    fields = "listing_url string, price double, first_seen_at timestamp, last_seen_at timestamp"
+    first = spark.createDataFrame([("a", 1.0, None, None), (None, 2.0, None, None), ("", 3.0, None, None), ("=", 4.0, None, None), ("a", 5.0, None, None)], fields)
+    second = spark.createDataFrame([("a", 6.0, None, None), (None, 7.0, None, None), ("b", 8.0, None, None), (None, 9.0, None, None)], fields)
+    plain = st.upsert(st.upsert(None, first), second)
+    keyed = st.upsert(st.upsert(None, first, keyed=True), second)
+    assert keyed.columns == plain.columns and sorted(map(str, keyed.collect())) == sorted(map(str, plain.collect()))
+    again = st.upsert(plain, first, keyed=True).drop(st.STORED_KEY)
+    assert sorted(map(str, again.collect())) == sorted(map(str, st.upsert(plain, first).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        shuffles = [df._jdf.queryExecution().sparkPlan().toString() and df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+                    for df in (st.upsert(st.upsert(None, first, keyed=True), second), st.upsert(st.upsert(None, first), second))]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert shuffles == [2, 4]
