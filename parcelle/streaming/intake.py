@@ -59,11 +59,11 @@ def default_checkpoint(spark: SparkSession, source_path: str, output_path: str)
 
 
 def new_listings(landed: DataFrame) -> DataFrame:
-    """The unprocessed rows of a stream of landed listings, each id once in the stream's life.
+    """The unprocessed rows of a stream of landed listings, in the cleaning fields, each id once in the stream's life.
 
-    The ids are the stream's state, spread over its partitions by hash. Rows without an id cannot be told apart
+    Only the fields that cleaning reads move: what a batch gets is not pruned any more. The ids are the stream's state, spread over its partitions by hash. Rows without an id cannot be told apart
     and count as one. Of rows with one id that land together one goes through; which one is not promised."""
-    return landed.filter(~F.coalesce(F.col("processed"), F.lit(False))).dropDuplicates(["_id"])
+    return unprocessed(landed).dropDuplicates(["_id"])
 
 
 def run_intake(spark: SparkSession, source_path: str, output_path: str, checkpoint_path: str | None = None,

@@ -104,3 +104,14 @@ def test_own_output_is_not_scanned(spark, tmp_dir):
     elsewhere = written_elsewhere(spark, f"{tmp_dir}/out", "a")
     assert [r.Id for r in elsewhere.collect()] == ["2"]
     assert "PartitionFilters: [isnotnull(stream" in elsewhere._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_the_cleaning_fields_move(spark):
+    """What the stream shuffles by id are the fields that cleaning reads."""
+    from parcelle.operators.clean import CLEAN_INPUT_FIELDS
+    from parcelle.schema import LISTINGS_RAW
+    from parcelle.streaming.intake import new_listings
+    landed = spark.createDataFrame([listing("1"), listing("1"), listing("p", processed=True), listing(None), listing(None)], LISTINGS_RAW)
+    new = new_listings(landed)
+    assert set(new.columns) == {*CLEAN_INPUT_FIELDS, "last_seen_at"}
+    assert sorted(str(r._id) for r in new.collect()) == ["1", "None"]
