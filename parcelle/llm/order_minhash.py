@@ -19,11 +19,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelle.llm.common import components, materialise, place
+from parcelle.llm.common import components, in_batches, materialise, place
 from parcelle.llm.decontamination import fold
 
 U = np.uint64
@@ -215,7 +214,7 @@ def sketches(docs: DataFrame, bands: int, k: int, text_col: str = "text", id_col
                                               pa.array(keys[0], pa.list_(pa.int64())), pa.array(keys[1], pa.list_(pa.int32())), pa.array(keys[2], pa.list_(pa.int32()))],
                                              names=["row", "doc_id", "fp1", "fp2", "words", "key2", "key4", "key8"])
 
-    return _numbered(docs, text_col, id_col).mapInArrow(run, SKETCH)
+    return in_batches(_numbered(docs, text_col, id_col), run, SKETCH)
 
 
 def _numbered(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
@@ -262,6 +261,7 @@ def histogram(words: np.ndarray) -> np.ndarray:
 
 
 UNIT_WORDS, PAIR_WORDS = 2_000_000, 4_000_000  # words of a block of a bucket, and of the pairs aligned at once
+ALIGN_BYTES = 16 << 20  # of the words of candidate pairs aligned at once
 
 
 class Forest:
@@ -384,7 +384,7 @@ def _whole_buckets(large: DataFrame, part: DataFrame, classes: DataFrame, texts:
         if held:
             yield done()
 
-    return materialise(units.mapInArrow(compare, "a long, b long"), "bucket-links")
+    return materialise(in_batches(units, compare, "a long, b long"), "bucket-links")
 
 
 def _aligned(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -393,22 +393,28 @@ def _aligned(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
            .join(texts.select(F.col("cid").alias("a"), F.col("words").alias("wa")), "a").select("a", "b", "wa", "wb"))
 
     def run(batches):
+        pairs, words, held = [], [], 0
+
+        def done():
+            limits = np.array([int((1 - threshold) * max(len(x), len(y)) + 1e-9) for x, y in words])
+            ok = np.flatnonzero(distances(words, limits) >= 0)
+            found = np.array(pairs, np.int64)[ok]
+            pairs.clear()
+            words.clear()
+            return pa.RecordBatch.from_arrays([pa.array(found[:, i]) for i in range(2)], names=["a", "b"])
+
         for batch in batches:
-            a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            i = 0
-            while i < len(a):
-                # as many pairs at once as have 16 MB of words, at least one
-                sizes = np.cumsum(pc.add(pc.binary_length(batch.column(2).slice(i, 4096)), pc.binary_length(batch.column(3).slice(i, 4096))).to_numpy())
-                n = max(1, int(np.searchsorted(sizes, 16 << 20)))
-                wa, wb = batch.column(2).slice(i, n).to_pylist(), batch.column(3).slice(i, n).to_pylist()
-                words = [(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)) for x, y in zip(wa, wb, strict=True)]
-                limits = np.array([int((1 - threshold) * max(len(x), len(y)) + 1e-9) for x, y in words])
-                ok = np.flatnonzero(distances(words, limits) >= 0) + i
-                if len(ok):
-                    yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], names=["a", "b"])
-                i += n
-
-    return materialise(met.mapInArrow(run, "a long, b long"), "aligned")
+            for a, b, x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                pairs.append((a, b))
+                words.append(tuple(np.frombuffer(w.as_buffer(), np.uint32) for w in (x, y)))
+                held += words[-1][0].nbytes + words[-1][1].nbytes
+                if held > ALIGN_BYTES:
+                    held = 0
+                    yield done()
+        if pairs:
+            yield done()
+
+    return materialise(in_batches(met, run, "a long, b long"), "aligned")
 
 
 def _further(part: DataFrame, links: DataFrame) -> DataFrame:
@@ -455,7 +461,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands:
                                              names=["cid", "words"])
 
     texts = _numbered(docs, text_col, id_col).select("row", "text").join(wanted, "row").select("cid", "text")
-    texts = materialise(texts.mapInArrow(tokens, "cid long, words binary"), "words")
+    texts = materialise(in_batches(texts, tokens, "cid long, words binary"), "words")
     links = _aligned(pivots, texts, threshold)
     part = components(links, "a", "b")
     side = lambda c: part.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelle.llm.common import filter_rows
+from parcelle.llm.common import filter_rows, in_batches
 
 # fixed values: ASCII punctuation and digits separate words, as white space and control characters do
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789"
@@ -276,7 +276,7 @@ def fit(docs: DataFrame, labels: DataFrame, order: int = 5, window: int = 4, max
                 yield pa.RecordBatch.from_arrays([pa.array([g for g, _ in some], pa.string()), pa.array([toxic] * len(some), pa.int32()),
                                                   pa.array([n for _, n in some], pa.int64())], names=["gram", "toxic", "n"])
 
-    grams = (texts.where("not curve").select("text", "toxic").mapInArrow(count, "gram string, toxic int, n long")
+    grams = (in_batches(texts.where("not curve").select("text", "toxic"), count, "gram string, toxic int, n long")
              .groupBy("gram").agg(F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("o"),
                                   F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"))
              .orderBy(F.desc(F.col("o") + F.col("t")), "gram").limit(max_grams).toArrow())
@@ -290,7 +290,7 @@ def fit(docs: DataFrame, labels: DataFrame, order: int = 5, window: int = 4, max
             f = _scorer(sent)(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(f[:, i]) for i in range(3)] + [batch.column(1)], names=["a", "b", "c", "toxic"])
 
-    got = texts.where("curve").select("text", "toxic").mapInArrow(features, "a double, b double, c double, toxic int").orderBy("a", "b", "c", "toxic").toArrow()
+    got = in_batches(texts.where("curve").select("text", "toxic"), features, "a double, b double, c double, toxic int").orderBy("a", "b", "c", "toxic").toArrow()
     x = np.column_stack([got[c].to_numpy() for c in "abc"]) if len(got) else np.zeros((0, 3))
     y = got["toxic"].to_numpy() if len(got) else np.zeros(0)
     return sent, logistic(x, y, np.array([weight[c] for c in y.tolist()]))
@@ -331,7 +331,7 @@ def score(docs: DataFrame, labels: DataFrame, order: int = 5, window: int = 4, m
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(p), pa.array((p >= threshold).astype(np.int32))],
                                              names=["doc_id", "held_out", "score", "predicted"])
 
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return in_batches(rows, run, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def probability(features: np.ndarray, weights: np.ndarray) -> np.ndarray:

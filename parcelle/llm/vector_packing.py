@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parcelle.llm.common import in_batches
+
 BASE = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
@@ -173,4 +175,4 @@ def pack(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", size:
         if pieces:
             yield flush()
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, T._parse_datatype_string(BASE))
+    return in_batches(docs.select(F.col(id_col).cast("long"), F.col(text_col)), run, T._parse_datatype_string(BASE))

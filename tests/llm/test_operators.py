@@ -10,12 +10,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from parcelle.llm import (bloom_lm, decontamination, histogram_sort, html_mincut, itq_dedup, order_minhash,
                           pii_bootstrap, toxicity_kn, vector_packing, warc_io)
-from parcelle.llm.common import components
+from parcelle.llm.common import components, materialise
 
 SF = "/root/testdata/sf0.001"
 
@@ -357,6 +358,31 @@ def test_near_duplicates_in_large_buckets(spark, make_docs):
     assert len(met) > 20 and [got[i + 1] for i in met] == met and all(got[i] == i for i in range(0, 60, 2))
 
 
+def test_tasks_get_bounded_batches(spark):
+    own = spark.newSession()
+    docs = materialise(own.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 1000).alias("text")), "batches")
+    order_minhash.sketches(docs, bands=16, k=5)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["rows", "n"])
+
+    got = docs.select("text").mapInArrow(sizes, "rows long, n long").collect()
+    assert sum(r.rows for r in got) == 3000 and max(r.n for r in got) < 5_000_000  # 15 MB in one batch by Spark's own setting
+    own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "1m")
+    order_minhash.sketches(docs, bands=16, k=5)
+    assert max(r.n for r in docs.select("text").mapInArrow(sizes, "rows long, n long").collect()) < 1_500_000  # the session's own stays
+
+
+def test_alignment_over_many_batches(spark):
+    base = np.arange(20_000, dtype=np.uint32)
+    words = [base] + [np.where(base % 97 == i, base + 50_000, base).astype(np.uint32) if i % 3 else base[::-1] for i in range(120)]
+    texts = spark.createDataFrame([(i, w.tobytes()) for i, w in enumerate(words)], "cid long, words binary")
+    pairs = spark.createDataFrame([(0, i) for i in range(1, 121)], "a long, b long").coalesce(1)  # 19 MB of words
+    got = {(r.a, r.b) for r in order_minhash._aligned(pairs, texts, 0.8).collect()}
+    assert got == {(0, i + 1) for i in range(120) if i % 3}
+
+
 def test_near_duplicates_odd_rows(spark, odd_docs):
     got = order_minhash.near_duplicates(odd_docs).collect()
     assert len(got) == 9 and sum(r.kept for r in got) == 6  # null and empty; white space; a..g; x; plain; 1
