@@ -61,7 +61,7 @@ def op12_mph_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_chunk_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunk_divergence.divergence(table(spark, sf_dir, "documents"))
+    return chunk_divergence.divergence(table(spark, sf_dir, "documents"), stored=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -242,6 +242,40 @@ def test_documents_of_a_term_in_several_chunks(spark):
     assert rows(kept) == [("en", "a", "term", 2), ("en", "b", "term", 1)]
 
 
+def test_chunk_counts_are_shuffled_once(spark):
+    """The counts of chunks, which are many times the terms, move once; the terms once more, and nothing in between is joined."""
+    frame = spark.createDataFrame([("en", "a", "term, term."), ("en", "b", "term")], "lang string, source string, text string")
+    kept = chunk_divergence.term_counts(chunk_divergence.chunk_counts(frame))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2 and "Join" not in plan and "FileScan" not in plan
+
+
+def test_divergence_over_small_batches(spark):
+    """Rows of a chunk and of a term that come in several batches, in several languages."""
+    rng = random.Random(13)
+    words = [w + e for w in ("alpha", "Bravo-alpha", "日本", "12", "alpha/charlie") for e in ("", ",", ".alpha")] + [f"https://x{i}.com/alpha" for i in range(30)]
+    docs = [(rng.choice(["en", "fr", None]), rng.choice("abcdef"), " ".join(rng.choices(words, k=rng.randrange(8)))) for _ in range(90)]
+    frame = spark.createDataFrame(docs, "lang string, source string, text string").repartition(9)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    try:
+        for n in (1, 2, 7):
+            spark.conf.set(size, n)
+            assert rows(chunk_divergence.divergence(frame)) == plain_divergence(docs)
+    finally:
+        spark.conf.set(size, before)
+
+
+def test_a_term_of_many_chunks_has_few_rows(spark):
+    """A term that every chunk holds comes once in a batch, whatever the number of chunks."""
+    docs = [("en", "s", " ".join(f"https://host{i}-{j}.com" for j in range(50))) for i in range(100)]
+    frame = spark.createDataFrame(docs, "lang string, source string, text string").coalesce(1)
+    terms = chunk_divergence.chunk_terms(chunk_divergence.chunk_counts(frame).coalesce(1))
+    assert terms.where("term = 'com'").count() <= spark.sparkContext.defaultParallelism + 1
+    kept = chunk_divergence.term_counts(chunk_divergence.chunk_counts(frame)).where("term in ('com', 'host')")
+    assert rows(kept) == [("en", "s", "com", 5000), ("en", "s", "host", 5000)]
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_registered_queries_match_duckdb(spark, name):
     from parcelle.llm.queries import QUERIES
