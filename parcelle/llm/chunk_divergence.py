@@ -216,7 +216,7 @@ def chunk_terms(chunks: DataFrame) -> DataFrame:
     once. Several rows may tell of one term, but only one of those that a batch gives. The empty term is the empty chunk."""
     def cut(batches):
         for rows in _in_turn(batches):
-            yield from _merged(_cut(rows)).combine_chunks().to_batches()
+            yield from _merged(_cut(rows)).combine_chunks().to_batches(SENT_ROWS)
 
     return in_batches(chunks.repartition("chunk").sortWithinPartitions("chunk"), cut, TERMS)
 
@@ -229,7 +229,7 @@ def term_tallies(chunks: DataFrame, min_docs: int = 3) -> DataFrame:
 
     def whole(batches):
         for rows in _in_turn(batches):
-            yield from rows.combine_chunks().to_batches()
+            yield from rows.combine_chunks().to_batches(SENT_ROWS)
 
     terms = in_batches(chunk_terms(chunks).repartition("term").sortWithinPartitions("term"), whole, TERMS)
     return terms.where((F.col("docs") >= min_docs) | (F.col("term") == "")).select("lang", "term", "sources", "times")
