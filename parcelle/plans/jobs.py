@@ -128,7 +128,8 @@ def maintained_run(spark: SparkSession, base: str, batch: DataFrame, version: in
     sums = listing_sums(after)
     if before is not None:
         sums = kept_sums(spark, base, version - 1).unionByName(sums).unionByName(stats.negated(listing_sums(before)))
-    stats.merge_sums(sums, SUM_KEYS).write.mode("overwrite").parquet(f"{base}/sums/version={version}")
+    with buckets.once(spark):
+        stats.merge_sums(sums, SUM_KEYS).write.mode("overwrite").option("compression", buckets.COMPRESSION).parquet(f"{base}/sums/version={version}")
     return n
 
 

@@ -84,3 +84,21 @@ def test_a_batch_is_dealt_a_bucket_a_task(spark, tmp_dir):
     files = [(d.rsplit("=", 1)[1], f.split("-")[1]) for d, _, fs in os.walk(f"{tmp_dir}/batch") for f in fs if f.endswith(".parquet")]
     assert len(files) == 24 and all(int(bucket) == int(task) for bucket, task in files)
     assert [bk.buckets_for(n) for n in (0, 4_000_000, 4_000_001, 216_000_000)] == [8, 8, 9, 432]
+
+
+def test_a_version_moves_its_batch_once_and_leaves_no_shuffle(spark, tmp_dir):
+    """The batch was shuffled again to meet the state or to become one, and shuffles stayed on the disks after their jobs."""
+    first, second, _ = batches(spark)
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.sources.bucketing.autoBucketedScan.enabled",
+             "spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    before = [spark.conf.get(n, None) for n in names]
+    shuffles = lambda: spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+    held = shuffles()
+    with bk.once(spark):
+        first.repartition(3, "listing_url").write.parquet(f"{tmp_dir}/any")
+    assert shuffles() <= held
+    bk.apply_batch(spark, tmp_dir, first, 0, buckets=16)
+    assert len(bucket_files(tmp_dir)) == 16
+    bk.apply_batch(spark, tmp_dir, second, 1)
+    assert "Exchange" not in bk.merged(spark, tmp_dir, 1)._jdf.queryExecution().executedPlan().toString()
+    assert [spark.conf.get(n, None) for n in names] == before
